@@ -1,8 +1,8 @@
 """All oracles by query key."""
 
-from . import merge
+from . import cookbook, merge
 
-MODULES = [merge]
+MODULES = [merge, cookbook]
 
 
 def all_oracles() -> dict[str, str]:
