@@ -1,8 +1,8 @@
 """All oracles by query key."""
 
-from . import cookbook, merge
+from . import cookbook, merge, projection, rules
 
-MODULES = [merge, cookbook]
+MODULES = [merge, cookbook, rules, projection]
 
 
 def all_oracles() -> dict[str, str]:
