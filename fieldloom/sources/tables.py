@@ -139,3 +139,45 @@ def view(spark: SparkSession, root: str, name: str) -> DataFrame:
 def view_sql(name: str) -> str:
     """The same view over tables registered under their plain names."""
     return Template(VIEWS[name]).substitute({t: t for t in TABLES}).strip()
+
+
+# JSON documents built from line fields (the oracle reads the line fields themselves).
+ORDER_DOCS = f"""
+SELECT doc_id, line_no, entity,
+ to_json(named_struct('definitions', array(
+  named_struct('entityName', 'Other', 'hasAttributes', array(named_struct('attributeGroupReference', named_struct('members', array(
+   named_struct('name', 'decoy', 'dataType', parse_json('"string"'), 'description', NULL, 'maximumLength', 1, 'isNullable', true)))))),
+  named_struct('entityName', entity, 'hasAttributes', array(
+   named_struct('attributeGroupReference', named_struct('members', array(
+    named_struct('name', 'untyped', 'dataType', NULL, 'description', NULL, 'maximumLength', 1, 'isNullable', true),
+    named_struct('name', fieldname, 'dataType', parse_json(CASE native_type WHEN 'Data' THEN '"string"' WHEN 'Int' THEN '"integer"'
+      WHEN 'Currency' THEN '"currency"' WHEN 'Select' THEN '{{"dataTypeReference":"listLookup"}}' WHEN 'Link' THEN '"partyLink"' END),
+     'description', CASE WHEN reqd THEN concat('Line ', CAST(line_no AS STRING)) END, 'maximumLength', max_len, 'isNullable', NOT reqd)))),
+   named_struct('attributeGroupReference', named_struct('members', array(
+    named_struct('name', 'rowVersion', 'dataType', parse_json('"bigInteger"'), 'description', NULL, 'maximumLength', NULL, 'isNullable', NULL)))))
+ )))) AS entity_doc,
+ to_json(named_struct('name', entity, 'fields', array(
+  named_struct('fieldtype', 'Button', 'fieldname', 'press', 'options', NULL, 'reqd', 0, 'length', 0),
+  named_struct('fieldtype', native_type, 'fieldname', fieldname, 'options', replace(options, '|', '\\n'),
+   'reqd', CASE WHEN reqd THEN 1 ELSE 0 END, 'length', max_len - 1)))) AS form_doc,
+ to_json(named_struct('snapshot', named_struct('element', array(
+  named_struct('path', entity, 'min', 0, 'definition', 'root', 'type', NULL, 'binding', NULL),
+  named_struct('path', concat(entity, '.id'), 'min', 1, 'definition', NULL, 'type', NULL, 'binding', NULL),
+  named_struct('path', concat(entity, CASE WHEN line_no % 2 = 0 THEN '.a.' ELSE '.' END, fieldname),
+   'min', CASE WHEN reqd THEN 1 ELSE 0 END, 'definition', CASE WHEN max_len % 3 > 0 THEN concat('Up to ', CAST(max_len AS STRING)) END,
+   'type', array(named_struct('code', CASE native_type WHEN 'Data' THEN 'string' WHEN 'Int' THEN 'positiveInt' WHEN 'Currency' THEN 'Money'
+     WHEN 'Select' THEN 'code' WHEN 'Link' THEN 'Reference' ELSE 'xhtml' END,
+     'targetProfile', CASE native_type WHEN 'Link' THEN array(concat('http://h/', options), 'http://h/Any') END)),
+   'binding', CASE native_type WHEN 'Select' THEN named_struct('strength', CASE WHEN reqd THEN 'required' ELSE 'example' END,
+     'valueSet', concat('http://h/vs/', replace(options, '|', '-'), '|4.0.1')) END))))) AS resource_doc
+FROM ({LINE_FIELDS})
+"""
+VIEWS["order_docs"] = ORDER_DOCS
+
+# Category declarations of the sources: not every source describes its categories.
+DECLARED = f"""
+SELECT DISTINCT category AS name, source_standard AS source,
+ CASE WHEN source_standard <> 'ASIA' THEN concat('Items of ', category, ' by ', source_standard) END AS description
+FROM ({RAW_ITEMS}) WHERE category <> 'FURNITURE' AND ord % 5 < 2
+"""
+VIEWS["declared"] = DECLARED

@@ -146,4 +146,4 @@ def build(needs: list[str], select: str) -> str:
     if not order:
         return select.strip()
     ctes = ",\n".join(f"{n} AS ({CTES[n][1].strip()})" for n in order)
-    return f"WITH {ctes}\n{select.strip()}"
+    return f"WITH RECURSIVE {ctes}\n{select.strip()}"

@@ -1,8 +1,8 @@
 """All oracles by query key."""
 
-from . import cookbook, merge, projection, rules
+from . import cookbook, extract, merge, projection, rules
 
-MODULES = [merge, cookbook, rules, projection]
+MODULES = [merge, cookbook, rules, projection, extract]
 
 
 def all_oracles() -> dict[str, str]:
