@@ -215,12 +215,9 @@ def merge_items(norm: DataFrame, key: list[str] | None = None) -> DataFrame:
         any_required().alias("required"),
     )
     facts = collect_facts(norm, key, (SOURCE, URL, VERSION, VALUE))
-    if "source_standard" in key:      # a nullable key column
-        on = [F.col("c.category") == F.col("f.category"), F.col("c.name") == F.col("f.name"),
-              F.col("c.source_standard").eqNullSafe(F.col("f.source_standard"))]
-        df = core.alias("c").join(facts.alias("f"), on).select("c.*", "f.facts")
-    else:
-        df = core.join(facts, key)
+    nullable = [c for c in key if c not in KEY]
+    on = [F.col(f"c.{c}").eqNullSafe(F.col(f"f.{c}")) if c in nullable else F.col(f"c.{c}") == F.col(f"f.{c}") for c in key]
+    df = core.alias("c").join(facts.alias("f"), on).select("c.*", "f.facts")
     df = add_merged_values(df)
     lone = F.col("n_members") == 1
 
@@ -245,7 +242,8 @@ def merge_items(norm: DataFrame, key: list[str] | None = None) -> DataFrame:
     }
     if "source_standard" not in key:
         out["source_standard"] = pick(p["source_standard"], joined_sources())
-    return df.select(*[out[c].alias(c) if c in out else F.col(c) for c in CATALOG_COLUMNS])
+    extra = [c for c in key if c not in CATALOG_COLUMNS]
+    return df.select(*[out[c].alias(c) if c in out else F.col(c) for c in CATALOG_COLUMNS], *extra)
 
 
 # --- reports ----------------------------------------------------------------

@@ -25,9 +25,9 @@ def latest_values(rows: DataFrame, key: list[str], columns: list[str], seq: str)
         F.max_by(c, F.when(F.col(c).isNotNull(), F.col(seq))).alias(c) for c in columns])
 
 
-def reduce_batch(norm: DataFrame) -> DataFrame:
-    """One row per natural key from the normalized items of a batch."""
-    return merge_items(norm, ITEM_KEY).select(*ITEM_KEY, *ITEM_COLUMNS)
+def reduce_batch(norm: DataFrame, *batch: str) -> DataFrame:
+    """One row per natural key, and per ``batch`` column, from normalized items."""
+    return merge_items(norm, [*ITEM_KEY, *batch]).select(*ITEM_KEY, *ITEM_COLUMNS, *batch)
 
 
 def upsert_items(base: DataFrame, delta: DataFrame) -> DataFrame:

@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import cookbook_queries, extract_queries, merge_queries, projection_queries, rule_queries
+from . import cookbook_queries, extract_queries, merge_queries, projection_queries, rule_queries, search_queries
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = [merge_queries, cookbook_queries, rule_queries, projection_queries, extract_queries]
+MODULES = [merge_queries, cookbook_queries, rule_queries, projection_queries, extract_queries, search_queries]
 
 
 def all_queries() -> dict[str, Query]:

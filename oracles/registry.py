@@ -1,8 +1,8 @@
 """All oracles by query key."""
 
-from . import cookbook, extract, merge, projection, rules
+from . import cookbook, extract, merge, projection, rules, search
 
-MODULES = [merge, cookbook, rules, projection, extract]
+MODULES = [merge, cookbook, rules, projection, extract, search]
 
 
 def all_oracles() -> dict[str, str]:
