@@ -12,18 +12,18 @@ from .enrich import unmatched_overrides
 from .projection import BYTES_PER_CHAR
 
 
-def _result(name: str, counted: DataFrame) -> DataFrame:
-    """A one-row table with the number of offenders in its only column."""
-    bad = F.col(counted.columns[0])
-    return counted.select(F.lit(name).alias("check"), bad.cast("bigint").alias("bad"), (bad == 0).alias("ok"))
+def _stacked(counts: DataFrame, *names: str) -> DataFrame:
+    """One row per named count of a one-row table."""
+    pairs = F.array(*[F.struct(F.lit(n).alias("check"), F.col(n).cast("bigint").alias("bad")) for n in names])
+    return counts.select(F.inline(pairs)).withColumn("ok", F.col("bad") == 0)
 
 
 def _rows(name: str, offenders: DataFrame) -> DataFrame:
-    return _result(name, offenders.agg(F.count("*")))
+    return _stacked(offenders.agg(F.count("*").alias(name)), name)
 
 
 def _at_least_one(name: str, table: DataFrame) -> DataFrame:
-    return _result(name, table.limit(1).agg(F.lit(1) - F.count("*")))
+    return _stacked(table.limit(1).agg((F.lit(1) - F.count("*")).alias(name)), name)
 
 
 def nonempty(items: DataFrame, categories: DataFrame) -> DataFrame:
@@ -31,7 +31,7 @@ def nonempty(items: DataFrame, categories: DataFrame) -> DataFrame:
 
 
 def description(items: DataFrame) -> DataFrame:
-    return _result("missing_description", items.agg(F.count_if(is_blank(F.col("description")))))
+    return _stacked(items.agg(F.count_if(is_blank(F.col("description"))).alias("missing_description")), "missing_description")
 
 
 def empty_category(items: DataFrame, categories: DataFrame) -> DataFrame:
@@ -45,14 +45,16 @@ def orphan_curated(items: DataFrame, curated: DataFrame) -> DataFrame:
 
 def ui_complete(items: DataFrame, ui: DataFrame, groups: DataFrame) -> DataFrame:
     sizes = items.agg(F.count("*").alias("n")).unionByName(ui.agg((-F.count("*")).alias("n")))
-    return _result("ui_item_count", sizes.agg(F.abs(F.sum("n")))).unionByName(_at_least_one("ui_groups_nonempty", groups))
+    return _stacked(sizes.agg(F.abs(F.sum("n")).alias("ui_item_count")), "ui_item_count").unionByName(
+        _at_least_one("ui_groups_nonempty", groups))
 
 
 def ui_lengths(ui: DataFrame) -> DataFrame:
+    """Both length rules in one scan."""
     bytes_off = ~F.col("byte_length").eqNullSafe(F.col("char_length") * BYTES_PER_CHAR)
     chars_off = F.col("char_length").isNull() | (F.col("char_length") <= 0)
-    return _result("ui_byte_length", ui.agg(F.count_if(bytes_off))).unionByName(
-        _result("ui_char_length", ui.agg(F.count_if(chars_off))))
+    names = ("ui_byte_length", "ui_char_length")
+    return _stacked(ui.agg(F.count_if(bytes_off).alias(names[0]), F.count_if(chars_off).alias(names[1])), *names)
 
 
 def unique_key(items: DataFrame, ui: DataFrame) -> DataFrame:
@@ -84,5 +86,6 @@ def report(items: DataFrame, categories: DataFrame, curated: DataFrame, ui: Data
 
 def content_difference(first: DataFrame, second: DataFrame) -> DataFrame:
     """Rows in one build but not in the other, duplicates respected."""
+    second = second.select(*first.columns)
     return (first.exceptAll(second).withColumn("only_in", F.lit("first"))
             .unionByName(second.exceptAll(first).withColumn("only_in", F.lit("second"))))

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import after_first_dot, entity_of, identifier
 from ..functions.rules import dialect_type, enum_check, is_collection, plain_type, relation_target
+from ..storage import materialize
 from .graph import dependency_levels
 from .ranking import with_global_rank
 
@@ -106,52 +105,59 @@ def creation_levels(items: DataFrame) -> DataFrame:
     return dependency_levels(table_names(items), edges)
 
 
-def create_table_lines(items: DataFrame, dialect: str, levels: DataFrame) -> DataFrame:
-    """The script as rows: sort by level, table, section and position to read it.
+def _lines(rows: DataFrame, lines: list[tuple[str, int, Column, Column]]) -> DataFrame:
+    """Several text lines per row; lines without text are dropped."""
+    return rows.select("table_name", F.inline(F.array(*[
+        F.struct(F.lit(d).alias("dialect"), F.lit(section).alias("section"), position.cast("bigint").alias("position"), line.alias("line"))
+        for d, section, position, line in lines]))).filter(F.col("line").isNotNull())
+
 
-    A table's text is never gathered in one task; commas only need the last
-    position of a table, which is an aggregate.
+def create_table_lines(items: DataFrame, columns: DataFrame, levels: DataFrame, dialects: tuple[str, ...]) -> DataFrame:
+    """The scripts as rows: sort by level, table, section and position to read one.
+
+    ``columns`` are the written ``table_columns`` of ``items``.  A table's text is
+    never gathered in one task; commas only need the last position of a table,
+    which is an aggregate.  All dialects come from the same scans.
     """
-    columns = table_columns(items)
     per_table = columns.groupBy("table_name").agg(
         F.count("*").alias("n_columns"), F.count_if("is_fk").alias("n_keys"), F.max("position").alias("last_column"),
         F.max(F.when(F.col("is_fk"), F.col("position"))).alias("last_key"))
     about = items.select(identifier(entity_of(F.col("name"))).alias("table_name"), "name", "source_standard").groupBy(
         "table_name").agg(F.min_by("source_standard", "name").alias("source"), entity_of(F.max("name")).alias("entity"))
     tables = about.join(per_table, "table_name", "left").fillna(0, ["n_columns", "n_keys"])
+    tables = materialize(tables, "tables")
+    zero, name, at = F.lit(0), F.col("table_name"), F.col("position")
 
-    def section(df: DataFrame, number: int, position: Column, line: Column) -> DataFrame:
-        return df.select("table_name", F.lit(number).alias("section"), position.cast("bigint").alias("position"), line.alias("line"))
-
-    zero, name = F.lit(0), F.col("table_name")
     header = F.concat(F.lit("-- "), "entity", F.lit("  ("), F.col("n_columns").cast("string"), F.lit(" columns, "),
                       F.col("n_keys").cast("string"), F.lit(" FKs)  [source: "), F.coalesce("source", F.lit("None")), F.lit("]"))
-    reverse = _numbered(reverse_relations(items))
+    key_comma = F.when(F.col("n_columns") > 0, ",").otherwise("")
+    frames = _lines(tables, [line for d in dialects for line in (
+        (d, HEADER, zero, header),
+        (d, OPEN, zero, F.concat(F.lit("CREATE TABLE "), name, F.lit(" ("))),
+        (d, KEY, zero, F.concat(F.lit("    "), name, F.lit("_id " + PRIMARY_KEYS[d]), key_comma)),
+        (d, CLOSE, zero, F.lit(");")))])
+
+    text = F.concat(F.lit("--   reverse relation: "), "column_name", F.lit("  "), "description")
+    reverse = _lines(_numbered(reverse_relations(items)), [(d, REVERSE, at, text) for d in dialects])
+
+    ends = columns.join(tables.select("table_name", "n_keys", "last_column", "last_key"), "table_name")
     is_fk, check = F.col("is_fk"), enum_check(F.col("column_name"), F.col("allowed_values"))
-    body = F.concat(
-        F.lit("    "), "column_name", F.lit(" "),
-        dialect_type(dialect, F.col("data_type"), F.col("byte_length"), F.col("decimal_scale"), is_fk),
-        F.when(F.col("is_required"), " NOT NULL").otherwise(""),
-        F.when(~is_fk & check.isNotNull(), F.concat(F.lit(" "), check)).otherwise(""))
+    comma = F.when((F.col("n_keys") > 0) | (at < F.col("last_column")), ",").otherwise("")
     comment = F.when(F.col("target").isNotNull() & ~is_fk, F.concat(
         F.lit("  -- external ref: "), F.substring("description", 1, 50))).otherwise("")
-    ends = columns.join(tables.select("table_name", "n_keys", "last_column", "last_key"), "table_name")
-    comma = F.when((F.col("n_keys") > 0) | (F.col("position") < F.col("last_column")), ",").otherwise("")
-    key_comma = F.when(F.col("position") < F.col("last_key"), ",").otherwise("")
-    keys = ends.filter("is_fk")
-    parts = [
-        section(tables, HEADER, zero, header),
-        section(reverse, REVERSE, F.col("position"), F.concat(F.lit("--   reverse relation: "), "column_name", F.lit("  "), "description")),
-        section(tables, OPEN, zero, F.concat(F.lit("CREATE TABLE "), name, F.lit(" ("))),
-        section(tables, KEY, zero, F.concat(F.lit("    "), name, F.lit("_id " + PRIMARY_KEYS[dialect]),
-                                            F.when(F.col("n_columns") > 0, ",").otherwise(""))),
-        section(ends, COLUMN, F.col("position"), F.concat(body, comma, comment)),
-        section(keys, FOREIGN, F.col("position"), F.concat(
-            F.lit("    FOREIGN KEY ("), "column_name", F.lit(") REFERENCES "), "target", F.lit("("), "target", F.lit("_id)"), key_comma)),
-        section(tables, CLOSE, zero, F.lit(");")),
-    ]
-    lines = reduce(DataFrame.unionByName, parts).withColumn("dialect", F.lit(dialect))
-    return lines.join(levels, "table_name")
+    foreign = F.when(is_fk, F.concat(
+        F.lit("    FOREIGN KEY ("), "column_name", F.lit(") REFERENCES "), "target", F.lit("("), "target", F.lit("_id)"),
+        F.when(at < F.col("last_key"), ",").otherwise("")))
+
+    def definition(dialect: str) -> Column:
+        kind = dialect_type(dialect, F.col("data_type"), F.col("byte_length"), F.col("decimal_scale"), is_fk)
+        return F.concat(
+            F.lit("    "), "column_name", F.lit(" "), kind, F.when(F.col("is_required"), " NOT NULL").otherwise(""),
+            F.when(~is_fk & check.isNotNull(), F.concat(F.lit(" "), check)).otherwise(""), comma, comment)
+
+    body = _lines(ends, [line for d in dialects for line in ((d, COLUMN, at, definition(d)), (d, FOREIGN, at, foreign))])
+    lines = frames.unionByName(reverse).unionByName(body)
+    return lines.join(levels, "table_name").select("dialect", "level", "table_name", "section", "position", "line")
 
 
 def plain_table_lines(items: DataFrame) -> DataFrame:

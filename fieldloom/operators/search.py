@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.names import entity_of
+from ..storage import materialize
 
 LEVELS = ["category", "entity", "alias", "keyword"]
 INLINE_TERMS = 200
@@ -75,23 +76,23 @@ def match_by_gram(rows: DataFrame, texts: list[str], terms: DataFrame) -> DataFr
     return pairs.filter(_any(texts, lambda c: F.like(F.lower(F.coalesce(c, F.lit(""))), pattern))).drop("anchor")
 
 
-# --- levels -----------------------------------------------------------------
+# --- selectors ---------------------------------------------------------------
 
-def with_entity(items: DataFrame) -> DataFrame:
-    return items.withColumn("entity", entity_of(F.col("name")))
+def item_names(items: DataFrame) -> DataFrame:
+    """Distinct ``(category, entity)``: all that the first three levels look at."""
+    return items.select("category", entity_of(F.col("name")).alias("entity")).distinct()
 
 
-def lookups(terms: DataFrame, column: str = "term") -> DataFrame:
-    return terms.withColumn("lookup", F.lower(column))
+def _lookups(terms: DataFrame) -> DataFrame:
+    return terms.withColumn("lookup", F.lower("term"))
 
 
-def category_selectors(items: DataFrame, wanted: DataFrame) -> DataFrame:
+def category_selectors(names: DataFrame, wanted: DataFrame) -> DataFrame:
     """``(lookup, category)``: the text occurs in the category's name."""
-    names = items.select("category").distinct()
-    return match_substrings(names, ["category"], wanted).select("lookup", "category")
+    return match_substrings(names.select("category").distinct(), ["category"], wanted).select("lookup", "category")
 
 
-def entity_selectors(items: DataFrame, wanted: DataFrame) -> DataFrame:
+def entity_selectors(names: DataFrame, wanted: DataFrame) -> DataFrame:
     """``(lookup, entity)``: the entity itself, or one that goes on with ``_`` or ``.``.
 
     Each entity lists its prefixes that end at such a boundary; an equi-join finds
@@ -100,100 +101,114 @@ def entity_selectors(items: DataFrame, wanted: DataFrame) -> DataFrame:
     low = F.lower("entity")
     ends = F.filter(F.sequence(F.lit(1), F.length(low)),
                     lambda i: (i == F.length(low)) | F.substr(low, i + 1, F.lit(1)).isin("_", "."))
-    prefixes = with_entity(items.select("name")).select("entity").distinct().filter("entity <> ''").select(
+    prefixes = names.select("entity").distinct().filter("entity <> ''").select(
         "entity", F.explode(F.transform(ends, lambda i: F.substr(low, F.lit(1), i))).alias("lookup"))
     return prefixes.join(wanted.select("lookup").distinct(), "lookup").select("lookup", "entity")
 
 
-def search_category(items: DataFrame, terms: DataFrame) -> DataFrame:
-    terms = lookups(terms)
-    return terms.join(category_selectors(items, terms), "lookup").join(items, "category").drop("lookup")
+def alias_selectors(names: DataFrame, terms: DataFrame, aliases: DataFrame) -> DataFrame:
+    """Names behind the alias targets: entities, or categories where no entity fits.
 
+    A name reached through several targets belongs to the earliest one.
+    """
+    keys = aliases.select(F.lower("term").alias("lookup"), "target_pos", "target")
+    targets = _lookups(terms).join(keys, "lookup").select(
+        "term_pos", "term", "target_pos", "target", F.lower("target").alias("lookup"))
+    entities = entity_selectors(names, targets)
+    others = targets.join(entities.select("lookup").distinct(), "lookup", "left_anti")
+    found = targets.join(entities, "lookup").join(names, "entity").unionByName(
+        others.join(category_selectors(names, others), "lookup").join(names, "category"))
+    return found.select("term_pos", "term", "target_pos", "target", "category", "entity")
 
-def search_entity(items: DataFrame, terms: DataFrame) -> DataFrame:
-    terms = lookups(terms)
-    return terms.join(entity_selectors(items, terms), "lookup").join(with_entity(items), "entity").drop("lookup", "entity")
 
+def _named(names: DataFrame, terms: DataFrame, selectors: DataFrame, on: str) -> DataFrame:
+    return _lookups(terms).join(selectors, "lookup").join(names, on).select("term_pos", "term", "category", "entity")
 
-def search_keyword(items: DataFrame, terms: DataFrame) -> DataFrame:
-    terms = lookups(terms)
-    hits = match_substrings(items, ["name", "title", "description"], terms)
-    return terms.join(hits, "lookup").drop("lookup")
 
+def _pick(items: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Items of the chosen ``(category, entity)`` names: one scan, one join."""
+    extra = [c for c in chosen.columns if c not in ("category", "entity")]
+    full = items.withColumn("entity", entity_of(F.col("name")))
+    return full.join(chosen, ["category", "entity"]).select(*extra, *items.columns)
 
-def _alias_targets(terms: DataFrame, aliases: DataFrame) -> DataFrame:
-    keys = aliases.select(F.lower("term").alias("lookup"), "target_pos", "target")
-    return lookups(terms).join(keys, "lookup").select("term_pos", "term", "target_pos", "target", F.lower("target").alias("lookup"))
 
+# --- single levels ------------------------------------------------------------
 
-def alias_selectors(items: DataFrame, terms: DataFrame, aliases: DataFrame) -> DataFrame:
-    """Alias targets as entities, or as categories where no entity has the name."""
-    targets = _alias_targets(terms, aliases)
-    entities = entity_selectors(items, targets)
-    others = targets.join(entities.select("lookup").distinct(), "lookup", "left_anti")
-    by_entity = targets.join(entities, "lookup").withColumn("category", F.lit(None).cast("string"))
-    by_category = others.join(category_selectors(items, others), "lookup").withColumn("entity", F.lit(None).cast("string"))
-    return by_entity.unionByName(by_category).drop("lookup")
+def search_category(items: DataFrame, terms: DataFrame) -> DataFrame:
+    wanted = _lookups(terms)
+    selectors = category_selectors(items.select("category"), wanted)
+    return wanted.join(selectors, "lookup").join(items, "category").drop("lookup")
 
 
-def select_items(items: DataFrame, selectors: DataFrame) -> DataFrame:
-    """Items of selected entities and of selected categories."""
-    chosen = [c for c in selectors.columns if c not in ("entity", "category")]
-    by_entity = selectors.filter(F.col("entity").isNotNull()).select(*chosen, "entity")
-    by_category = selectors.filter(F.col("entity").isNull()).select(*chosen, "category")
-    full = with_entity(items)
-    order = [*chosen, *items.columns]
-    return full.join(by_entity, "entity").select(*order).unionByName(items.join(by_category, "category").select(*order))
+def search_entity(items: DataFrame, terms: DataFrame) -> DataFrame:
+    names = item_names(items)
+    return _pick(items, _named(names, terms, entity_selectors(names, _lookups(terms)), "entity"))
 
 
-def search_alias(items: DataFrame, terms: DataFrame, aliases: DataFrame) -> DataFrame:
-    """Items of all targets, one per name: the earliest target brings it."""
-    hits = select_items(items, alias_selectors(items, terms, aliases))
+def search_keyword(items: DataFrame, terms: DataFrame) -> DataFrame:
+    wanted = _lookups(terms)
+    return wanted.join(match_substrings(items, ["name", "title", "description"], wanted), "lookup").drop("lookup")
+
+
+def _first_target(selectors: DataFrame) -> DataFrame:
+    return selectors.groupBy("term_pos", "term", "category", "entity").agg(F.min("target_pos").alias("target_pos"))
+
+
+def _one_per_name(hits: DataFrame, items: DataFrame) -> DataFrame:
+    """Alias hits hold each name once: the earliest target and category bring it."""
     rest = [c for c in items.columns if c != "name"]
     picked = hits.groupBy("term_pos", "term", "name").agg(
         F.min_by(F.struct(*rest), F.struct("target_pos", "category")).alias("r"))
     return picked.select("term_pos", "term", "name", "r.*")
 
 
-def alias_targets_hit(items: DataFrame, terms: DataFrame, aliases: DataFrame) -> DataFrame:
-    """Targets of each term that lead to items, in their order."""
-    hit = alias_selectors(items, terms, aliases).select("term", "target_pos", "target").distinct()
-    return hit.groupBy("term").agg(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("target_pos", "target"))), lambda t: t["target"]), ", ").alias("targets"))
+def search_alias(items: DataFrame, terms: DataFrame, aliases: DataFrame) -> DataFrame:
+    """Items of all alias targets, and ``targets``, the list of those with items."""
+    selectors = materialize(alias_selectors(materialize(item_names(items), "names"), terms, aliases), "selectors")
+    listed = selectors.select("term_pos", "target_pos", "target").distinct().groupBy("term_pos").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("target_pos", "target"))),
+                                 lambda t: t["target"]), ", ").alias("targets"))
+    hits = _one_per_name(_pick(items, _first_target(selectors)), items)
+    return hits.join(listed, "term_pos")
 
 
+# --- all levels ----------------------------------------------------------------
+
 def resolve(items: DataFrame, terms: DataFrame, aliases: DataFrame) -> DataFrame:
     """``(term_pos, term, level, item...)`` by the first level with hits.
 
-    Levels are decided on selectors, which are no larger than the distinct names.
-    Only terms without any selector reach the keyword scan over the items.
+    The distinct names are written once, and the names each term selects after
+    them; both are small next to the items.  Items are then read once for the
+    selected names, once for alias hits, and once more only if terms without any
+    selected name remain for the keyword level.
     """
-    numbered = lookups(terms)
-    nothing = F.lit(None).cast("string")
-    cats = numbered.join(category_selectors(items, numbered), "lookup").withColumn("entity", nothing)
-    ents = numbered.join(entity_selectors(items, numbered), "lookup").withColumn("category", nothing)
-    open_terms = terms.join(cats.select("term_pos"), "term_pos", "left_anti")
-    ents = ents.join(open_terms.select("term_pos"), "term_pos", "left_semi")
-    open_terms = open_terms.join(ents.select("term_pos"), "term_pos", "left_anti")
-    via_alias = search_alias(items, open_terms, aliases)
-    aliased = alias_selectors(items, open_terms, aliases)
-    open_terms = open_terms.join(aliased.select("term_pos"), "term_pos", "left_anti")
-    cols = ["term_pos", "term", "level", *items.columns]
+    names = materialize(item_names(items), "names")
 
     def level(df: DataFrame, name: str) -> DataFrame:
-        return df.withColumn("level", F.lit(name)).select(*cols)
-
-    return (level(select_items(items, cats.drop("lookup")), "category")
-            .unionByName(level(select_items(items, ents.drop("lookup")), "entity"))
-            .unionByName(level(via_alias, "alias"))
-            .unionByName(level(search_keyword(items, open_terms), "keyword")))
+        return df.withColumn("level", F.lit(name))
+
+    cats = _named(names, terms, category_selectors(names, _lookups(terms)), "category")
+    ents = _named(names, terms, entity_selectors(names, _lookups(terms)), "entity")
+    found = level(cats, LEVELS[0]).unionByName(level(ents, LEVELS[1]))
+    best = found.groupBy("term_pos").agg(F.min("level").alias("level"))      # "category" sorts before "entity"
+    direct = materialize(found.join(best, ["term_pos", "level"], "left_semi"), "direct")
+    rest = terms.join(direct.select("term_pos"), "term_pos", "left_anti")
+    aliased = materialize(_first_target(alias_selectors(names, rest, aliases)), "aliased")
+    rest = rest.join(aliased.select("term_pos"), "term_pos", "left_anti")
+    cols = ["term_pos", "term", "level", *items.columns]
+    out = _pick(items, direct).select(*cols)
+    if not aliased.isEmpty():
+        out = out.unionByName(level(_one_per_name(_pick(items, aliased), items), LEVELS[2]).select(*cols))
+    if not rest.isEmpty():
+        out = out.unionByName(level(search_keyword(items, rest), LEVELS[3]).select(*cols))
+    return out
 
 
 # --- results ----------------------------------------------------------------
 
 def summary(items: DataFrame, terms: DataFrame, aliases: DataFrame) -> DataFrame:
     """Per term the level and the numbers of items, entities and categories."""
-    hits = with_entity(resolve(items.select("category", "name", "title", "description"), terms, aliases))
+    hits = resolve(items, terms, aliases).withColumn("entity", entity_of(F.col("name")))
     # Distinct (entity, category) counts first: a term with very many items stays cheap.
     small = hits.groupBy("term_pos", "level", "entity", "category").agg(F.count("*").alias("n"))
     totals = small.groupBy("term_pos", "level").agg(

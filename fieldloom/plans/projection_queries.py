@@ -19,6 +19,11 @@ def ui(spark, root):
     return P.ui_items(catalog(spark, root), groups(spark, root))
 
 
+def written_ui(spark, root):
+    """The projection as a table: the checks look at what users of it see."""
+    return _snapshot(spark, root, "ui", lambda: materialize(ui(spark, root), "ui"))
+
+
 def idempotent(spark, root):
     """A fresh build from the tables and the written catalog differ in nothing."""
     return C.content_difference(catalog(spark, root), merged(spark, root))
@@ -27,15 +32,15 @@ def idempotent(spark, root):
 QUERIES = {
     "ui_groups": lambda s, r: groups(s, r),
     "ui_items": ui,
-    "missing_group_anti": lambda s, r: C.missing_groups(ui(s, r), groups(s, r)).select("group_id", "name"),
+    "missing_group_anti": lambda s, r: C.missing_groups(written_ui(s, r), groups(s, r)).select("group_id", "name"),
     "check_nonempty": lambda s, r: C.nonempty(catalog(s, r), categories(s, r)),
     "check_description": lambda s, r: C.description(catalog(s, r)),
     "check_empty_category": lambda s, r: C.empty_category(catalog(s, r), categories(s, r)),
     "check_orphan_curated": lambda s, r: C.orphan_curated(catalog(s, r), view(s, r, "curated")),
-    "check_ui_complete": lambda s, r: C.ui_complete(catalog(s, r), ui(s, r), groups(s, r)),
-    "check_ui_lengths": lambda s, r: C.ui_lengths(ui(s, r)),
-    "check_unique_key": lambda s, r: C.unique_key(catalog(s, r), ui(s, r)),
-    "check_ui_fk": lambda s, r: C.ui_foreign_keys(ui(s, r), groups(s, r), categories(s, r)),
-    "check_report": lambda s, r: C.report(catalog(s, r), categories(s, r), view(s, r, "curated"), ui(s, r), groups(s, r)),
+    "check_ui_complete": lambda s, r: C.ui_complete(catalog(s, r), written_ui(s, r), groups(s, r)),
+    "check_ui_lengths": lambda s, r: C.ui_lengths(written_ui(s, r)),
+    "check_unique_key": lambda s, r: C.unique_key(catalog(s, r), written_ui(s, r)),
+    "check_ui_fk": lambda s, r: C.ui_foreign_keys(written_ui(s, r), groups(s, r), categories(s, r)),
+    "check_report": lambda s, r: C.report(catalog(s, r), categories(s, r), view(s, r, "curated"), written_ui(s, r), groups(s, r)),
     "check_idempotent": idempotent,
 }

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rules import DIALECTS
@@ -29,14 +26,12 @@ def _terms(spark, root):
 
 
 def _resolved(spark, root):
-    return S.resolve(_items(spark, root), *_terms(spark, root))
+    return S.resolve(_items(spark, root), *_terms(spark, root)).select("level", *HIT)
 
 
-def search_alias(spark, root):
-    """Alias hits with the list of targets that led to items."""
-    terms, aliases = _terms(spark, root)
-    hits = S.search_alias(_items(spark, root), terms, aliases).select(*HIT)
-    return hits.join(S.alias_targets_hit(_items(spark, root), terms, aliases), "term")
+def top_n(spark, root):
+    """The hits are written: counting them and ranking them are two passes."""
+    return S.top_n(materialize(_resolved(spark, root), "hits"), TOP).select("rank", "level", "more", *HIT)
 
 
 def _selection(spark, root):
@@ -44,8 +39,9 @@ def _selection(spark, root):
 
 
 def columns(spark, root):
-    return D.table_columns(_selection(spark, root)).select(
-        "table_name", "position", "column_name", "name", "data_type", "byte_length", "decimal_scale", "is_required", "is_fk", "target")
+    return _snapshot(spark, root, "columns", lambda: materialize(D.table_columns(_selection(spark, root)).select(
+        "table_name", "position", "column_name", "name", "data_type", "byte_length", "decimal_scale", "is_required",
+        "is_fk", "target", "allowed_values", "description"), "columns"))
 
 
 def levels(spark, root):
@@ -53,8 +49,7 @@ def levels(spark, root):
 
 
 def table_text(spark, root):
-    parts = [D.create_table_lines(_selection(spark, root), d, levels(spark, root)) for d in DIALECTS]
-    return reduce(DataFrame.unionByName, parts).select("dialect", "level", "table_name", "section", "position", "line")
+    return D.create_table_lines(_selection(spark, root), columns(spark, root), levels(spark, root), DIALECTS)
 
 
 def upsert_items(spark, root):
@@ -75,13 +70,13 @@ QUERIES = {
     "term_match_theta": lambda s, r: S.term_matches(_items(s, r), _terms(s, r)[0]),
     "search_category": lambda s, r: S.search_category(_items(s, r), _terms(s, r)[0]).select(*HIT),
     "search_entity": lambda s, r: S.search_entity(_items(s, r), _terms(s, r)[0]).select(*HIT),
-    "search_alias": search_alias,
+    "search_alias": lambda s, r: S.search_alias(_items(s, r), *_terms(s, r)).select(*HIT, "targets"),
     "search_keyword": lambda s, r: S.search_keyword(_items(s, r), _terms(s, r)[0]).select(*HIT),
-    "resolve_terms": lambda s, r: _resolved(s, r).select("level", *HIT),
+    "resolve_terms": _resolved,
     "search_summary": lambda s, r: S.summary(_items(s, r), *_terms(s, r)),
-    "search_topn": lambda s, r: S.top_n(_resolved(s, r), TOP).select("rank", "level", "more", *HIT),
-    "search_union": lambda s, r: S.union_terms(_resolved(s, r)).select("level", *HIT),
-    "entity_table_defs": columns,
+    "search_topn": top_n,
+    "search_union": lambda s, r: S.union_terms(_resolved(s, r)),
+    "entity_table_defs": lambda s, r: columns(s, r).drop("allowed_values", "description"),
     "fk_edges": lambda s, r: D.foreign_keys(_selection(s, r)),
     "fk_edge_join": lambda s, r: D.table_edges(_selection(s, r)),
     "reverse_relations": lambda s, r: D.reverse_relations(_selection(s, r)).drop("place"),

@@ -53,4 +53,4 @@ def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> D
         df.write.parquet(path)
     else:
         df.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
