@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import entity_of, entity_or_blank, field_of, has_dot, snake_dotted
+from ..functions.rows import explode_list
 from ..functions.rules import completeness_score
 from ..functions.values import join_non_empty, json_quote, parse_allowed_values, truthy
 from ..literals import literal_table
@@ -132,7 +133,7 @@ def _facts(norm: DataFrame, key: list[str], kinds: tuple[str, ...]) -> DataFrame
         owner = json_quote(F.when(truthy(F.col("source_standard")), F.col("source_standard")).otherwise("unknown"))
         lists.append(F.transform(parse_allowed_values(F.col("allowed_values")),
                                  lambda v, i: fact(VALUE, owner, v, i)))
-    rows = norm.select(*key, "ord", F.explode(F.concat(*lists)).alias("f")).select(*key, "ord", "f.*")
+    rows = explode_list(norm, [*key, "ord"], F.concat(*lists), "f").select(*key, "ord", "f.*")
     rows = rows.filter((F.col("kind") == SOURCE) | truthy(F.col("value")))
     # One decimal holds (ord, position): a fixed-width buffer keeps this a hash aggregate.
     rank = F.col("ord").cast("decimal(20,0)") * F.lit(1_000_000_000).cast("decimal(10,0)") + F.col("pos").cast("decimal(10,0)")

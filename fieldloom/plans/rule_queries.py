@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import names as N
 from ..functions import rules as U
+from ..functions.rows import explode_list
 from ..functions.values import parse_allowed_values
 from ..operators import enrich as E
 from ..operators import projection as P
@@ -37,8 +38,8 @@ def synthesize(spark, root):
 
 
 def allowed_values(spark, root):
-    parts = view(spark, root, "raw_items").select("ord", F.posexplode(parse_allowed_values(F.col("allowed_values"))).alias("pos", "value"))
-    return parts
+    raw = view(spark, root, "raw_items")
+    return explode_list(raw, ["ord"], parse_allowed_values(F.col("allowed_values")), "pos", "value", position=True)
 
 
 def validation(spark, root):

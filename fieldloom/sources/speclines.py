@@ -47,13 +47,13 @@ def parse_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     tokens = F.filter(F.split(F.substring_index(text, "#", 1), f"{SPACE}+"), lambda t: t != "")
     title = strip(F.substr(text, F.instr(text, "#") + 1))
     rows = rows.withColumn("tokens", tokens).withColumn("title", title).filter(F.size("tokens") > 0)
-    flagged = F.coalesce(F.rlike(F.get("tokens", 1), F.lit(r"^[*?]+$")), F.lit(False))
+    flagged = F.coalesce(F.rlike(F.try_element_at("tokens", F.lit(2)), F.lit(r"^[*?]+$")), F.lit(False))
     first = F.when(flagged, 3).otherwise(2)
     rest = F.slice("tokens", first, F.size("tokens"))
     # Tokens before the first attribute; position 0 means that there is none.
     cut = F.array_position(F.transform(rest, lambda t: F.contains(t, F.lit("=")) | (t == "dlpkey")), True)
     spec = F.slice(rest, F.lit(1), F.when(cut > 0, cut.cast("int") - 1).otherwise(F.size(rest)))
-    rows = rows.withColumn("code", F.get("tokens", 0)).withColumn("spec", F.array_join(spec, " ")).drop("tokens", line)
+    rows = rows.withColumn("code", F.try_element_at("tokens", F.lit(1))).withColumn("spec", F.array_join(spec, " ")).drop("tokens", line)
     return rows.filter((F.col("spec") != "") & ~base_code(F.col("code")).isin(INTERNAL_CODES))
 
 
