@@ -25,12 +25,17 @@ def _fragment(v: Column) -> Column:
     return F.coalesce(F.to_json(v), F.lit("null"))
 
 
+def _starts(av: Column, pattern: str) -> Column:
+    return F.rlike(av, F.lit(rf"^\s*{pattern}"))
+
+
+# A failed parse is costly: texts that cannot be of a shape are not even tried.
 def is_json_array(av: Column) -> Column:
-    return F.json_array_length(av).isNotNull()
+    return F.when(_starts(av, r"\["), F.json_array_length(av)).isNotNull()
 
 
 def is_json_object(av: Column) -> Column:
-    return F.json_object_keys(av).isNotNull()
+    return F.when(_starts(av, r"\{"), F.json_object_keys(av)).isNotNull()
 
 
 def parse_allowed_values(av: Column) -> Column:
@@ -46,7 +51,7 @@ def parse_allowed_values(av: Column) -> Column:
             ).otherwise(F.array(_fragment(v))),
         )
     )
-    scalar = F.try_parse_json(av)
+    scalar = F.when(_starts(av, r'(["0-9-]|true|false|null)'), F.try_parse_json(av))
     return (
         F.when(~truthy(av), F.expr("cast(array() AS array<string>)"))
         .when(is_json_array(av), F.transform(items, _fragment))

@@ -247,6 +247,11 @@ def merge_items(norm: DataFrame, key: list[str] | None = None) -> DataFrame:
     return df.select(*[out[c].alias(c) if c in out else F.col(c) for c in CATALOG_COLUMNS], *extra)
 
 
+def with_item_id(catalog: DataFrame) -> DataFrame:
+    """A surrogate key that stays the same across rebuilds."""
+    return catalog.withColumn("item_id", F.xxhash64("category", "name", "source_standard"))
+
+
 # --- reports ----------------------------------------------------------------
 
 def group_concepts(norm: DataFrame) -> DataFrame:
@@ -257,7 +262,7 @@ def group_concepts(norm: DataFrame) -> DataFrame:
 
 def merge_report(norm: DataFrame) -> DataFrame:
     """Keys confirmed by several sources, their sources and member counts."""
-    facts = _facts(norm.withColumn("ord", F.col("ord")), KEY, (SOURCE,))
+    facts = _facts(norm, KEY, (SOURCE,))
     counts = norm.groupBy(*KEY).agg(F.count("*").alias("count"))
     sources = facts.groupBy(*KEY).agg(
         F.count("*").alias("n_sources"),

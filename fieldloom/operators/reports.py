@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from ..functions.rules import coverage_grade, is_blank
 
+# A matrix has one column per source; the row form has no such limit.
+MAX_COLUMNS = 2_000
+
 
 def atomic_sources(joined: Column, separator: str = ";") -> Column:
     """Single sources of a joined list, trimmed, blanks dropped, order kept."""
@@ -28,7 +31,10 @@ def source_category_matrix(items: DataFrame, sources: list[str] | None = None) -
     """Category by source with row and column totals."""
     counts = source_category_counts(items)
     if sources is None:
-        sources = [r[0] for r in counts.select("source").distinct().orderBy("source").collect()]
+        found = counts.select("source").distinct().limit(MAX_COLUMNS + 1).collect()
+        if len(found) > MAX_COLUMNS:
+            raise ValueError(f"more than {MAX_COLUMNS} sources: use source_category_edges, the same counts as rows")
+        sources = sorted(r[0] for r in found)
     cells = [F.coalesce(F.sum(F.when(F.col("source") == s, F.col("n"))), F.lit(0)).alias(s) for s in sources]
     return (counts.rollup("category").agg(F.grouping_id().alias("g"), *cells, F.sum("n").alias("total"))
             .withColumn("category", F.when(F.col("g") == 1, "Total").otherwise(F.col("category"))).drop("g"))

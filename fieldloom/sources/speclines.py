@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import materialize
+
 SPACE = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
 COMPONENT = r"\[?([NXYZ])(\.\.)?(\d+)"
 ASSETS, CRM, FINANCE = "Maintenance / Asset Management", "Customer Relationship Management (CRM)", "Finance / Accounting"
@@ -68,7 +70,7 @@ def spec_type(code: Column, spec: Column) -> Column:
 
 def spec_length(spec: Column) -> Column:
     """Largest component length, when the spec starts with a component."""
-    sizes = F.transform(F.regexp_extract_all(spec, F.lit(COMPONENT), F.lit(3)), lambda n: n.cast("int"))
+    sizes = F.transform(F.regexp_extract_all(spec, F.lit(COMPONENT), F.lit(3)), lambda n: n.try_cast("int"))
     return F.when(F.rlike(spec, F.lit("^" + COMPONENT)), F.array_max(sizes))
 
 
@@ -89,15 +91,36 @@ def title_slug(title: Column) -> Column:
 
 
 def unique_names(rows: DataFrame, prefix: str = "gs1.") -> DataFrame:
-    """Name from the title; later lines with the same title add their code.
+    """Name from the title; a line whose name is already taken adds its code.
 
     The first line per slug comes from a partial aggregation that is joined back,
-    not from a window that would sort a frequent title in one task.
+    not from a window that would sort a frequent title in one task.  A first line
+    can still find its slug taken by an earlier suffixed name; those few lines are
+    looked up until no further one turns up.
     """
     rows = rows.withColumn("slug", title_slug(F.col("title")))
-    first = rows.groupBy("slug").agg(F.min("ord").alias("first_ord"))
-    suffix = F.when(F.col("ord") > F.col("first_ord"), F.concat(F.lit("_"), F.translate("code", "-", "_"))).otherwise("")
-    return rows.join(first, "slug").withColumn("name", F.concat(F.lit(prefix), F.col("slug"), suffix)).drop("slug", "first_ord")
+    suffixed = F.concat_ws("_", "slug", F.translate("code", "-", "_"))
+    first = rows.groupBy("slug").agg(F.min(F.struct("ord", "code")).alias("f")).select(
+        "slug", F.col("f.ord").alias("first_ord"), F.col("f.code").alias("code"))
+    first = materialize(first, "slugs")
+    heads = first.select("slug", "first_ord")
+    late = rows.join(heads, "slug").filter("ord > first_ord")
+    taken = late.select(suffixed.alias("slug"), "ord").groupBy("slug").agg(F.min("ord").alias("ord"))
+    renamed = None
+    while True:
+        hit = first.join(taken, "slug").filter("ord < first_ord")
+        if renamed is not None:
+            hit = hit.join(renamed, "slug", "left_anti")
+        hit = materialize(hit.select("slug", "first_ord", "code"), "taken")
+        if hit.isEmpty():
+            break
+        renamed = hit.select("slug") if renamed is None else renamed.unionByName(hit.select("slug"))
+        taken = hit.select(suffixed.alias("slug"), F.col("first_ord").alias("ord")).groupBy("slug").agg(F.min("ord").alias("ord"))
+    if renamed is not None:
+        heads = heads.join(renamed, "slug", "left_anti")
+    heads = heads.withColumnRenamed("first_ord", "ord").withColumn("plain", F.lit(True))
+    named = rows.join(heads, ["slug", "ord"], "left")
+    return named.withColumn("name", F.concat(F.lit(prefix), F.when(F.col("plain"), F.col("slug")).otherwise(suffixed))).drop("slug", "plain")
 
 
 def describe(code: Column, title: Column, spec: Column) -> Column:

@@ -140,3 +140,15 @@ def test_spec_lines(spark):
         (8, "8001", "[X5] N..2", "ROLL", "VARCHAR", 5, S.PRODUCT, "gs1.roll"),
         (9, "20", "N2", "GTIN", "VARCHAR", 2, S.PRODUCT, "gs1.gtin_20"),
     ]
+
+
+def test_names_taken_by_a_suffixed_name(spark):
+    rows = [(0, "01", "A"), (1, "02", "A"), (2, "03", "A 02"), (3, "04", "A 02 03"), (4, "05", "B 05"), (5, "06", "B")]
+    df = spark.createDataFrame(rows, "ord bigint, code string, title string")
+    got = [r["name"] for r in S.unique_names(df, "").orderBy("ord").collect()]
+    seen, want = set(), []
+    for _, code, title in rows:
+        slug = title.lower().replace(" ", "_")
+        want.append(f"{slug}_{code}" if slug in seen else slug)
+        seen.add(want[-1])
+    assert got == want == ["a", "a_02", "a_02_03", "a_02_03_04", "b_05", "b"]

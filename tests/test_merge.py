@@ -110,3 +110,9 @@ def test_overrides_and_backfill(spark, items):
     filled = backfill_descriptions(cat, {}).filter("name = 'a.z'").head()["description"]
     assert filled == "A: Zed."
     assert backfill_descriptions(cat, {}, category="other").filter("name = 'a.z'").head()["description"] is None
+
+
+def test_item_ids_are_stable(items):
+    cat = H.with_item_id(H.merge_items(items(dict(name="a"), dict(name="b"), dict(name="a", category="D"))))
+    first, again = ({(r["category"], r["name"]): r["item_id"] for r in cat.collect()} for _ in range(2))
+    assert first == again and len(set(first.values())) == 3
