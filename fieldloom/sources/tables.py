@@ -10,6 +10,7 @@ from __future__ import annotations
 from string import Template
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -126,14 +127,39 @@ VIEWS = {
 }
 
 
+# A table inside these bounds has too few splits to occupy all cores, yet enough
+# rows for the work on them to matter.
+SPREAD_BYTES = (512 << 10, 64 << 20)
+
+
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
+
+
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{name}.parquet")
+    """One input table; its schema is read from the files once per session."""
+    path = f"{root}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = spark.read.parquet(path).schema
+    df = spark.read.schema(_SCHEMAS[key]).parquet(path)
+    return df.repartition(spark.sparkContext.defaultParallelism) if _is_compact(df) else df
+
+
+def _is_compact(df: DataFrame) -> bool:
+    """Whether the files are small enough to be read by one or few tasks.
+
+    Looks at file sizes only.  A larger table comes in many splits already and is
+    never shuffled just to be read.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return SPREAD_BYTES[0] <= size <= SPREAD_BYTES[1]
 
 
 def view(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A derived view as a lazy DataFrame over the tables below ``root``."""
-    paths = {t: f"parquet.`{root}/{t}.parquet`" for t in TABLES}
-    return spark.sql(Template(VIEWS[name]).substitute(paths))
+    text = VIEWS[name].replace("{", "{{").replace("}", "}}")
+    used = {t: table(spark, root, t) for t in TABLES if f"${t}" in text}
+    return spark.sql(Template(text).substitute({t: "{" + t + "} AS " + t for t in used}), **used)
 
 
 def view_sql(name: str) -> str:
