@@ -11,6 +11,7 @@ from ..functions.values import join_non_empty
 from .ranking import with_global_rank
 from .reports import atomic_sources
 
+# Texts of the two special groups, and bytes reserved per character.
 WIZARD_TEXT = ("Transient wizard and junction (relation) models, grouped together; "
                "Name keeps the full source path.")
 CATALOG_TEXT = "GS1 Application Identifier catalog."

@@ -9,29 +9,23 @@ from pyspark.sql import functions as F
 from ..literals import literal_table
 from ..storage import materialize
 
-SINGLE_TASK_ROWS = 10_000
-
 
 def with_global_rank(df: DataFrame, order_by: list[str], name: str, start: int = 1) -> DataFrame:
     """Number rows by ``order_by`` (which must be unique).
 
-    A table known to be small is numbered by one window.  A larger one is range
-    partitioned and written together with its partition number; each partition is
-    numbered on its own and shifted by the rows before it.  Only one count per
-    partition reaches the driver.
+    The rows are range partitioned and written together with their partition
+    number, so that both later passes see the same ranges and ``df`` is computed
+    once.  Each partition is then numbered on its own and shifted by the rows
+    before it.  Only one count per partition reaches the driver.
     """
-    small = df.limit(SINGLE_TASK_ROWS + 1).count() <= SINGLE_TASK_ROWS
-    if small:
-        return df.withColumn(name, F.row_number().over(W.orderBy(*order_by)).cast("bigint") + (start - 1))
-    part = "__part"
-    ranged = df.repartitionByRange(*order_by).withColumn(part, F.spark_partition_id())
-    ranged = materialize(ranged, "ranked")
-    counts = sorted((r[0], r[1]) for r in ranged.groupBy(part).count().collect())
+    part, shift = "__part", "__shift"
+    ranged = materialize(df.repartitionByRange(*order_by).withColumn(part, F.spark_partition_id()), "ranked")
     offsets, before = [], start - 1
-    for p, n in counts:
+    for p, n in sorted(tuple(r) for r in ranged.groupBy(part).count().collect()):
         offsets.append((p, before))
         before += n
-    shifts = literal_table(df.sparkSession, [part, "__shift"], offsets)
-    local = F.row_number().over(W.partitionBy(part).orderBy(*order_by))
-    return (ranged.withColumn(name, local).join(shifts, part)
-            .withColumn(name, F.col(name).cast("bigint") + F.col("__shift")).drop(part, "__shift"))
+    if not offsets:
+        return df.withColumn(name, F.lit(None).cast("bigint"))
+    local = F.row_number().over(W.partitionBy(part).orderBy(*order_by)).cast("bigint")
+    shifts = literal_table(df.sparkSession, [part, shift], offsets)
+    return ranged.join(shifts, part).withColumn(name, local + F.col(shift)).drop(part, shift)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..storage import materialize
 
 SPACE = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
+# A length component of a spec, and the category names.
 COMPONENT = r"\[?([NXYZ])(\.\.)?(\d+)"
 ASSETS, CRM, FINANCE = "Maintenance / Asset Management", "Customer Relationship Management (CRM)", "Finance / Accounting"
 INVENTORY, PRODUCT, LOGISTICS = "Inventory / Warehouse", "Product Master Data", "Supply Chain / Logistics"

@@ -107,11 +107,11 @@ def test_longest_prefix_parent(spark):
         "a": None, "a.b.c": "a", "a.b.c.d": "a.b.c", "ab": None, "x.y": None}
 
 
-def test_global_rank_of_a_large_table(spark, monkeypatch):
-    monkeypatch.setattr(ranking, "SINGLE_TASK_ROWS", 10)
+def test_global_rank(spark):
     df = spark.range(5000).selectExpr("id % 7 AS a", "sha2(string(id), 256) AS b").repartition(6)
     got = [(r["a"], r["b"]) for r in ranking.with_global_rank(df, ["a", "b"], "n").orderBy("n").collect()]
     assert got == sorted(got) and len(got) == 5000
+    assert ranking.with_global_rank(df.limit(0), ["a", "b"], "n").count() == 0
     assert ranking.with_global_rank(df, ["a", "b"], "n", start=5).agg(F.min("n"), F.max("n"), F.count_distinct("n")).head() == (5, 5004, 5000)
 
 
