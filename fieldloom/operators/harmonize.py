@@ -16,6 +16,7 @@ from ..functions.rows import explode_list
 from ..functions.rules import completeness_score
 from ..functions.values import join_non_empty, json_quote, parse_allowed_values, truthy
 from ..literals import literal_table
+from ..storage import materialize
 
 KEY = ["category", "name"]
 
@@ -197,16 +198,33 @@ CATALOG_COLUMNS = [
 ]
 
 
-def merge_items(norm: DataFrame, key: list[str] | None = None) -> DataFrame:
+def _encoded(c: str) -> Column:
+    """A nullable text as a text that is never NULL, so that it can be a join key."""
+    return F.when(F.col(c).isNull(), "").otherwise(F.concat(F.lit("="), c))
+
+
+def _decoded(c: str) -> Column:
+    return F.when(F.col(c) != "", F.substr(c, F.lit(2)))
+
+
+def merge_items(norm: DataFrame, key: list[str] | None = None, mostly_lone: bool = False) -> DataFrame:
     """One row per key: lone items unchanged, the others merged by the rules.
 
     Two aggregations over the same key are joined without another shuffle: the
     survivors (one row per key and map task after partial aggregation) and the
     distinct provenance facts.
+
+    ``mostly_lone`` is for inputs where few keys have several members.  The keys
+    that do are found and written first, from the key columns alone, and facts are
+    only made for their items; the lone ones never enter the wider shuffles.
     """
     key = key or KEY
+    nullable = [c for c in key if c not in KEY and dict(norm.dtypes)[c] == "string"]
+    encoded = {c: f"__{c}" for c in nullable}
+    norm = norm.withColumns({k: _encoded(c) for c, k in encoded.items()})
+    on = [encoded.get(c, c) for c in key]
     payload = [c for c in RAW_SCHEMA if c not in key and c != "ord"]
-    core = norm.groupBy(*key).agg(
+    core = norm.groupBy(*on).agg(
         F.count("*").alias("n_members"),
         F.min("ord").alias("first_ord"),
         primary_row(payload).alias("p"),
@@ -215,10 +233,12 @@ def merge_items(norm: DataFrame, key: list[str] | None = None) -> DataFrame:
         F.max("byte_length").alias("max_length"),
         any_required().alias("required"),
     )
-    facts = collect_facts(norm, key, (SOURCE, URL, VERSION, VALUE))
-    nullable = [c for c in key if c not in KEY]
-    on = [F.col(f"c.{c}").eqNullSafe(F.col(f"f.{c}")) if c in nullable else F.col(f"c.{c}") == F.col(f"f.{c}") for c in key]
-    df = core.alias("c").join(facts.alias("f"), on).select("c.*", "f.facts")
+    merging = norm
+    if mostly_lone:
+        several = materialize(norm.groupBy(*on).count().filter("count > 1").select(*on), "several")
+        merging = norm.join(several, on, "left_semi")
+    facts = collect_facts(merging, on, (SOURCE, URL, VERSION, VALUE))
+    df = core.join(facts, on, "left" if mostly_lone else "inner")
     df = add_merged_values(df)
     lone = F.col("n_members") == 1
 
@@ -239,8 +259,9 @@ def merge_items(norm: DataFrame, key: list[str] | None = None) -> DataFrame:
         "format_mask": p["format_mask"],
         "source_url": pick(p["source_url"], joined_urls()),
         "version": pick(p["version"], joined_versions()),
-        "n_sources": count_sources(),
+        "n_sources": pick(F.lit(1).cast("bigint"), count_sources()),
     }
+    out |= {c: _decoded(k) for c, k in encoded.items()}
     if "source_standard" not in key:
         out["source_standard"] = pick(p["source_standard"], joined_sources())
     extra = [c for c in key if c not in CATALOG_COLUMNS]
