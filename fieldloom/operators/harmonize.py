@@ -207,16 +207,26 @@ def _decoded(c: str) -> Column:
     return F.when(F.col(c) != "", F.substr(c, F.lit(2)))
 
 
-def merge_items(norm: DataFrame, key: list[str] | None = None, mostly_lone: bool = False) -> DataFrame:
+def only_merging(norm: DataFrame, key: list[str]) -> DataFrame:
+    """Items whose key has several members.
+
+    The keys are found from the key columns alone and written, so their true size
+    decides between a broadcast and a shuffled semi join.
+    """
+    several = materialize(norm.groupBy(*key).count().filter("count > 1").select(*key), "several")
+    return norm.join(several, key, "left_semi")
+
+
+def merge_items(norm: DataFrame, key: list[str] | None = None, preselect: bool = True) -> DataFrame:
     """One row per key: lone items unchanged, the others merged by the rules.
 
     Two aggregations over the same key are joined without another shuffle: the
     survivors (one row per key and map task after partial aggregation) and the
     distinct provenance facts.
 
-    ``mostly_lone`` is for inputs where few keys have several members.  The keys
-    that do are found and written first, from the key columns alone, and facts are
-    only made for their items; the lone ones never enter the wider shuffles.
+    ``preselect`` finds the keys with several members first, by one narrow pass,
+    and makes facts for their items only.  Lone items, most of a usual catalog, then
+    stay out of the wider shuffles.  Without it the plan is entirely lazy.
     """
     key = key or KEY
     nullable = [c for c in key if c not in KEY and dict(norm.dtypes)[c] == "string"]
@@ -233,12 +243,9 @@ def merge_items(norm: DataFrame, key: list[str] | None = None, mostly_lone: bool
         F.max("byte_length").alias("max_length"),
         any_required().alias("required"),
     )
-    merging = norm
-    if mostly_lone:
-        several = materialize(norm.groupBy(*on).count().filter("count > 1").select(*on), "several")
-        merging = norm.join(several, on, "left_semi")
+    merging = only_merging(norm, on) if preselect else norm
     facts = collect_facts(merging, on, (SOURCE, URL, VERSION, VALUE))
-    df = core.join(facts, on, "left" if mostly_lone else "inner")
+    df = core.join(facts, on, "left" if preselect else "inner")
     df = add_merged_values(df)
     lone = F.col("n_members") == 1
 

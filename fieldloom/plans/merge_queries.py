@@ -44,8 +44,8 @@ def merge_required(spark, root):
 
 
 def _with_facts(spark, root, kinds) -> DataFrame:
-    norm = normalized(spark, root)
-    counts = norm.groupBy(*KEY).agg(F.count("*").alias("n_members")).filter("n_members > 1")
+    norm = H.only_merging(normalized(spark, root), KEY)
+    counts = norm.groupBy(*KEY).agg(F.count("*").alias("n_members"))
     return counts.join(H.collect_facts(norm, KEY, kinds), KEY, "left")
 
 

@@ -122,7 +122,7 @@ def test_both_ways_to_merge_agree(items):
     raw = items(dict(name="a", source_standard="S", source_url="u"), dict(name="a", source_standard="T", allowed_values='["x"]'),
                 dict(name="b", description="", allowed_values="y", source_standard=None), dict(name="c", title="t", source_standard=""))
     for key in (None, [*H.KEY, "source_standard"]):
-        first, second = H.merge_items(raw, key), H.merge_items(raw, key, mostly_lone=True)
+        first, second = H.merge_items(raw, key), H.merge_items(raw, key, preselect=False)
         assert first.count() > 0 and first.exceptAll(second).isEmpty() and second.exceptAll(first).isEmpty()
     by_source = {(r["name"], r["source_standard"]) for r in H.merge_items(raw, [*H.KEY, "source_standard"]).collect()}
     assert by_source == {("a", "S"), ("a", "T"), ("b", None), ("c", "")}
