@@ -1 +1 @@
-
+"""Column functions over names, allowed values and item columns."""

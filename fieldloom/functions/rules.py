@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .names import entity_of, field_of, humanize, identifier
-from .values import display_values, json_quote, string_members, truthy
+from .values import display_values, string_members, truthy
 
 # Words that mark a transient dialog model, and the group they form.
 WIZARD_WORDS = ["ask", "start", "result", "preview", "context", "default", "show"]

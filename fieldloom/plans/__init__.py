@@ -1 +1 @@
-
+"""Named queries and the written catalog they share."""

@@ -1 +1 @@
-
+"""Item batches that arrive over time."""
