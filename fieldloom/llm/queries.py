@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash
+from . import bpe, langid, simhash
 
-MODULES = [simhash]
+MODULES = [bpe, langid, simhash]
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
