@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldloom.llm import simhash
+from fieldloom.llm import langid, packing, simhash, suffix
 from fieldloom.storage import materialize
 
-STAGES = [("simhash_near_dedup", simhash.keep_one)]
+STAGES = [
+    ("language_id", langid.keep_known),
+    ("simhash_near_dedup", simhash.keep_one),
+    ("suffix_array_dedup", suffix.drop_repeats),
+    ("best_fit_packing", packing.pack_stage),
+]
 ORACLE_SQL = None
 
 

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, packing, simhash
+from . import bpe, langid, packing, simhash, suffix
 
-MODULES = [bpe, langid, packing, simhash]
+MODULES = [bpe, langid, packing, simhash, suffix]
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
