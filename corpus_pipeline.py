@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldloom.llm import langid, packing, simhash, suffix
+from fieldloom.llm import langid, packing, pii, simhash, suffix
 from fieldloom.storage import materialize
 
 STAGES = [
     ("language_id", langid.keep_known),
     ("simhash_near_dedup", simhash.keep_one),
     ("suffix_array_dedup", suffix.drop_repeats),
+    ("personal_data", pii.mask_stage),
     ("best_fit_packing", packing.pack_stage),
 ]
 ORACLE_SQL = None
