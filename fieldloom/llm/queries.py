@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, packing, pii, simhash, suffix
+from . import bpe, langid, packing, pii, simhash, suffix, warc
 
-MODULES = [bpe, langid, packing, pii, simhash, suffix]
+MODULES = [bpe, langid, packing, pii, simhash, suffix, warc]
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
