@@ -49,6 +49,13 @@ def _lengths(column: pa.Array) -> np.ndarray:
     return pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+def _numbers(column: pa.Array) -> np.ndarray:
+    """A numeric column; lists of one length become the rows of a matrix."""
+    if pa.types.is_list(column.type):
+        return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+    return column.to_numpy(zero_copy_only=False)
+
+
 def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[dict[str, np.ndarray], np.ndarray]]:
     """Numeric columns and the bounds of groups of equal ``keys``, from rows sorted by them.
 
@@ -59,7 +66,7 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterato
     for batch in batches:
         if not batch.num_rows:
             continue
-        new = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in batch.schema.names}
+        new = {n: _numbers(batch.column(n)) for n in batch.schema.names}
         rows = new if held is None else {n: np.concatenate([held[n], new[n]]) for n in new}
         n = len(rows[keys[0]])
         change = np.zeros(n - 1, bool)
