@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, embed, langid, lm, packing, pii, simhash, suffix, warc
+from . import bm25, bpe, embed, langid, lm, packing, pii, simhash, suffix, warc
 
-MODULES = [bpe, embed, langid, lm, packing, pii, simhash, suffix, warc]
+MODULES = [bm25, bpe, embed, langid, lm, packing, pii, simhash, suffix, warc]
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
