@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 import re
+from array import array
 from functools import cache
 
 import numpy as np
@@ -22,8 +23,9 @@ from pyspark.sql import functions as F
 from .batches import pieces, sha256_hex, table
 
 #: Longest chunk of text whose ids are remembered, and how many are.
-MEMO_CHARS, MEMO_SIZE = 48, 400_000
+MEMO_CHARS, MEMO_SIZE = 40, 1_000_000
 #: A space between two characters that are no white space; a match of the split pattern never crosses it.
+ENDED = re.compile(r"(\w*[^\W\d_])([^\w\s]{1,8})")
 SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -88,14 +90,20 @@ def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class Memo(dict):
-    """Ids, as little-endian unsigned 32-bit bytes, of chunks of text between safe spaces."""
+    """Ids, as unsigned 32-bit bytes (little-endian on all machines Spark runs on), of chunks of text between safe spaces.
+
+    When half of the bound is reached, what is held becomes the older half; what
+    is asked for again returns from there, so frequent chunks stay.
+    """
 
     def __init__(self, encode, lead: str):
         super().__init__()
-        self.encode, self.lead = encode, lead
+        self.encode, self.lead, self.older = encode, lead, {}
 
     def __missing__(self, part: str) -> bytes | None:
-        if not part or part[0].isspace() or part[-1].isspace():
+        if part in self.older:
+            out = self.older[part]
+        elif not part or part[0].isspace() or part[-1].isspace():
             out = None                               # the split at single spaces does not hold here
         else:
             out = self.fresh(part)
@@ -104,7 +112,33 @@ class Memo(dict):
         return out
 
     def fresh(self, part: str) -> bytes:
-        return np.array(self.encode(self.lead + part), "<u4").tobytes()
+        return array("I", self.encode(self.lead + part)).tobytes()
+
+    def turn(self) -> None:
+        if len(self) > MEMO_SIZE // 2:
+            self.older = dict(self)
+            self.clear()
+
+
+class Chunks(Memo):
+    """Chunks, put together from parts that no match of the pattern crosses.
+
+    Such borders are those between a letter and punctuation, and both sides of a
+    line feed between characters that are no white space.
+    """
+
+    def __init__(self, encode, lead: str, starts: Chunks | None = None):
+        super().__init__(encode, lead)
+        self.tails, self.starts = Memo(encode, ""), self if starts is None else starts
+        self.feed = array("I", encode("\n")).tobytes()
+
+    def fresh(self, part: str) -> bytes:
+        if "\n" in part:
+            head, *lines = part.split("\n")
+            parts = [self[head], *map(self.starts.__getitem__, lines)]
+            return super().fresh(part) if None in parts else self.feed.join(parts)
+        ended = ENDED.fullmatch(part)
+        return self[ended[1]] + self.tails[ended[2]] if ended else super().fresh(part)
 
 
 class ChunkEncoder:
@@ -116,20 +150,20 @@ class ChunkEncoder:
     """
 
     def __init__(self, encode):
-        self.first, self.later = Memo(encode, ""), Memo(encode, " ")
+        self.first = Chunks(encode, "")
+        self.later = Chunks(encode, " ", self.first)
 
     def __call__(self, text: str) -> bytes:
         if not text:
             return b""
-        for memo in (self.first, self.later):
-            if len(memo) > MEMO_SIZE:
-                memo.clear()
+        self.first.turn()
+        self.later.turn()
         head, *tail = text.split(" ")
         try:
             return self.first[head] + b"".join(map(self.later.__getitem__, tail))
         except TypeError:                            # None: white space beside a space
             head, *tail = SAFE_SPACE.split(text)
-            return self.first.fresh(head) + b"".join([self.later[p] or self.later.fresh(p) for p in tail])
+            return Memo.fresh(self.first, head) + b"".join([self.later[p] or Memo.fresh(self.later, p) for p in tail])
 
 
 class BytePairCodec:
