@@ -15,8 +15,8 @@ hold in floating point and equal documents have equal scores.
 
 from __future__ import annotations
 
-import math
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,7 @@ from .batches import pieces, table, utf8
 #: Term saturation, length normalization, results per query.
 K1, B, TOP = 1.2, 0.75, 10
 #: Bytes of text of a shard, documents of a block, bytes of text of a block of queries.
-SHARD_BYTES, BLOCK, QUERY_BYTES = 24 << 20, 64, 12 << 20
+SHARD_BYTES, BLOCK, QUERY_BYTES = 24 << 20, 64, 6 << 20
 #: Blocks searched before the first look at the bounds.
 FIRST_BLOCKS = 8
 #: Stands for a null id inside a shard; sorts last.
@@ -44,7 +44,8 @@ def terms(text: bytes | None) -> list[bytes]:
 
 # --- index ------------------------------------------------------------------------------------
 
-SHARD = "ids array<long>, lengths array<int>, terms array<binary>, df array<int>, docs array<int>, counts array<int>"
+#: Arrays are kept as their bytes, terms joined by line feeds: a shard passes the JVM as a few byte strings.
+SHARD = "n long, words long, ids binary, lengths binary, terms binary, df binary, docs binary, counts binary"
 
 
 def build_shard(ids: list[int | None], texts: list[bytes | None]) -> pa.RecordBatch:
@@ -61,11 +62,13 @@ def build_shard(ids: list[int | None], texts: list[bytes | None]) -> pa.RecordBa
     place[[number[w] for w in names]] = np.arange(len(names))
     at = place[np.array(term, np.int64)]
     order = np.argsort(at, kind="stable")
-    columns = [np.bincount(at, minlength=len(names)), np.array(doc, np.int32)[order], np.array(count, np.int32)[order]]
+    arrays = [
+        np.array([NO_ID if i is None else i for i in ids], np.int64), np.array(lengths, np.int32), None,
+        np.bincount(at, minlength=len(names)).astype(np.int32), np.array(doc, np.int32)[order], np.array(count, np.int32)[order],
+    ]
+    blobs = [b"\n".join(names) if a is None else a.tobytes() for a in arrays]
     return pa.RecordBatch.from_arrays(
-        [pa.array([ids], pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int32())), pa.array([names], pa.list_(pa.binary())),
-         *(pa.array([c.astype(np.int32)], pa.list_(pa.int32())) for c in columns)],
-        names=[c.split()[0] for c in SHARD.split(", ")],
+        [pa.array([len(ids)], pa.int64()), pa.array([sum(lengths)], pa.int64()), *(pa.array([b], pa.binary()) for b in blobs)], names=[c.split()[0] for c in SHARD.split(", ")]
     )
 
 
@@ -94,12 +97,15 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 class Shard:
     """A shard ready to be searched: postings by term, and their largest impact in each block of documents."""
 
-    def __init__(self, row: dict[str, pa.Array], average: float, wanted: dict[bytes, int]):
-        self.ids = row["ids"].fill_null(NO_ID).to_numpy(zero_copy_only=False)
-        lengths, df, docs, counts = (row[c].to_numpy(zero_copy_only=False) for c in ("lengths", "df", "docs", "counts"))
+    def __init__(self, row: dict[str, bytes], average: float, wanted: dict[bytes, int]):
+        self.ids = np.frombuffer(row["ids"], np.int64)
+        lengths, df, docs, counts = (np.frombuffer(row[c], np.int32) for c in ("lengths", "df", "docs", "counts"))
         stop = np.cumsum(df)
-        #: places of the wanted terms that occur here
-        self.place = {wanted[w]: k for k, w in enumerate(row["terms"].to_pylist()) if w in wanted}
+        #: by term number the term's place here, or -1
+        self.place = np.full(len(wanted) + 1, -1, np.int32)
+        for k, word in enumerate(names_of(row)):
+            self.place[wanted.get(word, -1)] = k
+        self.place[-1] = -1
         norm = K1 * (1 - B + B * lengths / average)
         impact = counts * (K1 + 1) / (counts + norm[docs])
         owner = np.repeat(np.arange(len(df)), df)
@@ -113,12 +119,13 @@ class Shard:
         self.to_entry = np.searchsorted(first, stop)
         self.blocks = -(-len(self.ids) // BLOCK)
 
-    def search(self, query: list[tuple[int, float]], k: int) -> list[tuple[int, float]]:
-        """The ``k`` best (id, score), by score and then id, among documents with a term of the query (term number, weight)."""
-        here = [(self.place[t], w) for t, w in query if t in self.place]
-        if not here:
-            return []
-        places, weights = np.array([p for p, _ in here]), np.array([w for _, w in here])
+    def search(self, numbers: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and scores of the ``k`` best, by score and then id, among documents with a term of the query (term numbers in order, weights)."""
+        places = self.place[numbers]
+        here = places >= 0
+        places, weights = places[here], weights[here]
+        if not len(places):
+            return np.zeros(0, np.int64), np.zeros(0)
         entries = spread(self.from_entry[places], self.to_entry[places])
         weight = np.repeat(weights, self.to_entry[places] - self.from_entry[places])
         block = self.block[entries]
@@ -140,7 +147,7 @@ class Shard:
                 least = np.partition(scores, len(scores) - k)[len(scores) - k]
         some = np.flatnonzero((scores >= max(least, 0)) & (scores > 0))
         best = some[np.lexsort((self.ids[some], -scores[some]))[:k]]
-        return list(zip(self.ids[best].tolist(), scores[best].tolist(), strict=True))
+        return self.ids[best], scores[best]
 
 
 def spread(start: np.ndarray, stop: np.ndarray) -> np.ndarray:
@@ -153,18 +160,30 @@ def spread(start: np.ndarray, stop: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(start - before, lengths)
 
 
+def names_of(row: dict[str, bytes]) -> list[bytes]:
+    return row["terms"].split(b"\n") if row["terms"] else []
+
+
 def _rows(batches):
-    """The shards of the batches, one by one, as arrays."""
+    """The shards of the batches, one by one."""
     for batch in batches:
         for k in range(batch.num_rows):
-            yield {n: batch.column(n)[k].values for n in batch.schema.names}
+            yield {n: batch.column(n)[k].as_py() for n in batch.schema.names}
+
+
+@lru_cache(maxsize=1)
+def _numbers(blob: bytes) -> dict[bytes, int]:
+    """Numbers of the terms of a block of queries; one per worker process."""
+    return {w: i for i, w in enumerate(blob.split(b"\n") if blob else [])}
 
 
-def _frequencies(wanted: dict[bytes, int]):
+def _frequencies(blob):
+    """``blob``: a broadcast block of terms, joined."""
     def run(batches):
+        wanted = _numbers(blob.value)
         total = np.zeros(len(wanted), np.int64)
         for row in _rows(batches):
-            for word, n in zip(row["terms"].to_pylist(), row["df"].to_numpy(zero_copy_only=False).tolist(), strict=True):
+            for word, n in zip(names_of(row), np.frombuffer(row["df"], np.int32).tolist(), strict=True):
                 at = wanted.get(word)
                 if at is not None:
                     total[at] += n
@@ -177,13 +196,16 @@ def _frequencies(wanted: dict[bytes, int]):
 FOUND = "query_id long, doc_id long, score double"
 
 
-def _search(queries: list[tuple[int, list[tuple[int, float]]]], wanted: dict[bytes, int], average: float, k: int):
+def _search(blob, queries, average: float, k: int):
+    """``queries``: broadcast ids, bounds, term numbers and weights of a block of queries."""
     def run(batches):
+        ids, bounds, numbers, weights = queries.value
         for row in _rows(batches):
-            shard = Shard(row, average, wanted)
-            out = [(q, None if d == NO_ID else d, s) for q, query in queries for d, s in shard.search(query, k)]
-            columns = list(zip(*out, strict=True)) or [[]] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64())], names=["query_id", "doc_id", "score"])
+            shard = Shard(row, average, _numbers(blob.value))
+            found = [shard.search(numbers[a:b], weights[a:b], k) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            docs, scores = (np.concatenate(c) for c in zip(*found, strict=True))
+            owners = np.repeat(ids, [len(d) for d, _ in found])
+            yield pa.RecordBatch.from_arrays([pa.array(owners), pa.array(docs, mask=docs == NO_ID), pa.array(scores)], names=["query_id", "doc_id", "score"])
 
     return run
 
@@ -197,7 +219,7 @@ def top_k(docs: DataFrame, is_query: Column, k: int = TOP, id_col: str = "doc_id
     """
     spark = docs.sparkSession
     index = build_index(docs, id_col, text_col, shard_bytes)
-    sums = index.agg(F.sum(F.size("ids").cast("long")).alias("n"), F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x)).alias("words")).first()
+    sums = index.agg(F.sum("n").alias("n"), F.sum("words").alias("words")).first()
     n, average = sums.n or 0, max(1e-9, (sums.words or 0) / max(1, sums.n or 0))
     chosen = docs.where(is_query & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("query_id"), utf8(text_col).alias("text"))
     chosen = chosen.groupBy("query_id").agg(F.max("text").alias("text"))
@@ -207,11 +229,20 @@ def top_k(docs: DataFrame, is_query: Column, k: int = TOP, id_col: str = "doc_id
     best = spark.createDataFrame([], FOUND)
     for block in range(blocks):
         rows = [(r.query_id, Counter(terms(r.text))) for r in stored.where(F.col("block") == block).orderBy("query_id").collect()]     # about query_bytes of text
-        wanted = {w: i for i, w in enumerate(sorted({w for _, q in rows for w in q}))}
-        df = {r.term: r.df for r in index.select("terms", "df").mapInArrow(_frequencies(wanted), "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toLocalIterator()}
-        idf = [math.log(1 + (n - df.get(i, 0) + 0.5) / (df.get(i, 0) + 0.5)) for i in range(len(wanted))]
-        queries = [(q, sorted((wanted[w], c * idf[wanted[w]]) for w, c in found.items())) for q, found in rows]
-        best = best.union(materialize(index.mapInArrow(_search(queries, wanted, average, k), FOUND), "shard-best"))
+        if not any(q for _, q in rows):
+            continue
+        names = sorted({w for _, q in rows for w in q})
+        number = {w: i for i, w in enumerate(names)}
+        blob = spark.sparkContext.broadcast(b"\n".join(names))
+        df = np.zeros(len(names))
+        for r in index.select("terms", "df").mapInArrow(_frequencies(blob), "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toLocalIterator():
+            df[r.term] = r.df
+        idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
+        terms_of = [np.array(sorted(number[w] for w in q), np.int32) for _, q in rows]
+        times = [np.array([q[names[t]] for t in mine.tolist()], float) for mine, (_, q) in zip(terms_of, rows, strict=True)]
+        packed = np.array([i for i, _ in rows]), np.cumsum([0, *map(len, terms_of)]), np.concatenate(terms_of), np.concatenate([c * idf[t] for c, t in zip(times, terms_of, strict=True)])
+        queries = spark.sparkContext.broadcast(packed)
+        best = best.union(materialize(index.drop("n", "words").mapInArrow(_search(blob, queries, average, k), FOUND), "shard-best"))
     order = W.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", F.round("score", 6).alias("score"))
 
