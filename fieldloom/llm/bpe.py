@@ -2,9 +2,9 @@
 
 A leaf of the tree belongs to the byte at which a live part of the piece starts
 and holds the rank of the pair of this part and its right neighbour; an inner
-node holds the leftmost smallest rank below it.  A merge takes the root, joins
-the two parts and updates at most three leaves, each in logarithmic time, so a
-piece of n bytes costs n log n however long it is.
+node holds the leftmost smallest rank of its ``FAN`` children.  A merge takes the
+root, joins the two parts and updates at most three leaves, each in logarithmic
+time, so a piece of n bytes costs n log n however long it is.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 
 from .batches import pieces, sha256_hex, table
 
+#: Children of an inner node of the segment tree.
+FAN = 16
 #: Longest chunk of text whose ids are remembered, and how many are.
 MEMO_CHARS, MEMO_SIZE = 40, 1_000_000
 #: A space between two characters that are no white space; a match of the split pattern never crosses it.
@@ -40,48 +42,41 @@ def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
         return [ranks[piece]]
     n = len(piece)
     size = 1 << (n - 1).bit_length()
-    none = len(ranks) * size * 4 + size
+    none = 1 << 62
     after = list(range(1, n + 1))                    # start of the next live part
     before = list(range(-1, n - 1))
     rank = ranks.get
-    tree = [none] * (2 * size)
-
-    def weight(i: int) -> int:
-        j = after[i]
-        if j >= n:
-            return none
-        found = rank(piece[i:after[j]])
-        return none if found is None else found * size + i      # equal ranks: the leftmost is smaller
-
-    for i in range(n - 1):
-        tree[size + i] = weight(i)
-    for k in range(size - 1, 0, -1):
-        a, b = tree[2 * k], tree[2 * k + 1]
-        tree[k] = a if a < b else b
-
-    def put(i: int, value: int) -> None:
-        k = size + i
-        if tree[k] == value:
-            return
-        tree[k] = value
-        while k > 1:
-            k >>= 1
-            a, b = tree[2 * k], tree[2 * k + 1]
-            low = a if a < b else b
-            if tree[k] == low:
-                break
-            tree[k] = low
-
-    while tree[1] < none:
-        i = tree[1] & (size - 1)
+    # equal ranks: the leftmost is smaller, as a leaf holds its place too
+    pairs = [rank(piece[i:i + 2]) for i in range(n - 1)]
+    leaves = [none if found is None else found * size + i for i, found in enumerate(pairs)]
+    levels = [leaves]
+    while len(levels[-1]) > FAN:
+        below = levels[-1]
+        levels.append([min(below[k:k + FAN]) for k in range(0, len(below), FAN)])
+    root = levels[-1]
+    while (top := min(root)) < none:
+        i = top & (size - 1)
         j = after[i]
-        after[i] = k = after[j]
-        if k < n:
-            before[k] = i
-        put(j, none)
-        put(i, weight(i))
-        if before[i] >= 0:
-            put(before[i], weight(before[i]))
+        after[i] = end = after[j]
+        right = None
+        if end < n:
+            before[end] = i
+            right = rank(piece[i:after[end]])
+            leaves[j] = none
+        leaves[i] = none if right is None else right * size + i
+        h = before[i]
+        if h >= 0:
+            left = rank(piece[h:end])
+            leaves[h] = none if left is None else left * size + h
+        for k in (j, i, h) if root is not leaves else ():
+            if not 0 <= k < n - 1:
+                continue
+            for below, level in zip(levels, levels[1:], strict=False):    # up as long as something changes
+                k //= FAN
+                low = min(below[k * FAN:k * FAN + FAN])
+                if level[k] == low:
+                    break
+                level[k] = low
     out, i = [], 0
     while i < n:
         out.append(ranks[piece[i:after[i]]])
