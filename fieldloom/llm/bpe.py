@@ -109,8 +109,8 @@ class Memo(dict):
     def fresh(self, part: str) -> bytes:
         return array("I", self.encode(self.lead + part)).tobytes()
 
-    def turn(self) -> None:
-        if len(self) > MEMO_SIZE // 2:
+    def turn(self, bound: int) -> None:
+        if len(self) > bound // 2:
             self.older = dict(self)
             self.clear()
 
@@ -144,15 +144,16 @@ class ChunkEncoder:
     Chunks are remembered up to a bound, so most of a text is looked up.
     """
 
-    def __init__(self, encode):
+    def __init__(self, encode, bound: int | None = None):
+        self.bound = bound or MEMO_SIZE
         self.first = Chunks(encode, "")
         self.later = Chunks(encode, " ", self.first)
 
     def __call__(self, text: str) -> bytes:
         if not text:
             return b""
-        self.first.turn()
-        self.later.turn()
+        self.first.turn(self.bound)
+        self.later.turn(self.bound)
         head, *tail = text.split(" ")
         try:
             return self.first[head] + b"".join(map(self.later.__getitem__, tail))

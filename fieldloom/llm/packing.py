@@ -34,6 +34,8 @@ from .bpe import ChunkEncoder
 
 #: Tokens of a sequence, number of equal groups of large pieces, shortest large piece.
 CAPACITY, GROUPS, LARGE = 2048, 512, 2048 // 3 + 1
+#: Chunks of text whose ids a worker remembers.
+REMEMBERED = 500_000
 #: Token id that ends a document.
 END = 0
 # Fixed value: the split pattern of byte-level vocabularies.
@@ -211,9 +213,9 @@ def _encoder(path: str) -> ChunkEncoder:
         special = {t.content for t in tokenizer.get_added_tokens_decoder().values()}
         ranks = {bytes(letters[c] for c in token): n for token, n in tokenizer.get_vocab().items() if token not in special}
         fast = tiktoken.Encoding("pieces", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        return ChunkEncoder(fast if all(fast(p) == slow(p) for p in PROBES) else slow)
+        return ChunkEncoder(fast if all(fast(p) == slow(p) for p in PROBES) else slow, REMEMBERED)
     except (ImportError, KeyError, ValueError):
-        return ChunkEncoder(slow)
+        return ChunkEncoder(slow, REMEMBERED)
 
 
 PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("part", pa.int64()), ("local", pa.int64())])

@@ -39,7 +39,9 @@ from .batches import pieces, table, utf8
 LENGTH, SEED = 200, 80
 REACH = LENGTH - SEED
 #: Entries of a run, entries of a range of the exchange, occurrences that make a seed hot.
-RUN, RANGE, HOT = 150_000, 20_000, 20_000
+RUN, RANGE, HOT = 60_000, 20_000, 20_000
+#: Texts are searched for anchors in slices of about two to this power bytes; a dozen arrays of eight bytes for each are held.
+SLICE_BITS = 20
 #: Documents that the ranges' bounds are taken from; they affect balance only.
 SAMPLE_DOCS = 400
 #: Base of the rolling hash, modulo 2**64.
@@ -67,7 +69,7 @@ def anchors(buffer: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     n = len(buffer)
     if n < LENGTH:
         return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)
-    up, down = _powers(1 << max(22, int(n - 1).bit_length()))
+    up, down = _powers(1 << max(SLICE_BITS, int(n - 1).bit_length()))
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum((buffer.astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
     seeds = _mixed((sums[SEED:] - sums[:-SEED]) * down[:n - SEED + 1])
@@ -103,7 +105,7 @@ def _joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def _anchor_batches(counted: bool):
     """Seeds with how often the task has them, or one row per anchor."""
     def run(batches):
-        for part in pieces(batches, "text"):
+        for part in pieces(batches, "text", 1 << SLICE_BITS):
             texts = [t or b"" for t in part.column("text").to_pylist()]
             buffer, ends = _joined(texts)
             place, near, far, seed = anchors(buffer, ends)
@@ -269,7 +271,7 @@ def repeated_windows(entries: list[tuple[bytes, bytes, int, int]], group: np.nda
         row[REACH - len(before):REACH] = np.frombuffer(before, np.uint8)[::-1]
     near, far = (np.array([e[k] for e in entries]) for k in (2, 3))
     sums = np.zeros((n, REACH + LENGTH + 1), np.uint64)
-    np.cumsum((matrix.astype(np.uint64) + np.uint64(1)) * _powers(1 << 22)[0][:REACH + LENGTH], axis=1, out=sums[:, 1:])
+    np.cumsum((matrix.astype(np.uint64) + np.uint64(1)) * _powers(1 << SLICE_BITS)[0][:REACH + LENGTH], axis=1, out=sums[:, 1:])
     salt = _mixed(group.astype(np.uint64) + np.uint64(1))
     out = np.zeros((n, REACH + 1), bool)
     for i in range(REACH + 1):
@@ -341,7 +343,7 @@ def merge_range(rows: pa.Table) -> pa.Table:
 
 
 def _sample_batches(batches):
-    for part in pieces(batches, "text"):
+    for part in pieces(batches, "text", 1 << SLICE_BITS):
         buffer, ends = _joined([t or b"" for t in part.column("text").to_pylist()])
         place = anchors(buffer, ends)[0]
         data = buffer.tobytes()
