@@ -94,7 +94,7 @@ def relation_hint(description: Column) -> Column:
 def relation_target(description: Column) -> Column:
     """Table a description links to; NULL for none and for several."""
     targets = F.filter(F.transform(F.split(relation_hint(description), ","), lambda t: F.trim(t)), lambda t: t != "")
-    return F.when(F.size(targets) == 1, identifier(F.element_at(targets, 1)))
+    return F.nullif(F.when(F.size(targets) == 1, identifier(F.element_at(targets, 1))), F.lit(""))
 
 
 def is_collection(description: Column) -> Column:

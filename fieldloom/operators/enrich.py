@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from ..functions.rules import is_blank, synthesize_description
 
 
+def one_text_per_name(curated: DataFrame) -> DataFrame:
+    """``(name, description)``: of several texts for a name the smallest holds; a missing text only if there is no other."""
+    return curated.groupBy("name").agg(F.min("description").alias("description"))
+
+
 def override_descriptions(items: DataFrame, curated: DataFrame) -> DataFrame:
     """Curated texts replace whatever is there, by exact name.
 
@@ -17,7 +22,7 @@ def override_descriptions(items: DataFrame, curated: DataFrame) -> DataFrame:
     nothing.  This is a stage of its own after the merge: the text of a source
     does not survive it.
     """
-    texts = curated.select("name", F.col("description").alias("__text"))
+    texts = one_text_per_name(curated).withColumnRenamed("description", "__text")
     text = F.coalesce(F.col("__text"), F.col("description"))
     return (items.join(texts, "name", "left")
             .withColumn("changed", ~text.eqNullSafe(F.col("description")))

@@ -131,13 +131,13 @@ def _facts(norm: DataFrame, key: list[str], kinds: tuple[str, ...]) -> DataFrame
     single = {SOURCE: "source_standard", URL: "source_url", VERSION: "version"}
     lists = [F.array(*[fact(k, nothing, F.col(single[k]), zero) for k in kinds if k in single])]
     if VALUE in kinds:
-        owner = json_quote(F.when(truthy(F.col("source_standard")), F.col("source_standard")).otherwise("unknown"))
+        owner = F.when(truthy(F.col("source_standard")), F.col("source_standard")).otherwise("unknown")
         lists.append(F.transform(parse_allowed_values(F.col("allowed_values")),
                                  lambda v, i: fact(VALUE, owner, v, i)))
     rows = explode_list(norm, [*key, "ord"], F.concat(*lists), "f").select(*key, "ord", "f.*")
     rows = rows.filter((F.col("kind") == SOURCE) | truthy(F.col("value")))
-    # One decimal holds (ord, position): a fixed-width buffer keeps this a hash aggregate.
-    rank = F.col("ord").cast("decimal(20,0)") * F.lit(1_000_000_000).cast("decimal(10,0)") + F.col("pos").cast("decimal(10,0)")
+    # One decimal holds (ord, position): a fixed-width buffer keeps this a hash aggregate. No list has 2**31 members.
+    rank = F.col("ord").cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(10,0)") + F.col("pos").cast("decimal(10,0)")
     return rows.groupBy(*key, "kind", "owner", "value").agg(F.min(rank).alias("rank"))
 
 
@@ -172,7 +172,7 @@ def add_merged_values(df: DataFrame, name: str = "merged_values") -> DataFrame:
     """Allowed values of a merged key, from its ``facts``.
 
     One vocabulary, or equal ones, give a flat array; different ones give an
-    object keyed by source, keys sorted; no values give NULL.
+    object keyed by source, sorted by the sources' plain names; no values give NULL.
     """
     df = df.withColumn("__values", F.filter("facts", lambda f: f["kind"] == VALUE))
     df = df.withColumn("__owners", F.array_distinct(F.transform("__values", lambda f: f["owner"])))
@@ -185,7 +185,7 @@ def add_merged_values(df: DataFrame, name: str = "merged_values") -> DataFrame:
     by_source = F.concat(
         F.lit("{"),
         F.array_join(F.transform(pairs, lambda p: F.concat(
-            p["o"], F.lit(":["), F.array_join(p["vs"], ","), F.lit("]"))), ","),
+            json_quote(p["o"]), F.lit(":["), F.array_join(p["vs"], ","), F.lit("]"))), ","),
         F.lit("}"))
     df = df.withColumn(name, F.when(F.size("__owners") == 0, F.lit(None)).when(agree, flat).otherwise(by_source))
     return df.drop("__values", "__owners", "__lists")
@@ -224,14 +224,18 @@ def merge_items(norm: DataFrame, key: list[str] | None = None, preselect: bool =
     survivors (one row per key and map task after partial aggregation) and the
     distinct provenance facts.
 
-    ``preselect`` finds the keys with several members first, by one narrow pass,
-    and makes facts for their items only.  Lone items, most of a usual catalog, then
-    stay out of the wider shuffles.  Without it the plan is entirely lazy.
+    ``preselect`` runs jobs while the plan is built: it writes the input once, finds
+    the keys with several members by one narrow pass over that table, and makes
+    facts for their items only.  Lone items, most of a usual catalog, then stay out
+    of the wider shuffles.  Without it the plan is entirely lazy.  Missing categories
+    and names are keys like any other.
     """
     key = key or KEY
-    nullable = [c for c in key if c not in KEY and dict(norm.dtypes)[c] == "string"]
+    nullable = [c for c in key if dict(norm.dtypes)[c] == "string"]
     encoded = {c: f"__{c}" for c in nullable}
     norm = norm.withColumns({k: _encoded(c) for c, k in encoded.items()})
+    if preselect:
+        norm = materialize(norm, "items")
     on = [encoded.get(c, c) for c in key]
     payload = [c for c in RAW_SCHEMA if c not in key and c != "ord"]
     core = norm.groupBy(*on).agg(
@@ -272,7 +276,7 @@ def merge_items(norm: DataFrame, key: list[str] | None = None, preselect: bool =
     if "source_standard" not in key:
         out["source_standard"] = pick(p["source_standard"], joined_sources())
     extra = [c for c in key if c not in CATALOG_COLUMNS]
-    return df.select(*[out[c].alias(c) if c in out else F.col(c) for c in CATALOG_COLUMNS], *extra)
+    return df.select(*[out[c].alias(c) if c in out else F.col(c) for c in CATALOG_COLUMNS], *[out.get(c, F.col(c)).alias(c) for c in extra])
 
 
 def with_item_id(catalog: DataFrame) -> DataFrame:

@@ -7,10 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.rules import coverage_grade, is_blank
-
-# A matrix has one column per source; the row form has no such limit.
-MAX_COLUMNS = 2_000
-
+from .enrich import one_text_per_name
 
 def atomic_sources(joined: Column, separator: str = ";") -> Column:
     """Single sources of a joined list, trimmed, blanks dropped, order kept."""
@@ -27,14 +24,9 @@ def source_category_counts(items: DataFrame) -> DataFrame:
     return explode_sources(items, "category").groupBy("category", "source").agg(F.count("*").alias("n"))
 
 
-def source_category_matrix(items: DataFrame, sources: list[str] | None = None) -> DataFrame:
-    """Category by source with row and column totals."""
+def source_category_matrix(items: DataFrame, sources: list[str]) -> DataFrame:
+    """Category by the given sources with row and column totals; ``source_category_counts`` has all of them as rows."""
     counts = source_category_counts(items)
-    if sources is None:
-        found = counts.select("source").distinct().limit(MAX_COLUMNS + 1).collect()
-        if len(found) > MAX_COLUMNS:
-            raise ValueError(f"more than {MAX_COLUMNS} sources: use source_category_edges, the same counts as rows")
-        sources = sorted(r[0] for r in found)
     cells = [F.coalesce(F.sum(F.when(F.col("source") == s, F.col("n"))), F.lit(0)).alias(s) for s in sources]
     return (counts.rollup("category").agg(F.grouping_id().alias("g"), *cells, F.sum("n").alias("total"))
             .withColumn("category", F.when(F.col("g") == 1, "Total").otherwise(F.col("category"))).drop("g"))
@@ -66,7 +58,7 @@ def category_counts(items: DataFrame, categories: DataFrame) -> DataFrame:
 
 def coverage(items: DataFrame, curated: DataFrame) -> DataFrame:
     """Origin of descriptions per category, with a row for all of them."""
-    texts = curated.select("name", F.col("description").alias("curated_text"))
+    texts = one_text_per_name(curated).withColumnRenamed("description", "curated_text")
     missing = is_blank(F.col("description"))
     is_curated = ~missing & F.coalesce(F.col("description") == F.col("curated_text"), F.lit(False))
     per_category = (items.select("category", "name", "description").join(texts, "name", "left")

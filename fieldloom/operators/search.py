@@ -7,8 +7,6 @@ category and entity names; items are only touched by the final join.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -17,63 +15,46 @@ from ..functions.names import entity_of
 from ..storage import materialize
 
 LEVELS = ["category", "entity", "alias", "keyword"]
-INLINE_TERMS = 200
+# Characters of a literal by which terms and texts meet.
 GRAM = 3
 
 
 # --- substring matching -----------------------------------------------------
 
-def _like(text: Column, term: str) -> Column:
-    """Substring match; ``%`` and ``_`` in a term act as wildcards."""
-    if "%" in term or "_" in term:
-        return F.like(text, F.lit("%" + term.replace("\\", "\\\\") + "%"))
-    return F.contains(text, F.lit(term))
-
-
-def match_substrings(rows: DataFrame, texts: list[str], terms: DataFrame) -> DataFrame:
-    """``rows`` paired with every term that occurs in one of ``texts``.
-
-    Few terms become conditions of one scan.  More than ``INLINE_TERMS`` are
-    found through a shared piece of text instead, see ``match_by_gram``.
-    """
-    few = terms.select("lookup").distinct().limit(INLINE_TERMS + 1).collect()
-    if len(few) > INLINE_TERMS:
-        return match_by_gram(rows, texts, terms)
-    if not few:
-        return rows.withColumn("lookup", F.lit("")).limit(0)
-    hits = F.array_compact(F.array(*[
-        F.when(_any(texts, lambda c, t=r[0]: _like(F.lower(F.coalesce(c, F.lit(""))), t)), F.lit(r[0])) for r in few]))
-    return rows.withColumn("lookup", F.explode(hits))
-
-
-def _any(texts: list[str], test: Callable[[Column], Column]) -> Column:
+def _occurs(texts: list[str], lookup: Column | str) -> Column:
+    """Whether the term is in one of the texts; ``%`` and ``_`` in it act as wildcards, a backslash does not."""
+    pattern = F.concat(F.lit("%"), F.replace(lookup, F.lit("\\"), F.lit("\\\\")), F.lit("%"))
     out = F.lit(False)
     for t in texts:
-        out = out | test(F.col(t))
+        out = out | F.like(F.lower(F.coalesce(F.col(t), F.lit(""))), pattern)
     return out
 
 
-def match_by_gram(rows: DataFrame, texts: list[str], terms: DataFrame) -> DataFrame:
-    """The same pairs by an equi-join.
+def match_substrings(rows: DataFrame, key: list[str], texts: list[str], terms: DataFrame) -> DataFrame:
+    """``rows`` paired with every term that occurs in one of ``texts``; ``key`` names a row.
 
-    The longest literal run of a term gives an anchor of up to three characters;
-    a row offers its distinct pieces of that length.  Every term has one anchor,
-    so a pair meets once, and the full pattern is then checked.  A term without
-    any literal meets every row through the empty anchor.
+    The longest literal run of a term gives an anchor of ``GRAM`` characters. Of a
+    row only its key and its distinct pieces of that length meet the anchors; each
+    term has one anchor, so a pair meets once. The rows come back by key, and the
+    whole pattern is checked. Terms without such a run match a large share of all
+    rows or none by nature; they form one list that every row is checked against,
+    without a join. Missing terms are ignored.
     """
     runs = F.split("lookup", "[%_]")
     longest = F.aggregate(runs, F.lit(""), lambda a, r: F.when(F.length(r) > F.length(a), r).otherwise(a))
-    anchored = terms.select("lookup").distinct().withColumn("anchor", F.substring(longest, 1, GRAM))
+    anchored = terms.select("lookup").filter("lookup IS NOT NULL").distinct().withColumn("anchor", F.substring(longest, 1, GRAM))
+    is_long = F.length("anchor") == GRAM
     text = F.lower(F.concat_ws("\n", *[F.coalesce(F.col(t), F.lit("")) for t in texts]))
-
-    def grams(n: int) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - (n - 1), F.lit(1))),
-                           lambda i: F.substr(text, i, F.lit(n)))
-
-    pieces = F.array_distinct(F.concat(F.array(F.lit("")), *[grams(n) for n in range(1, GRAM + 1)]))
-    pairs = rows.withColumn("anchor", F.explode(pieces)).join(anchored, "anchor")
-    pattern = F.concat(F.lit("%"), F.replace("lookup", F.lit("\\"), F.lit("\\\\")), F.lit("%"))
-    return pairs.filter(_any(texts, lambda c: F.like(F.lower(F.coalesce(c, F.lit(""))), pattern))).drop("anchor")
+    starts = F.when(F.length(text) >= GRAM, F.sequence(F.lit(1), F.length(text) - (GRAM - 1)))
+    pieces = rows.select(*key, F.explode(F.array_distinct(F.transform(starts, lambda i: F.substr(text, i, F.lit(GRAM))))).alias("anchor"))
+    pairs = pieces.join(anchored.filter(is_long), "anchor").select(*[F.col(c).alias(f"__{c}") for c in key], "lookup")
+    same = F.lit(True)
+    for c in key:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    found = rows.join(pairs, same).filter(_occurs(texts, "lookup")).select(*rows.columns, "lookup")
+    short = anchored.filter(~is_long).agg(F.collect_list("lookup")).scalar()
+    checked = rows.withColumn("__short", short).withColumn("lookup", F.explode(F.filter("__short", lambda t: _occurs(texts, t))))
+    return found.unionByName(checked.drop("__short"))
 
 
 # --- selectors ---------------------------------------------------------------
@@ -89,7 +70,7 @@ def _lookups(terms: DataFrame) -> DataFrame:
 
 def category_selectors(names: DataFrame, wanted: DataFrame) -> DataFrame:
     """``(lookup, category)``: the text occurs in the category's name."""
-    return match_substrings(names.select("category").distinct(), ["category"], wanted).select("lookup", "category")
+    return match_substrings(names.select("category").distinct(), ["category"], ["category"], wanted).select("lookup", "category")
 
 
 def entity_selectors(names: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -147,7 +128,7 @@ def search_entity(items: DataFrame, terms: DataFrame) -> DataFrame:
 
 def search_keyword(items: DataFrame, terms: DataFrame) -> DataFrame:
     wanted = _lookups(terms)
-    return wanted.join(match_substrings(items, ["name", "title", "description"], wanted), "lookup").drop("lookup")
+    return wanted.join(match_substrings(items, ["category", "name"], ["name", "title", "description"], wanted), "lookup").drop("lookup")
 
 
 def _first_target(selectors: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from ..functions.values import parse_allowed_values
 from ..operators import enrich as E
 from ..operators import projection as P
 from ..operators import reports as R
-from ..sources.tables import view
+from ..sources.tables import SOURCES, view
 from .catalog import catalog, categories
 
 # Display names of the test catalog.
@@ -97,7 +97,7 @@ QUERIES = {
     "backfill_descriptions": lambda s, r: E.backfill_descriptions(catalog(s, r), DISPLAY_NAMES).select(
         "category", "name", "description"),
     "longest_prefix_parent": lambda s, r: P.longest_prefix_parent(raw_entities(s, r)),
-    "source_category_matrix": lambda s, r: R.source_category_matrix(catalog(s, r)),
+    "source_category_matrix": lambda s, r: R.source_category_matrix(catalog(s, r), SOURCES),
     "source_category_edges": lambda s, r: R.source_category_edges(catalog(s, r)),
     "coverage_by_category": lambda s, r: R.coverage(overridden(s, r), view(s, r, "curated")),
     "dictionary_stats": lambda s, r: R.dictionary_stats(catalog(s, r), categories(s, r)),

@@ -17,6 +17,7 @@ def local_session(cpus: int | str = 8, app: str = "fieldloom", **conf: str) -> S
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.files.openCostInBytes", "1048576")
+        .config("spark.fieldloom.scan.tasks", str(cpus))
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)

@@ -127,32 +127,26 @@ VIEWS = {
 }
 
 
-# A table inside these bounds has too few splits to occupy all cores, yet enough
-# rows for the work on them to matter.
-SPREAD_BYTES = (512 << 10, 64 << 20)
-
+SPREAD = "spark.fieldloom.scan.tasks"
+#: Sources of the test catalog.
+SOURCES = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 
 _SCHEMAS: dict[tuple[str, str], StructType] = {}
 
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """One input table; its schema is read from the files once per session."""
+    """One input table; its schema is read from the files once per session.
+
+    A session that sets ``SPREAD`` gets its tables dealt out over so many tasks:
+    a setting for few cores and files of one row group, such as the bench has.
+    """
     path = f"{root}/{name}.parquet"
     key = (spark.sparkContext.applicationId, path)
     if key not in _SCHEMAS:
         _SCHEMAS[key] = spark.read.parquet(path).schema
     df = spark.read.schema(_SCHEMAS[key]).parquet(path)
-    return df.repartition(spark.sparkContext.defaultParallelism) if _is_compact(df) else df
-
-
-def _is_compact(df: DataFrame) -> bool:
-    """Whether the files are small enough to be read by one or few tasks.
-
-    Looks at file sizes only.  A larger table comes in many splits already and is
-    never shuffled just to be read.
-    """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return SPREAD_BYTES[0] <= size <= SPREAD_BYTES[1]
+    tasks = spark.conf.get(SPREAD, None)
+    return df.repartition(int(tasks)) if tasks else df
 
 
 def view(spark: SparkSession, root: str, name: str) -> DataFrame:

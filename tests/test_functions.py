@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from fieldloom.functions import names as N
 from fieldloom.functions import rules as U
 from fieldloom.functions import values as V
+from fieldloom.operators.enrich import override_descriptions
+from fieldloom.operators.reports import coverage
 from fieldloom.sources import speclines as S
 from fieldloom.sources.markup import strip_markup
 
@@ -152,3 +154,15 @@ def test_names_taken_by_a_suffixed_name(spark):
         want.append(f"{slug}_{code}" if slug in seen else slug)
         seen.add(want[-1])
     assert got == want == ["a", "a_02", "a_02_03", "a_02_03_04", "b_05", "b"]
+
+
+def test_target_of_signs_only_is_none(spark):
+    df = spark.createDataFrame([("(references ---)",), ("(references A-b)",)], "d string")
+    assert [r[0] for r in df.select(U.relation_target(F.col("d"))).collect()] == [None, "a_b"]
+
+
+def test_a_name_with_two_texts_counts_once(spark):
+    curated = spark.createDataFrame([("a", "z"), ("a", "b"), ("a", None)], "name string, description string")
+    rows = spark.createDataFrame([("C", "a", "b"), ("C", "c", None)], "category string, name string, description string")
+    assert sorted((r["name"], r["description"]) for r in override_descriptions(rows, curated).collect()) == [("a", "b"), ("c", None)]
+    assert [(r["items"], r["curated"]) for r in coverage(rows, curated).filter("category = 'C'").collect()] == [(2, 1)]

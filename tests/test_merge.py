@@ -126,3 +126,20 @@ def test_both_ways_to_merge_agree(items):
         assert first.count() > 0 and first.exceptAll(second).isEmpty() and second.exceptAll(first).isEmpty()
     by_source = {(r["name"], r["source_standard"]) for r in H.merge_items(raw, [*H.KEY, "source_standard"]).collect()}
     assert by_source == {("a", "S"), ("a", "T"), ("b", None), ("c", "")}
+
+
+def test_divergent_values_are_keyed_by_plain_names(items):
+    """A quote sorts after a blank, so sorting the quoted names would put the longer one first."""
+    rows = items(
+        {"name": "a", "source_standard": "Odoo 17", "allowed_values": '["x"]'}, {"name": "a", "source_standard": "Odoo", "allowed_values": '["y"]'},
+        {"name": "a", "source_standard": 'Odoo"', "allowed_values": '["z"]'})
+    assert H.merge_items(rows).first()["allowed_values"] == '{"Odoo":["y"],"Odoo 17":["x"],"Odoo\\"":["z"]}'
+
+
+def test_missing_and_blank_keys_merge_with_their_sources(items):
+    rows = items(
+        {"category": None, "name": "a", "source_standard": "S"}, {"category": None, "name": "a", "source_standard": "T"},
+        {"category": "", "name": "a", "source_standard": "U"}, {"category": "C", "name": None, "source_standard": "V"}, {"category": "C", "name": None, "source_standard": "W"})
+    for preselect in (True, False):
+        got = {(r["category"], r["name"]): (r["n_members"], r["n_sources"], r["source_standard"]) for r in H.merge_items(rows, preselect=preselect).collect()}
+        assert got == {(None, "a"): (2, 2, "S; T"), ("", "a"): (1, 1, "U"), ("C", None): (2, 2, "V; W")}

@@ -2,6 +2,7 @@
 
 import json
 import pathlib
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -50,15 +51,22 @@ def test_search_levels(spark, catalog):
     }
 
 
-def test_many_terms_give_the_same_pairs(spark, catalog):
-    texts = ["tax", "title", "o", "lo", "a%b", "t_tle 4", "%", "zzz", "\\", "e.", "desk"]
-    terms = spark.createDataFrame([(t,) for t in texts], "lookup string")
+def test_any_number_of_terms_takes_one_path(spark, catalog):
+    texts = ["tax", "title", "o", "lo", "a%b", "t_tle 4", "%", "zzz", "\\", "e.", "desk", "", "_", None, "TAX"]
     cols = ["name", "title", "description"]
-    pairs = lambda df: sorted((r["category"], r["name"], r["lookup"]) for r in df.collect())
-    few = pairs(search.match_substrings(catalog, cols, terms))
-    assert few == pairs(search.match_by_gram(catalog, cols, terms))
-    more = terms.union(spark.range(300).selectExpr("concat('absent', id)"))
-    assert few == pairs(search.match_substrings(catalog, cols, more))
+    rows = catalog.select("category", "name", *[F.coalesce(F.lower(c), F.lit("")).alias(f"low_{c}") for c in cols]).collect()
+
+    def occurs(term, row):
+        pattern = "".join(".*" if ch == "%" else "." if ch == "_" else re.escape(ch) for ch in term)
+        return any(re.search(pattern, row[f"low_{c}"], re.S) for c in cols)
+
+    want = sorted((r["category"], r["name"], t) for r in rows for t in texts if t is not None and occurs(t, r))
+    for absent in (0, 186, 187, 5000):
+        terms = spark.createDataFrame([(t,) for t in texts], "lookup string").union(spark.range(absent).selectExpr("concat('absent', id)"))
+        got = search.match_substrings(catalog, ["category", "name"], cols, terms)
+        assert sorted((r["category"], r["name"], r["lookup"]) for r in got.collect()) == want
+    one = search.match_substrings(catalog, ["category", "name"], cols, spark.createDataFrame([("tax",)], "lookup string"))
+    assert sorted(r["name"] for r in one.collect()) == sorted(n for _, n, t in want if t == "tax")
 
 
 def test_top_n_and_union(spark, catalog):
