@@ -36,6 +36,16 @@ def upsert_items(base: DataFrame, delta: DataFrame) -> DataFrame:
     return latest_values(both, ITEM_KEY, ITEM_COLUMNS, "__seq")
 
 
+def upsert_raw_items(norm: DataFrame, is_base, is_delta) -> DataFrame:
+    """``upsert_items`` of the items of two conditions, reduced in one merge with the side as part of the key.
+
+    An item may be on both sides.
+    """
+    sides = F.array_compact(F.array(F.when(is_base, 0), F.when(is_delta, 1)))
+    both = reduce_batch(norm.withColumn("side", F.explode(sides)), "side")
+    return latest_values(both, ITEM_KEY, ITEM_COLUMNS, "side")
+
+
 def upsert_categories(base: DataFrame, delta: DataFrame) -> DataFrame:
     both = base.withColumn("__seq", F.lit(0)).unionByName(delta.withColumn("__seq", F.lit(1)))
     return latest_values(both, ["name"], ["description", "source"], "__seq")

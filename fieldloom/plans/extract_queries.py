@@ -40,7 +40,7 @@ def load_sources(spark, root):
 
 def declared(spark, root):
     """Declarations in source order."""
-    return view(spark, root, "declared").withColumn("seq", F.col("source"))
+    return view(spark, root, "declared").filter("is_declared").withColumn("seq", F.col("source"))
 
 
 def type_lookup(spark, root):
@@ -136,7 +136,7 @@ def routes(spark, root):
 def upsert_categories(spark, root):
     rows = declared(spark, root)
     side = lambda names: U.latest_values(rows.filter(F.col("source").isin(names)), ["name"], ["description", "source"], "seq")
-    return U.upsert_categories(side(["AFRICA", "AMERICA"]), side(["ASIA"]))
+    return U.upsert_categories(side(["AFRICA", "AMERICA", "MIDDLE EAST"]), side(["ASIA", "EUROPE"]))
 
 
 QUERIES = {

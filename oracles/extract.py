@@ -7,7 +7,7 @@ from fieldloom.sources.tables import view_sql
 from .base import build, define
 from .merge import CATALOG
 
-define("declared", [], view_sql("declared"))
+define("declared", [], f"SELECT * FROM ({view_sql('declared')}) WHERE is_declared")
 
 
 def mapped(x: str, types: dict[str, str], default: str = "NULL") -> str:
@@ -70,8 +70,8 @@ SELECT name, {LAST('description', '')} AS description, {LAST('source', '')} AS s
 UNION ALL SELECT DISTINCT category, NULL, NULL FROM raw_items WHERE category NOT IN (SELECT name FROM declared)"""),
     "upsert_categories": build(["declared"], f"""
 SELECT coalesce(d.name, b.name) AS name, coalesce(d.description, b.description) AS description, coalesce(d.source, b.source) AS source
-FROM (SELECT name, {LAST('description', '')} AS description, max(source) AS source FROM declared WHERE source IN ('AFRICA', 'AMERICA') GROUP BY 1) b
-FULL JOIN (SELECT name, {LAST('description', '')} AS description, max(source) AS source FROM declared WHERE source = 'ASIA' GROUP BY 1) d
+FROM (SELECT name, {LAST('description', '')} AS description, max(source) AS source FROM declared WHERE source IN ('AFRICA', 'AMERICA', 'MIDDLE EAST') GROUP BY 1) b
+FULL JOIN (SELECT name, {LAST('description', '')} AS description, max(source) AS source FROM declared WHERE source IN ('ASIA', 'EUROPE') GROUP BY 1) d
 ON b.name = d.name"""),
     "json_entity_attrs": build(["attrs"], "SELECT doc_id, line_no, entity, attribute, title, data_type, byte_length, is_required FROM attrs"),
     "optionset_flag": build(["attrs"], "SELECT doc_id, line_no, attribute, is_option_set, description FROM attrs"),

@@ -96,7 +96,7 @@ SELECT *, row_number() OVER (PARTITION BY entity ORDER BY is_required DESC, name
 FROM (SELECT *, {ENT} AS entity, {PLAIN(REST)} AS column_name, {TEXTS} AS texts FROM picked)""")
 
 KEY3 = "category, name, source_standard"
-define("norm_base", ["norm"], "SELECT * FROM norm WHERE ord % 2 = 0")
+define("norm_base", ["norm"], "SELECT * FROM norm WHERE ord % 3 > 0 OR ord % 2 = 0")
 define("norm_delta", ["norm"], "SELECT * FROM norm WHERE ord % 3 = 0")
 merged("ubase", "norm_base", KEY3)
 merged("udelta", "norm_delta", KEY3)
