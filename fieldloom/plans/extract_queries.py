@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.names import entity_of
 from ..operators import graph as G
@@ -13,7 +14,7 @@ from ..sources import loaders as L
 from ..sources import markup as M
 from ..sources import sinks as K
 from ..sources import speclines as S
-from ..sources.tables import table, view
+from ..sources.tables import SOURCES, table, view
 from ..sources.typemaps import VOCABULARY, map_types
 from ..storage import new_path
 from .catalog import _snapshot, catalog, merged
@@ -30,11 +31,12 @@ def load_sources(spark, root):
     """Each source in a table of its own, some without optional columns."""
     raw = view(spark, root, "raw_items")
     path = new_path(spark, "sources")
-    raw.write.partitionBy("source_standard").parquet(path)
-    names = [r[0] for r in raw.select("source_standard").distinct().collect()]
-    frames = {n: spark.read.parquet(f"{path}/source_standard={n}") for n in names}
-    frames = {n: df.drop("version") if n == "AFRICA" else df.drop("format_mask", "title") if n == "ASIA" else df
-              for n, df in frames.items()}
+    raw.hint("rebalance", "source_standard").write.partitionBy("source_standard").parquet(path)
+    absent = {"AFRICA": ["version"], "ASIA": ["format_mask", "title"]}
+    frames = {}
+    for name in SOURCES:
+        columns = [f for f in raw.schema if f.name != "source_standard" and f.name not in absent.get(name, [])]
+        frames[name] = spark.read.schema(StructType(columns)).parquet(f"{path}/source_standard={name}")
     return L.union_sources(frames).select("ord", "category", "name", "title", "format_mask", "default_value", "version", "source_standard")
 
 

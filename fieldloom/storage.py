@@ -12,6 +12,9 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+BLANK = "__BLANK__"
 
 _LOCAL_ROOT: tempfile.TemporaryDirectory | None = None
 
@@ -35,6 +38,12 @@ def shared_root(spark: SparkSession) -> str:
     return _LOCAL_ROOT.name
 
 
+def clear(spark: SparkSession) -> None:
+    """Remove all intermediate tables below the shared folder; call it when no result that reads them is needed any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/fieldloom")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; never reused, never overwritten."""
     return f"{shared_root(spark)}/fieldloom/{label}-{uuid.uuid4().hex}"
@@ -45,12 +54,17 @@ def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> D
 
     With ``partition_by`` the rows are rebalanced first: adaptive execution
     merges small partitions and splits a value that holds a large share of the
-    rows, so no single task writes a hot partition alone.
+    rows, so no single task writes a hot partition alone. Partition folders cannot
+    hold the empty text; ``BLANK`` stands for it there.
     """
     spark = df.sparkSession
     path = new_path(spark, label)
     if partition_by is None:
         df.write.parquet(path)
     else:
-        df.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+        kept = F.when(F.col(partition_by) == "", BLANK).otherwise(F.col(partition_by))
+        df.withColumn(partition_by, kept).hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    if partition_by is not None:
+        back = back.withColumn(partition_by, F.when(F.col(partition_by) == BLANK, "").otherwise(F.col(partition_by)))
+    return back.select(*df.columns)

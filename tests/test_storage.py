@@ -25,9 +25,11 @@ def test_cluster_without_a_shared_folder_is_an_error():
 
 
 def test_written_tables_keep_rows_and_column_order(spark):
-    df = spark.range(100).selectExpr("CASE WHEN id % 3 > 0 THEN concat('p', id % 3) END AS part", "id")
+    df = spark.range(100).selectExpr("CASE WHEN id % 4 = 1 THEN '' WHEN id % 4 > 0 THEN concat('p', id % 4) END AS part", "id")
     back = storage.materialize(df, "t", "part")
     assert back.columns == ["part", "id"] and back.exceptAll(df).isEmpty() and df.exceptAll(back).isEmpty()
+    files = back.filter("part = 'p2'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in files and "PartitionFilters: []" not in files
 
 
 def test_no_plan_pairs_rows_or_runs_python(spark, root):
