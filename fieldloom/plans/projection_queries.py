@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import checks as C
 from ..operators import projection as P
 from ..sources.tables import view
@@ -29,7 +31,23 @@ def idempotent(spark, root):
     return C.content_difference(catalog(spark, root), merged(spark, root))
 
 
+def damaged(spark, root):
+    """What the comparison of two builds says of a copy with rows changed, lost and repeated."""
+    items = catalog(spark, root)
+    changed = F.when(F.col("first_ord") % 11 == 0, F.concat(F.coalesce("title", F.lit("")), F.lit("!"))).otherwise(F.col("title"))
+    kept = items.filter("first_ord % 7 > 0").withColumn("title", changed)
+    copy = kept.unionByName(kept.filter("first_ord % 13 = 0"))
+    return C.content_difference(items, copy).select("category", "name", "title", "only_in")
+
+
+def lost_groups(spark, root):
+    """Items of the projection whose group is gone from a copy of the groups."""
+    return C.missing_groups(written_ui(spark, root), groups(spark, root).filter("group_id % 5 > 0")).select("group_id", "name")
+
+
 QUERIES = {
+    "check_damaged_copy": damaged,
+    "missing_group_damaged": lost_groups,
     "ui_groups": lambda s, r: groups(s, r),
     "ui_items": ui,
     "missing_group_anti": lambda s, r: C.missing_groups(written_ui(s, r), groups(s, r)).select("group_id", "name"),

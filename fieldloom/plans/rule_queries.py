@@ -8,6 +8,7 @@ from ..functions import names as N
 from ..functions import rules as U
 from ..functions.rows import explode_list
 from ..functions.values import parse_allowed_values
+from ..operators import checks as C
 from ..operators import enrich as E
 from ..operators import projection as P
 from ..operators import reports as R
@@ -71,6 +72,11 @@ def overridden(spark, root):
     return E.override_descriptions(catalog(spark, root), view(spark, root, "curated"))
 
 
+def finished(spark, root):
+    """The catalog as it is delivered: curated texts first, then texts for what is still blank."""
+    return E.backfill_descriptions(overridden(spark, root).drop("changed"), DISPLAY_NAMES)
+
+
 def raw_entities(spark, root):
     """Entities before aliasing, where the dotted hierarchy is still complete."""
     dotted = N.snake_dotted(F.col("name"))
@@ -94,6 +100,8 @@ QUERIES = {
     "enum_check": enum_checks,
     "coverage_grade": lambda s, r: R.graded_coverage(overridden(s, r), view(s, r, "curated")),
     "curated_override": lambda s, r: overridden(s, r).select("category", "name", "description", "changed"),
+    "finished_catalog": lambda s, r: finished(s, r).select("category", "name", "description"),
+    "check_finished": lambda s, r: C.description(finished(s, r)),
     "backfill_descriptions": lambda s, r: E.backfill_descriptions(catalog(s, r), DISPLAY_NAMES).select(
         "category", "name", "description"),
     "longest_prefix_parent": lambda s, r: P.longest_prefix_parent(raw_entities(s, r)),

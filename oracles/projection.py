@@ -58,5 +58,11 @@ ORACLES = {
     "missing_group_anti": build(["ui", "ui_groups"], "SELECT group_id, name FROM ui WHERE group_id NOT IN (SELECT group_id FROM ui_groups)"),
     **{key: build(NEEDS, " UNION ALL ".join(bad(*c) for c in checks)) for key, checks in CHECKS.items()},
     "check_report": build(NEEDS, " UNION ALL ".join(bad(*c) for checks in CHECKS.values() for c in checks)),
+    "missing_group_damaged": build(["ui"], "SELECT group_id, name FROM ui WHERE group_id % 5 = 0"),
+    "check_damaged_copy": build(["clean"], """
+SELECT category, name, title, 'first' AS only_in FROM clean WHERE first_ord % 7 = 0 OR first_ord % 11 = 0
+UNION ALL SELECT category, name, coalesce(title, '') || '!', 'second' FROM clean WHERE first_ord % 7 > 0 AND first_ord % 11 = 0
+UNION ALL SELECT category, name, CASE WHEN first_ord % 11 = 0 THEN coalesce(title, '') || '!' ELSE title END, 'second'
+ FROM clean WHERE first_ord % 7 > 0 AND first_ord % 13 = 0"""),
     "check_idempotent": build(["clean"], "SELECT *, 'first' AS only_in FROM clean WHERE false"),
 }

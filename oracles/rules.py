@@ -42,13 +42,19 @@ VALUES = f"""CASE WHEN allowed_values LIKE '[%' THEN from_json(allowed_values, '
 SYNTH = f"""{human('ent')} || ': ' || trim(coalesce(nullif(title, ''), {field('name')})) || '.' ||
  CASE WHEN len(vs) > 0 THEN ' Allowed values: ' || array_to_string(shown[1:12], ', ') ||
   CASE WHEN len(shown) > 12 THEN ', ... (+' || (len(shown) - 12) || ' more)' ELSE '' END || '.' ELSE '' END"""
-SYNTH_FROM = f"""(SELECT *, list_filter(vs, lambda v, i: v <> '' AND list_position(vs, v) = i) AS shown FROM
- (SELECT *, {ENT} AS ent, {VALUES} AS vs FROM clean))"""
+def synth_from(items: str) -> str:
+    return f"""(SELECT *, list_filter(vs, lambda v, i: v <> '' AND list_position(vs, v) = i) AS shown FROM
+ (SELECT *, {ENT} AS ent, {VALUES} AS vs FROM {items}))"""
+
+
+SYNTH_FROM = synth_from("clean")
 BLANK = "trim(coalesce(description, '')) = ''"
 
 define("overridden", ["clean", "curated"], """
 SELECT c.* REPLACE (coalesce(u.description, c.description) AS description),
  coalesce(u.description, c.description) IS DISTINCT FROM c.description AS changed FROM clean c LEFT JOIN curated u USING (name)""")
+define("finished", ["overridden"], f"""
+SELECT category, name, CASE WHEN {BLANK} THEN {SYNTH} ELSE description END AS description FROM {synth_from('overridden')}""")
 define("cover", ["overridden", "curated"], f"""
 SELECT CASE WHEN grouping(category) = 1 THEN 'All' ELSE category END AS category, count(*) AS items,
  count(*) FILTER (NOT ({BLANK}) AND NOT cur) AS from_source, count(*) FILTER (NOT ({BLANK}) AND cur) AS curated,
@@ -108,6 +114,8 @@ FROM (SELECT *, {identifier(REST)} AS col, {TEXTS} AS texts FROM clean) WHERE {c
  WHEN percent >= 75 THEN 'yellowgreen' WHEN percent >= 50 THEN 'yellow' ELSE 'orange' END AS grade
 FROM (SELECT category, {PERCENT} AS percent FROM cover)""", "cover"),
     "curated_override": q("SELECT category, name, description, changed FROM overridden", "overridden"),
+    "finished_catalog": q("SELECT category, name, description FROM finished", "finished"),
+    "check_finished": q(f"""SELECT 'missing_description' AS "check", count(*) FILTER ({BLANK}) AS bad, count(*) FILTER ({BLANK}) = 0 AS ok FROM finished""", "finished"),
     "backfill_descriptions": q(f"SELECT category, name, CASE WHEN {BLANK} THEN {SYNTH} ELSE description END AS description FROM {SYNTH_FROM}"),
     "longest_prefix_parent": q("""SELECT a.entity, first(b.entity ORDER BY length(b.entity) DESC) AS parent
 FROM raw_entities a LEFT JOIN raw_entities b ON starts_with(a.entity, b.entity || '.') GROUP BY 1""", "raw_entities"),
