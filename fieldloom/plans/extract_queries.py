@@ -95,7 +95,7 @@ def bindings(spark, root):
 
 
 def range_types(spark, root):
-    data_type, note = L.pick_range(F.col("ranges"), VOCABULARY, [])
+    data_type, note = L.pick_range(F.col("ranges"), VOCABULARY)
     return _doc_types(spark, root).select("doc_id", data_type.alias("data_type"), note.alias("note"))
 
 
@@ -122,6 +122,14 @@ def enum_members(spark, root):
     return G.enumeration_members(closure(spark, root), members, ENUM_ROOT)
 
 
+def enumeration_ranges(spark, root):
+    """Ranges of which some are classes below the enumeration root, some other classes, some scalars."""
+    node = F.concat(F.lit("schema:C"), (F.lit(1) + F.col("doc_id") % 50).cast("string"))
+    rows = _doc_types(spark, root).withColumn("ranges", F.when(F.col("doc_id") % 2 == 0, F.concat("ranges", F.array(node))).otherwise(F.col("ranges")))
+    members = enum_members(spark, root).select(F.concat(F.lit("schema:C"), F.col("node").cast("string")).alias("range"), "labels")
+    return L.typed_ranges(rows, "doc_id", "ranges", VOCABULARY, members)
+
+
 def relation_notes(spark, root):
     relation = F.expr("CASE ord % 4 WHEN 0 THEN 'single' WHEN 1 THEN 'multi' WHEN 2 THEN 'repeat' END")
     comodel = F.expr("CASE WHEN ord % 3 > 0 THEN lower(category) END")
@@ -164,6 +172,7 @@ QUERIES = {
     "inherited_properties": lambda s, r: G.inherited_properties(closure(s, r), view(s, r, "part_props")),
     "enum_members": enum_members,
     "range_type_pick": range_types,
+    "range_enumeration": enumeration_ranges,
     "declaration_extract": lambda s, r: M.declarations(table(s, r, "pages")),
     "relation_note": relation_notes,
     "per_entity_counts": lambda s, r: L.extraction_counts(view(s, r, "raw_items"), entity_of(F.col("name"))),

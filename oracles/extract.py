@@ -137,6 +137,13 @@ SELECT DISTINCT c.node, p.prop FROM closure c JOIN part_props p ON p.domain_node
     "enum_members": build(["closure"], """
 SELECT c.node, CASE WHEN count(p.p_name) > 0 THEN '["' || string_agg(p.p_name, '","' ORDER BY p.p_name) || '"]' END AS labels
 FROM closure c LEFT JOIN part p ON 1 + p.p_partkey % 50 = c.node WHERE c.ancestor = 2 GROUP BY 1"""),
+    "range_enumeration": build(["closure", "doc_types"], f"""
+SELECT doc_id, CASE {' '.join(f"WHEN list_contains({RANGES}, '{k}') THEN '{v}'" for k, v in VOCABULARY.items())} WHEN node IS NOT NULL THEN 'VARCHAR' ELSE 'RELATION' END AS data_type,
+ CASE WHEN NOT list_has_any({RANGES}, {list(VOCABULARY)!r}) THEN labels END AS allowed_values,
+ CASE WHEN NOT list_has_any({RANGES}, {list(VOCABULARY)!r}) THEN CASE WHEN node IS NOT NULL THEN 'enumeration C' || node ELSE 'references ' || array_to_string({NAMED}, ', ') END END AS note
+FROM (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN ranges || '|schema:C' || (1 + doc_id % 50) ELSE ranges END AS ranges, CASE WHEN doc_id % 2 = 0 THEN 1 + doc_id % 50 END AS own FROM doc_types)
+LEFT JOIN (SELECT c.node, CASE WHEN count(p.p_name) > 0 THEN '["' || string_agg(p.p_name, '","' ORDER BY p.p_name) || '"]' END AS labels
+ FROM closure c LEFT JOIN part p ON 1 + p.p_partkey % 50 = c.node WHERE c.ancestor = 2 GROUP BY 1) ON node = own"""),
     "relation_note": build(["raw_items"], """
 SELECT ord, nullif(concat_ws(' ', coalesce(nullif(description, ''), title), CASE WHEN ord % 4 = 0 AND ord % 3 > 0 THEN '(references ' || lower(category) || ')'
  WHEN ord % 4 = 1 AND ord % 3 > 0 THEN '(collection of ' || lower(category) || ')' WHEN ord % 4 = 2 THEN '(repeatable / collection)' END), '') AS description
