@@ -111,7 +111,8 @@ class Shard:
         owner = np.repeat(np.arange(len(df)), df)
         block = docs // BLOCK
         first = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (block[1:] != block[:-1])])) if len(docs) else np.zeros(0, np.int64)
-        self.docs, self.impact = docs, impact
+        self.docs, self.impact = docs.astype(np.int64), impact
+        self.first_posting = [0, *stop.tolist()]
         self.block, self.start = block[first], first
         self.stop = np.append(first[1:], len(docs))
         self.most = np.maximum.reduceat(impact, first) if len(first) else np.zeros(0)
@@ -145,11 +146,26 @@ class Shard:
             step *= 2
             if len(scores) >= k:
                 least = np.partition(scores, len(scores) - k)[len(scores) - k]
+            left = order[done:]
+            if 2 * (bound[left] >= least).sum() > self.blocks:
+                # most blocks stay in play: whole posting lists cost less than picking their blocks
+                scores = self.all_scores(places, weights)
+                break
         some = np.flatnonzero((scores >= max(least, 0)) & (scores > 0))
         best = some[np.lexsort((self.ids[some], -scores[some]))[:k]]
         return self.ids[best], scores[best]
 
 
+    def all_scores(self, places: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Scores of all documents; sums run in the order of the terms, as everywhere."""
+        scores = np.zeros(len(self.ids))
+        docs, impact = self.docs, self.impact
+        for p, w in zip(places.tolist(), weights.tolist(), strict=True):
+            a, b = self.first_posting[p], self.first_posting[p + 1]
+            scores[docs[a:b]] += w * impact[a:b]
+        return scores
+
+
 def spread(start: np.ndarray, stop: np.ndarray) -> np.ndarray:
     """All numbers of the ranges, one range after the other."""
     lengths = stop - start
