@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +17,16 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 4 << 20
 
 
+def workers_find_package(spark: SparkSession) -> None:
+    """Lets Python workers on this machine import the package from where the driver has it; a cluster has it installed."""
+    root = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    workers_find_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
