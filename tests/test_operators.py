@@ -242,3 +242,12 @@ def test_catalog_filters_reach_the_scan(spark, root):
     plan = plans.catalog(spark, root).filter("category = 'MACHINERY' AND name LIKE 'invoice.%'").select("name")
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[[^\]]*category[^\]]*MACHINERY", text) and "StringStartsWith(name,invoice.)" in text
+
+
+def test_positions_that_would_collide_are_an_error(spark):
+    def load(position):
+        return L.union_sources({"A": spark.createDataFrame([(position, "n")], "position bigint, name string")}).select("ord").collect()
+
+    assert load((1 << 44) - 1)[0][0] == (1 << 44) - 1 and load(None)[0][0] is None
+    with pytest.raises(Exception, match="beyond 44 bits"):
+        load(1 << 44)
