@@ -207,6 +207,17 @@ def merge(runs: list[list[tuple[bytes, int]]]) -> Iterator[tuple[int, int, int]]
         winner = play(winner) if count > 1 else winner
 
 
+def joined_spans(spans) -> list[tuple[int, int, int, int]]:
+    """(doc, mark, start, stop) with overlapping and touching spans of a text made one."""
+    out: list[tuple[int, int, int, int]] = []
+    for doc, mark, start, stop in sorted(spans):
+        if out and out[-1][:2] == (doc, mark) and start <= out[-1][3]:
+            out[-1] = (doc, mark, out[-1][2], max(stop, out[-1][3]))
+        else:
+            out.append((doc, mark, start, stop))
+    return out
+
+
 RUN_SCHEMA = pa.schema([
     ("bucket", pa.int64()), ("near", pa.list_(pa.int16())), ("far", pa.list_(pa.int16())), ("shared", pa.list_(pa.int16())), ("rest", pa.list_(pa.binary())),
     ("before", pa.list_(pa.binary())), ("doc", pa.list_(pa.int64())), ("mark", pa.list_(pa.int32())), ("at", pa.list_(pa.int64())),
@@ -224,7 +235,7 @@ def _rows(columns: dict[str, list], n: int) -> pa.RecordBatch:
 
 def _run_batches(run: Run, bounds: list[bytes]) -> Iterator[pa.RecordBatch]:
     """The run's spans that are certain, then its entries front coded, one row per range."""
-    spans = [(doc, mark, at - far, at - near + LENGTH) for (_, _, near, far), places in run.entries.items() if len(places) > 1 for doc, mark, at in places]
+    spans = joined_spans((doc, mark, at - far, at - near + LENGTH) for (_, _, near, far), places in run.entries.items() if len(places) > 1 for doc, mark, at in places)
     if spans:
         yield _rows(dict(zip(("span_doc", "span_mark", "start", "stop"), zip(*spans, strict=True), strict=True)), len(spans))
     rows: dict[int, dict[str, list]] = {}
@@ -339,6 +350,7 @@ def merge_range(rows: pa.Table) -> pa.Table:
             close()
         group.append((r, k))
     close(last=True)
+    spans = joined_spans(spans)
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*spans, strict=True) if spans else [[]] * 4, SPANS, strict=True)], schema=SPANS)
 
 
