@@ -127,18 +127,18 @@ def _anchor_batches(counted: bool):
 # --- entries and runs ------------------------------------------------------------------------
 
 class Run:
-    """Sorted entries of one task. An entry: suffix, bytes before it (reversed), nearest, farthest, its places."""
+    """Sorted entries of one task. An entry: suffix, bytes before it (reversed), nearest, farthest, whether it is a hot seed's window, its places."""
 
     def __init__(self):
-        self.entries: dict[tuple[bytes, bytes, int, int], list[tuple[int, int, int]]] = defaultdict(list)
+        self.entries: dict[tuple[bytes, bytes, int, int, bool], list[tuple[int, int, int]]] = defaultdict(list)
 
     def add(self, text: bytes, doc: int, mark: int, packed: int) -> None:
         at, near, far = packed >> 17, packed >> 9 & 255, packed >> 1 & 255
         if packed & 1:                               # hot: each window on its own
             for i in range(near, far + 1):
-                self.entries[text[at - i:at - i + LENGTH], b"", 0, 0].append((doc, mark, at - i))
+                self.entries[text[at - i:at - i + LENGTH], b"", 0, 0, True].append((doc, mark, at - i))
         else:
-            self.entries[text[at:at + LENGTH - near], text[at - far:at][::-1], near, far].append((doc, mark, at))
+            self.entries[text[at:at + LENGTH - near], text[at - far:at][::-1], near, far, False].append((doc, mark, at))
 
 
 def shared_prefix(a: bytes, b: bytes, known: int) -> int:
@@ -235,15 +235,14 @@ def _rows(columns: dict[str, list], n: int) -> pa.RecordBatch:
 
 def _run_batches(run: Run, bounds: list[bytes]) -> Iterator[pa.RecordBatch]:
     """The run's spans that are certain, then its entries front coded, one row per range."""
-    spans = joined_spans((doc, mark, at - far, at - near + LENGTH) for (_, _, near, far), places in run.entries.items() if len(places) > 1 for doc, mark, at in places)
+    spans = joined_spans((doc, mark, at - far, at - near + LENGTH) for (_, _, near, far, _), places in run.entries.items() if len(places) > 1 for doc, mark, at in places)
     if spans:
         yield _rows(dict(zip(("span_doc", "span_mark", "start", "stop"), zip(*spans, strict=True), strict=True)), len(spans))
     rows: dict[int, dict[str, list]] = {}
     last: dict[int, bytes] = {}
     for key in sorted(run.entries):
-        suffix, before, near, far = key
+        suffix, before, near, far, window = key
         places = run.entries[key]
-        window = not before and len(suffix) == LENGTH and near == far == 0
         # windows are dealt by all their bytes, entries of anchors by their seed only: equal seeds must meet
         bucket = 2 * bisect.bisect_right(bounds, suffix if window else suffix[:SEED]) + window
         row = rows.setdefault(bucket, {n: [] for n in RUN_SCHEMA.names[1:9]})

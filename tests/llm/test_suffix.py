@@ -66,6 +66,20 @@ def test_query_matches_brute_force(spark, root):
     assert got(suffix.op9_suffix_array_dedup(spark, root)) == brute([(r.doc_id, (r.text or "").encode()) for r in docs])
 
 
+def test_passage_that_starts_a_text_on_its_anchor(spark):
+    rng = random.Random(8)
+    texts = []
+    while len(texts) < 8:
+        passage = "".join(rng.choice("abcdefgh ") for _ in range(200))
+        place, near, far, _ = suffix.anchors(np.frombuffer(passage.encode(), np.uint8), np.array([200]))
+        if (place[0], near[0], far[0]) == (0, 0, 0):
+            texts += [passage, words(rng, 90) + passage + words(rng, 90)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = brute([(i, t.encode()) for i, t in enumerate(texts)])
+    assert all(removed >= 200 for _, _, removed, _, _ in want)
+    assert got(suffix.removals(df)) == want
+
+
 def test_repeated_ids_null_ids_and_no_rows(spark):
     long, other = "x y z " * 60, "one two" * 50
     rows = [(1, long), (1, long), (None, other), (2, None), (1, other + "!"), (1, "tail")]
