@@ -79,13 +79,11 @@ def text_fingerprints(texts: list[bytes | None]) -> np.ndarray:
     return np.packbits(2 * sums > totals[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
 
 
-FINGERPRINTS = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
-
-
 def _fingerprint_batches(batches):
     for part in pieces(batches, "text"):
         fps = text_fingerprints(part.column("text").to_pylist())
-        yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fps.view(np.int64))], schema=FINGERPRINTS)
+        names = [n for n in part.schema.names if n != "text"]
+        yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array(fps.view(np.int64))], names=[*names, "fp"])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -194,9 +192,18 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each group of near duplicates the document with the smallest id stays."""
-    firsts = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(firsts, "doc_id", "left_semi").select(*docs.columns)
+    """Pipeline stage: of each group of near duplicates one row stays, that with the smallest id, if any has one.
+
+    Groups are of rows, told apart by a written key: ids may be null or repeated.
+    """
+    rows = materialize(docs.select(F.monotonically_increasing_id().alias("key"), F.struct(*docs.columns).alias("row")), "rows")
+    texts = rows.select("key", F.col("row")["doc_id"].cast("long").alias("id"), F.col("row")["text"].cast("binary").alias("text"))
+    fps = materialize(texts.mapInArrow(_fingerprint_batches, "key long, id long, fp long"), "fingerprints")
+    distinct = materialize(fps.groupBy("fp").agg(F.min("key").alias("rep"), F.min(F.struct(F.col("id").isNull(), "id", "fp", "key")).alias("first")), "classes")
+    parts = components(links(distinct.select("fp", "rep")), "a", "b")
+    group = F.coalesce("component", "rep").alias("group")
+    firsts = distinct.join(parts, distinct.rep == parts.id, "left").groupBy(group).agg(F.min("first").alias("first")).select(F.col("first")["key"].alias("key"))
+    return rows.join(firsts, "key", "left_semi").select(*(F.col("row")[c].alias(c) for c in docs.columns))
 
 
 QUERIES = {"op6_simhash_near_dedup": op6_simhash_near_dedup}

@@ -58,6 +58,18 @@ def test_odd_texts_and_clashing_columns(spark):
     assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == sorted(set(label.values()))
 
 
+def test_one_row_of_each_group_stays_whatever_its_id(spark):
+    base = " ".join(f"w{i}" for i in range(400))
+    near = next(t for t in (f"{base} tail {k}" for k in range(99)) if 0 < (plain_fingerprint(base) ^ plain_fingerprint(t)).bit_count() <= 3)
+    rows = [(None, "only here, without an id"), (None, base), (2, near), (2, "another text of id two"), (3, "the same row"), (3, "the same row"),
+            (None, "a pair without ids"), (None, "a pair without ids"), (1, "one"), (1, "quite another one")]
+    df = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, key int").repartition(3)
+    kept = sorted(((r.doc_id, r.text) for r in simhash.keep_one(spark, df, "").collect()), key=str)
+    assert kept == sorted([rows[0], rows[2], rows[3], rows[4], rows[6], rows[8], rows[9]], key=str)
+    alone = spark.createDataFrame([(None, base), (None, near)], "doc_id long, text string")
+    assert simhash.keep_one(spark, alone, "").count() == 1
+
+
 def test_long_lists_are_dealt_in_blocks(spark):
     rng = np.random.default_rng(5)
     base = int(rng.integers(1 << 62))
