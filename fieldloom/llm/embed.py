@@ -28,12 +28,12 @@ from .simhash import _forest
 
 #: Smallest cosine of a link.
 THRESHOLD = 0.95
-#: Vectors that codebooks are trained on at most, rounds of training, codewords of a half at most.
-SAMPLE, ROUNDS, MOST_WORDS = 8_192, 6, 1_024
+#: Vectors that codebooks are trained on: so many, and with more codewords so many of each. Rounds of training, codewords of a half at most.
+SAMPLE, PER_WORD, ROUNDS, MOST_WORDS = 8_192, 32, 6, 1_024
 #: Vectors of a cell, on average over the product grid, that the number of codewords aims at.
 PER_CELL = 16
-#: Share of pairs exactly at the threshold that the visited cells have to hold, on the training sample; cells visited at most.
-TARGET_RECALL, MOST_CELLS = 0.995, 64
+#: Share of pairs exactly at the threshold that the visited cells have to hold; vectors outside the training sample, and pairs of them, that it is measured on.
+TARGET_RECALL, HELD_OUT, PAIRS = 0.995, 2_048, 4_096
 #: Vectors of a block of a large cell.
 BLOCK = 512
 
@@ -60,7 +60,7 @@ def codebook(x: np.ndarray, count: int, rng: np.random.Generator) -> np.ndarray:
     """k-means; empty words keep their place."""
     words = x[rng.choice(len(x), min(count, len(x)), replace=False)].copy()
     for _ in range(ROUNDS):
-        near = squared_distances(x, words).argmin(1)
+        near = np.concatenate([squared_distances(x[at:at + 2048], words).argmin(1) for at in range(0, len(x), 2048)])
         sums = np.zeros_like(words)
         np.add.at(sums, near, x)
         sizes = np.bincount(near, minlength=len(words))
@@ -83,26 +83,58 @@ def visited_cells(left: np.ndarray, right: np.ndarray, count: int) -> list[int]:
     return out
 
 
+def words_of(total: int) -> int:
+    """Codewords of a half for a table of ``total`` vectors."""
+    return int(np.clip(round((total / PER_CELL) ** 0.5), 1, MOST_WORDS))
+
+
+def sample_size(total: int) -> int:
+    """Vectors to train the codebooks of such a table on and to measure the recall with."""
+    return max(SAMPLE, PER_WORD * words_of(total)) + HELD_OUT
+
+
 class Index:
-    """Codebooks of both halves and the number of cells to visit."""
+    """Codebooks of both halves and the number of cells to visit.
+
+    The number is measured on vectors that the codebooks have not seen, each turned
+    to the threshold in random directions: the rank, in the order of one vector's
+    traversal, of the cell of the other. It has no limit but the number of cells.
+    """
 
     def __init__(self, sample: np.ndarray, total: int, threshold: float):
         rng = np.random.default_rng(7)
         self.half = sample.shape[1] // 2
-        words = int(np.clip(round((total / PER_CELL) ** 0.5), 1, min(MOST_WORDS, len(sample))))
-        self.left, self.right = codebook(sample[:, :self.half], words, rng), codebook(sample[:, self.half:], words, rng)
-        some = sample[rng.choice(len(sample), min(len(sample), 500), replace=False)]
+        sample = sample[rng.permutation(len(sample))]
+        held = min(HELD_OUT, len(sample) // 5)
+        train = sample[held:]
+        words = min(words_of(total), len(train))
+        self.left, self.right = codebook(train[:, :self.half], words, rng), codebook(train[:, self.half:], words, rng)
+        some = sample[np.arange(PAIRS) % max(1, held)]
         turn = rng.standard_normal(some.shape)
         turn -= (turn * some).sum(1, keepdims=True) * some
         turn /= np.maximum(np.linalg.norm(turn, axis=1, keepdims=True), 1e-12)
         others = threshold * some + (1 - threshold * threshold) ** 0.5 * turn
-        here, there = self.cells(some, MOST_CELLS), self.cells(others, MOST_CELLS)
-        self.count = 1
-        while self.count < MOST_CELLS and np.mean([b[0] in a[:self.count] or a[0] in b[:self.count] for a, b in zip(here, there, strict=True)]) < TARGET_RECALL:
-            self.count *= 2
+        ranks = np.sort(np.concatenate([self.ranks(some[at:at + 512], others[at:at + 512]) for at in range(0, PAIRS, 512)]))
+        self.count = int(ranks[int(np.ceil(TARGET_RECALL * PAIRS)) - 1]) + 1
+
+    def distances(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return squared_distances(x[:, :self.half], self.left), squared_distances(x[:, self.half:], self.right)
+
+    def ranks(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """How many cells each pair of rows visits before the one visits the other's own cell, whichever does first."""
+        both = [self.distances(x), self.distances(y)]
+        own = [(left.argmin(1), right.argmin(1)) for left, right in both]
+        out = []
+        for k in range(len(x)):
+            found = []
+            for (left, right), (a, b) in zip(both, own[::-1], strict=True):
+                limit = left[k, a[k]] + right[k, b[k]]
+                found.append(np.searchsorted(np.sort(right[k]), limit - left[k]).sum())
+            out.append(min(found))
+        return np.array(out)
 
     def cells(self, x: np.ndarray, count: int | None = None) -> list[list[int]]:
-        left, right = squared_distances(x[:, :self.half], self.left), squared_distances(x[:, self.half:], self.right)
+        left, right = self.distances(x)
         return [visited_cells(a, b, count or self.count) for a, b in zip(left, right, strict=True)]
 
 
@@ -178,8 +210,9 @@ def _units(visits: DataFrame, block: int) -> DataFrame:
 def links(rows: DataFrame, width: int, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
     """(row, n, a, b) of rows (row, id, v) of ``width`` components: partial numbers of links, and ids held together."""
     total = rows.count()
-    share = min(1.0, 0.9 * SAMPLE / max(1, total))
-    chosen = rows.where(F.pmod(F.xxhash64("row"), 1 << 20) < share * (1 << 20)).select("v").limit(SAMPLE).toArrow()["v"].combine_chunks()
+    size = sample_size(total)
+    share = min(1.0, 0.9 * size / max(1, total))
+    chosen = rows.where(F.pmod(F.xxhash64("row"), 1 << 40) < share * (1 << 40)).select("v").limit(size).toArrow()["v"].combine_chunks()
     sample = matrix(chosen if len(chosen) else rows.select("v").limit(1).toArrow()["v"].combine_chunks(), width)
     visits = materialize(rows.select("row", "v").mapInArrow(_visit_batches(Index(sample, total, threshold), width), "row long, cells array<int>"), "visits")
     units = _units(visits, block).join(rows, "row").join(visits, "row")

@@ -47,6 +47,24 @@ def test_threshold_pairs_and_large_cells(spark):
         assert sum(g[1] for g in got) >= 0.97 * sum(w[1] for w in want)
 
 
+def test_recall_holds_for_vectors_outside_the_sample():
+    rng = np.random.default_rng(6)
+
+    def units(n):
+        v = rng.standard_normal((n, 64))
+        return v / np.linalg.norm(v, axis=1, keepdims=True)
+
+    total = 4_000_000
+    index = embed.Index(units(embed.sample_size(total)), total, 0.95)
+    assert len(index.left) == 500
+    some = units(400)
+    turn = units(400)
+    turn -= (turn * some).sum(1, keepdims=True) * some
+    others = 0.95 * some + (1 - 0.95 ** 2) ** 0.5 * turn / np.linalg.norm(turn, axis=1, keepdims=True)
+    found = [b[0] in a or a[0] in b for a, b in zip(index.cells(some), index.cells(others), strict=True)]
+    assert np.mean(found) >= 0.98
+
+
 def test_odd_vectors(spark):
     rows = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [1.0, None]), (5, [float("nan"), 1.0]), (6, [float("inf"), 1.0]), (7, [1e-30, 2e-30]), (8, [1e30, 2e30]),
             (9, [1.0, 2.0, 0.0]), (10, [1.0, 2.0, 0.0]), (None, [1.0, 2.0]), (11, [-1.0, -2.0]), (12, [5.0]), (13, [2.0])]
