@@ -6,23 +6,23 @@ failure arc to its shorter history, weighted so that the probabilities of all
 words sum to one. The root knows every word with the add-one estimate. A text is
 scored in one traversal from left to right that carries the state.
 
-An n-gram is a state or an arc if its share of all training tokens is at least
-``SHARE``, whatever the corpus size; there are at most 1 / SHARE such n-grams of
-each order, so the automaton without its root may be sent to all tasks. Longer
-n-grams are counted only where their parts are frequent, which loses none.
-
-The root grows with the vocabulary and is never gathered. Documents are dealt into
-blocks; a block asks for the counts of its distinct words, bucket by bucket of a
-hash, and gets back numbers in the same order.
+All n-grams of the training texts are states and arcs, so the automaton grows with
+the corpus and is never gathered. Documents are dealt into blocks, and each block
+builds the arcs that its texts pass. It asks for the counts of its distinct words,
+then of its pairs and triples, bucket by bucket of a hash, and gets back numbers in
+the same order. Failure arcs need sums over all arcs of a state: of the blocks that
+have an n-gram, the bucket names one, which adds it to the sums.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter, defaultdict
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,10 +30,10 @@ from pyspark.sql import functions as F
 from ..storage import materialize
 from .batches import crc_mod, pieces, table, utf8
 
-#: Least share of the training tokens that an n-gram of the automaton has; taken off each count.
-SHARE, DISCOUNT = 2e-5, 0.5
+#: Least share of the training tokens that an n-gram of the automaton has (0: all n-grams); taken off each count.
+SHARE, DISCOUNT = 0.0, 0.5
 #: Bytes of text of a block.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 3 << 20
 #: The end of a text, a token that no word equals.
 END = b""
 
@@ -84,12 +84,12 @@ def _ask(buckets: int):
     return run
 
 
-ANSWERED = "block int, bucket int, counts array<long>, words array<binary>, distinct long"
-ANSWERED_ARROW = pa.schema([("block", pa.int32()), ("bucket", pa.int32()), ("counts", pa.list_(pa.int64())), ("words", pa.list_(pa.binary())), ("distinct", pa.int64())])
+ANSWERED = "block int, bucket int, counts array<long>, numbers array<long>, distinct long"
+ANSWERED_ARROW = pa.schema([("block", pa.int32()), ("bucket", pa.int32()), ("counts", pa.list_(pa.int64())), ("numbers", pa.list_(pa.int64())), ("distinct", pa.int64())])
 
 
-def _answer(least: float):
-    """For each block the counts over all blocks of the words it asked for; and, without a block, the bucket's frequent words."""
+def _answer(buckets: int):
+    """For each block the counts over all blocks, and the numbers, of the words it asked for; and, without a block, the bucket's learned words."""
     def run(asked: pa.Table) -> pa.Table:
         total: Counter = Counter()
         for chunk in asked.to_batches():
@@ -97,173 +97,256 @@ def _answer(least: float):
                 for word, n in zip(words, counts, strict=True):
                     total[word] += n
         bucket = asked.column("bucket")[0].as_py()
-        frequent = sorted(w for w, n in total.items() if n >= least)
-        rows = [(None, bucket, [total[w] for w in frequent], frequent, sum(n > 0 for n in total.values()))]
+        number = {w: k * buckets + bucket for k, w in enumerate(sorted(total))}
+        rows = [(None, bucket, None, None, sum(n > 0 for n in total.values()))]
         for chunk in asked.to_batches():
             for block, words in zip(chunk.column("block").to_pylist(), chunk.column("words").to_pylist(), strict=True):
-                rows.append((block, bucket, [total[w] for w in words], None, None))
+                rows.append((block, bucket, [total[w] for w in words], [number[w] for w in words], None))
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), ANSWERED_ARROW, strict=True)], schema=ANSWERED_ARROW)
 
     return run
 
 
-# --- counting n-grams -------------------------------------------------------------------------
+# --- counting pairs and triples ---------------------------------------------------------------
 
-class Frequent:
-    """Numbers of the frequent words, and the codes of frequent word pairs."""
+#: Kinds of rows of a block: texts; its words, pairs and triples by their places in the block; what it asks for.
+TEXT, WORD, PAIR, TRIPLE, ASK_PAIR, ASK_TRIPLE = range(6)
+LISTS = ("u", "v", "w", "c")
+GRAMS = "kind int, block int, bucket int, u array<long>, v array<long>, w array<long>, c array<long>, at array<int>, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double"
+GRAMS_ARROW = pa.schema([
+    ("kind", pa.int32()), ("block", pa.int32()), ("bucket", pa.int32()), *((c, pa.list_(pa.int64())) for c in LISTS), ("at", pa.list_(pa.int32())),
+    ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()),
+])
+SUMS = "kind int, block int, bucket int, u array<long>, v array<long>, w array<long>, c array<long>"
+SUMS_ARROW = pa.schema(list(GRAMS_ARROW)[:7])
+REPLIES = "kind int, block int, bucket int, n array<long>, m array<long>"
+REPLIES_ARROW = pa.schema([("kind", pa.int32()), ("block", pa.int32()), ("bucket", pa.int32()), ("n", pa.list_(pa.int64())), ("m", pa.list_(pa.int64()))])
 
-    def __init__(self, words: list[bytes]):
-        self.number = {w: i for i, w in enumerate(words)}
-        self.size = max(1, len(words))
-        self.pairs = np.zeros(0, np.int64)
 
-    def ids(self, texts: list[bytes]) -> np.ndarray:
-        """Numbers of the tokens of all texts, -1 for words that are not frequent; the end breaks n-grams only behind it."""
-        get = self.number.get
-        return np.array([get(w, -1) for text in texts for w in tokens(text)], np.int64)
+def buckets_of(buckets: int, *numbers: np.ndarray) -> np.ndarray:
+    """Bucket of each n-gram by the numbers of its words."""
+    h = np.zeros(len(numbers[0]), np.uint64)
+    for x in numbers:
+        h = (h ^ x.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    return (h % np.uint64(buckets)).astype(np.int64)
 
-    def grams(self, texts: list[bytes], order: int) -> np.ndarray:
-        """Codes of the n-grams whose parts are all frequent."""
-        ids = self.ids(texts)
-        end = self.number.get(END, -2)
-        first, second = ids[:-1], ids[1:]
-        inside = (first >= 0) & (second >= 0) & (first != end)
-        pairs = np.where(inside, first * self.size + second, -1)
-        if order == 2:
-            return pairs[inside]
-        if not len(self.pairs):
-            return np.zeros(0, np.int64)
-        at = np.searchsorted(self.pairs, pairs)
-        known = (at < len(self.pairs)) & (self.pairs[np.minimum(at, len(self.pairs) - 1)] == pairs)
-        both = known[:-1] & known[1:]
-        return (at[:-1] * self.size + second[1:])[both]
 
+def _filled(schema: pa.Schema, n: int, columns: dict) -> pa.Table:
+    return pa.Table.from_arrays([columns[f.name] if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
+
+
+def _lists(values: np.ndarray, bounds: np.ndarray, kind: pa.DataType | None = None) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values, kind or pa.int64()))
+
+
+def _by_bucket(schema: pa.Schema, kind: int, block: int, bucket: np.ndarray, columns: dict[str, np.ndarray]) -> pa.Table:
+    """One row per bucket with the lists of its values, in the order they come in."""
+    order = np.argsort(bucket, kind="stable")
+    names, starts = np.unique(bucket[order], return_index=True)
+    bounds = np.append(starts, len(bucket))
+    lists = {c: _lists(x[order], bounds) for c, x in columns.items()}
+    numbers = {"kind": pa.array(np.full(len(names), kind), pa.int32()), "block": pa.array(np.full(len(names), block), pa.int32()), "bucket": pa.array(names, pa.int32())}
+    return _filled(schema, len(names), numbers | lists)
+
+
+def _flat(rows: pa.Table, column: str) -> np.ndarray:
+    """The lists of a column one after the other."""
+    parts = [c.flatten().to_numpy(zero_copy_only=False) for c in rows.column(column).chunks]
+    return np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, np.int64)
 
-def _grams(frequent: Frequent, order: int):
-    def run(batches):
-        totals: list[tuple[np.ndarray, np.ndarray]] = []
-        held = 0
-        for part in pieces(batches, "text", 8 << 20):
-            totals.append(np.unique(frequent.grams(part.column("text").to_pylist(), order), return_counts=True))
-            held += len(totals[-1][0])
-            if held > 2_000_000:
-                totals = [_sum(totals)]
-                held = 0
-        if totals:
-            codes, n = _sum(totals)
-            yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(n)], names=["code", "n"])
+
+def _kind(rows: pa.Table, kind: int) -> pa.Table:
+    return rows.filter(pc.equal(rows.column("kind"), kind))
+
+
+def _replied(replies: pa.Table, kind: int, bucket: np.ndarray, column: str = "n") -> np.ndarray:
+    """What all buckets answered, in the order of the block."""
+    out = np.zeros(len(bucket), np.int64)
+    out[np.argsort(bucket, kind="stable")] = _flat(_kind(replies, kind).sort_by("bucket"), column)
+    return out
+
+
+def _grams(buckets: int, floor: float):
+    """A block's texts as places of n-grams, its n-grams, and the questions for their counts."""
+    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        if not docs.num_rows:
+            return GRAMS_ARROW.empty_table()
+        block = docs.column("block")[0].as_py()
+        place: dict[bytes, int] = {}
+        parts = []
+        for chunk in docs.column("text").chunks:
+            for text in chunk:
+                parts.append(np.array([place.setdefault(w, len(place)) for w in tokens(text.as_py())], np.int64))
+        number, count = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
+        given = dict(zip(answers.column("bucket").to_pylist(), zip(answers.column("numbers").to_pylist(), answers.column("counts").to_pylist(), strict=True), strict=True))
+        for bucket, names in by_bucket(place, buckets).items():
+            where = [place[w] for w in names]
+            number[where], count[where] = given[bucket]
+        size = len(place)
+        del place
+        root = np.log10(count + 1) - floor
+        held = docs.column("held_out").to_pylist()
+        sizes = np.array([len(p) for p in parts])
+        base = [math.fsum(root[p]) for p in parts]
+        known = [int((count[p] > 0).sum()) for p in parts]
+        t = np.concatenate(parts)
+        del parts, root
+        ends = np.cumsum(sizes)
+        depth = np.arange(len(t)) - np.repeat(ends - sizes, sizes)
+        learned = ~np.repeat(np.array([bool(h) for h in held]), sizes)
+        second = np.flatnonzero(depth >= 1)
+        codes, inverse = np.unique(t[second - 1] * size + t[second], return_inverse=True)
+        first_of, last_of = codes // size, codes % size
+        pair_count = np.bincount(inverse, weights=learned[second], minlength=len(codes)).astype(np.int64)
+        pair = np.zeros(len(t), np.int64)
+        pair[second] = inverse
+        third = np.flatnonzero(depth >= 2)
+        codes3, inverse3 = np.unique(pair[third - 1] * max(1, len(codes)) + pair[third], return_inverse=True)
+        head, tail = codes3 // max(1, len(codes)), codes3 % max(1, len(codes))
+        triple_count = np.bincount(inverse3, weights=learned[third], minlength=len(codes3)).astype(np.int64)
+        at = np.where(depth == 0, t, pair)
+        at[third] = inverse3
+        del t, depth, learned, second, third, pair, inverse, inverse3
+        texts = {
+            "kind": pa.array(np.full(len(sizes), TEXT), pa.int32()), "block": pa.array(np.full(len(sizes), block), pa.int32()),
+            "at": _lists(at, np.append(0, ends), pa.int32()), "doc_id": docs.column("doc_id").combine_chunks(), "held_out": pa.array(held, pa.bool_()),
+            "n_tokens": pa.array(sizes, pa.int64()), "n_known": pa.array(known, pa.int64()), "base_score": pa.array(base, pa.float64()),
+        }
+        u, v = number[first_of], number[last_of]
+        x, y, z = u[head], v[head], v[tail]
+        whole = lambda kind, n, **columns: _by_bucket(GRAMS_ARROW, kind, block, np.zeros(n, np.int64), columns)
+        return pa.concat_tables([
+            _filled(GRAMS_ARROW, len(sizes), texts),
+            whole(WORD, size, u=number, c=count), whole(PAIR, len(codes), u=first_of, v=last_of), whole(TRIPLE, len(codes3), u=head, v=tail),
+            _by_bucket(GRAMS_ARROW, ASK_PAIR, block, buckets_of(buckets, u, v), {"u": u, "v": v, "c": pair_count}),
+            _by_bucket(GRAMS_ARROW, ASK_TRIPLE, block, buckets_of(buckets, x, y, z), {"u": x, "v": y, "w": z, "c": triple_count}),
+        ])
 
     return run
 
 
-def _sum(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    codes, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-    return codes, np.bincount(at, weights=np.concatenate([p[1] for p in parts]), minlength=len(codes)).astype(np.int64)
+def _grouped(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """An order that puts equal rows side by side, earlier ones first, and the number of each row's group in that order."""
+    order = np.lexsort(columns)
+    new = np.zeros(len(order), bool)
+    for x in columns:
+        new[1:] |= x[order][1:] != x[order][:-1]
+    return order, np.cumsum(new)
+
+
+def _sums(group: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Sum of each group's values, in place of each value."""
+    out = np.zeros(group[-1] + 1 if len(group) else 0, np.int64)
+    np.add.at(out, group, values)
+    return out[group]
+
+
+def _replies(asked: pa.Table, n: np.ndarray, m: np.ndarray | None = None) -> pa.Table:
+    bounds = np.append(0, np.cumsum(np.concatenate([pc.list_value_length(c).to_numpy(zero_copy_only=False) for c in asked.column("u").chunks])))
+    columns = {c: asked.column(c).combine_chunks() for c in ("kind", "block", "bucket")} | {"n": _lists(n, bounds)}
+    return _filled(REPLIES_ARROW, asked.num_rows, columns if m is None else columns | {"m": _lists(m, bounds)})
+
+
+def _count(asked: pa.Table) -> pa.Table:
+    """Counts of the n-grams of one kind and bucket over all blocks; the block that adds one to its state's sums gets it negative."""
+    names = LISTS[:3] if asked.column("kind")[0].as_py() == ASK_TRIPLE else LISTS[:2]
+    counts = _flat(asked, "c")
+    order, group = _grouped([_flat(asked, c) for c in names])
+    total = _sums(group, counts[order])
+    some = np.flatnonzero(counts[order] > 0)
+    _, first = np.unique(group[some], return_index=True)
+    total[some[first]] *= -1
+    out = np.empty_like(total)
+    out[order] = total
+    return _replies(asked, out)
 
 
-def frequent_grams(train: DataFrame, frequent: Frequent, order: int, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Codes, in order, and counts of the n-grams of at least ``least`` occurrences."""
-    rows = train.select("text").mapInArrow(_grams(frequent, order), "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    found = rows.toPandas().sort_values("code")
-    return found["code"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
+def _add(asked: pa.Table) -> pa.Table:
+    """Sums over all blocks of the states of one kind and bucket."""
+    order, group = _grouped([_flat(asked, c) for c in (LISTS[:2] if asked.column("kind")[0].as_py() == PAIR else LISTS[:1])])
+    out = []
+    for column in ("w", "c"):
+        total = np.empty(len(order), np.int64)
+        total[order] = _sums(group, _flat(asked, column)[order])
+        out.append(total)
+    return _replies(asked, *out)
 
 
 # --- the automaton ----------------------------------------------------------------------------
 
-class Automaton:
-    """Arcs (weight, next state) by state and frequent word, failure arcs (weight, state) by state; state 0 is the root."""
-
-    def __init__(self, frequent: Frequent, counts: np.ndarray, pairs, triples, n: int, distinct: int):
-        self.frequent, self.n, self.distinct = frequent, n, distinct
-        self.floor = math.log10(n + distinct + 1)
-        size = frequent.size
-        root = {w: (int(c) + 1) / (n + distinct + 1) for w, c in enumerate(counts)}
-        by_word: dict[int, dict[int, int]] = defaultdict(dict)
-        for code, c in zip(*(x.tolist() for x in pairs), strict=True):
-            by_word[code // size][code % size] = c
-        by_pair: dict[int, dict[int, int]] = defaultdict(dict)
-        for code, c in zip(*(x.tolist() for x in triples), strict=True):
-            by_pair[code // size][code % size] = c
-        pair_state: dict[tuple[int, int], int] = {}
-        word_state = {w: k for k, w in enumerate(sorted(by_word), 1)}
-        pair_codes = pairs[0].tolist()
-        for k in sorted(by_pair):
-            pair_state[divmod(pair_codes[k], size)] = 1 + len(word_state) + len(pair_state)
-        self.arcs: dict[int, tuple[float, int]] = {}
-        self.fail: list[tuple[float, int]] = [(0.0, 0)] * (1 + len(word_state) + len(pair_state))
-        self.enter = [word_state.get(w, 0) for w in range(size)]
-        chance: dict[int, dict[int, float]] = {}
-        for u, state in word_state.items():
-            seen = {w: (c - DISCOUNT) / int(counts[u]) for w, c in by_word[u].items()}
-            rest = (1 - sum(seen.values())) / (1 - sum(root[w] for w in seen))
-            self.fail[state] = (math.log10(rest), 0)
-            chance[state] = seen
-            for w, p in seen.items():
-                self.arcs[state * size + w] = (math.log10(p), pair_state.get((u, w), word_state.get(w, 0)))
-        pair_counts = pairs[1].tolist()
-        for k in sorted(by_pair):
-            u, v = divmod(pair_codes[k], size)
-            state, below = pair_state[u, v], word_state.get(v, 0)
-            seen = {w: (c - DISCOUNT) / pair_counts[k] for w, c in by_pair[k].items()}
-            shorter = sum(chance[below][w] for w in seen)       # a frequent triple's last pair is frequent, so it has an arc
-            self.fail[state] = (math.log10((1 - sum(seen.values())) / (1 - shorter)), below)
-            for w, p in seen.items():
-                self.arcs[state * size + w] = (math.log10(p), pair_state.get((v, w), word_state.get(w, 0)))
-        self.to_root = []
-        for state in range(len(self.fail)):
-            total = 0.0
-            while state:
-                weight, state = self.fail[state]
-                total += weight
-            self.to_root.append(total)
-
-    def score(self, numbers: list[int], own: list[float]) -> float:
-        """Log10 probability of a text: the frequent words' numbers (-1: other) and the root's log10 estimates of its tokens."""
-        arcs, fail, to_root, enter, size = self.arcs.get, self.fail, self.to_root, self.enter, self.frequent.size
-        state, total = 0, 0.0
-        for w, weight in zip(numbers, own, strict=True):
-            if w < 0:
-                total += to_root[state] + weight
-                state = 0
-                continue
-            while state:
-                arc = arcs(state * size + w)
-                if arc is not None:
-                    total += arc[0]
-                    state = arc[1]
-                    break
-                down, state = fail[state]
-                total += down
-            else:
-                total += weight
-                state = enter[w]
-        return total
+class Part:
+    """The states and arcs of one block: its words, pairs and triples with their counts over all blocks."""
+
+    def __init__(self, grams: pa.Table, replies: pa.Table, buckets: int):
+        words, pairs, triples = (_kind(grams, k) for k in (WORD, PAIR, TRIPLE))
+        self.number, self.words = _flat(words, "u"), _flat(words, "c")
+        self.first, self.last = _flat(pairs, "u"), _flat(pairs, "v")
+        self.head, self.tail = _flat(triples, "u"), _flat(triples, "v")
+        u, v = self.number[self.first], self.number[self.last]
+        self.pair_bucket, self.word_bucket = buckets_of(buckets, u, v), buckets_of(buckets, self.number)
+        self.pairs = _replied(replies, ASK_PAIR, self.pair_bucket)
+        self.triples = _replied(replies, ASK_TRIPLE, buckets_of(buckets, u[self.head], v[self.head], v[self.tail]))
+        self.own_pairs, self.own_triples = self.pairs < 0, self.triples < 0
+        self.pairs, self.triples = np.abs(self.pairs), np.abs(self.triples)
+
+
+def _share_sums(buckets: int, least: float):
+    """What the n-grams that a block answers for add to the sums of their states: twice the discounted counts, and those of the shorter history."""
+    def run(grams: pa.Table, replies: pa.Table) -> pa.Table:
+        part = Part(grams, replies, buckets)
+        block = grams.column("block")[0].as_py()
+        arcs = np.flatnonzero(part.own_pairs & (part.pairs >= least))
+        seen, below = np.zeros((2, len(part.words)), np.int64)
+        np.add.at(seen, part.first[arcs], 2 * part.pairs[arcs] - 1)
+        np.add.at(below, part.first[arcs], part.words[part.last[arcs]] + 1)
+        arcs = np.flatnonzero(part.own_triples & (part.triples >= least))
+        seen2, below2 = np.zeros((2, len(part.pairs)), np.int64)
+        np.add.at(seen2, part.head[arcs], 2 * part.triples[arcs] - 1)
+        np.add.at(below2, part.head[arcs], 2 * part.pairs[part.tail[arcs]] - 1)
+        pairs = {"u": part.number[part.first], "v": part.number[part.last], "w": seen2, "c": below2}
+        return pa.concat_tables([
+            _by_bucket(SUMS_ARROW, WORD, block, part.word_bucket, {"u": part.number, "w": seen, "c": below}),
+            _by_bucket(SUMS_ARROW, PAIR, block, part.pair_bucket, pairs),
+        ])
+
+    return run
+
+
+def _failure(seen: np.ndarray, count: np.ndarray, below: np.ndarray, whole) -> np.ndarray:
+    """Log10 weights of failure arcs; zero where a history is no state. The root's and shorter state's sums are out of ``whole``."""
+    state = seen > 0
+    rest = np.where(state, (2 * count - seen) / np.maximum(1, 2 * count), 1)
+    return np.log10(rest) - np.log10(np.where(state, (whole - below) / np.maximum(1, whole), 1))
 
 
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 SCORED_ARROW = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
 
-def _score(model: Automaton, buckets: int):
-    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        if not docs.num_rows:
-            return SCORED_ARROW.empty_table()
-        texts = [t for c in docs.column("text").chunks for t in c.to_pylist()]
-        words: set[bytes] = set()
-        for text in texts:
-            words.update(tokens(text))
-        asked = by_bucket(words, buckets)
-        given = dict(zip(answers.column("bucket").to_pylist(), answers.column("counts").to_pylist(), strict=True))
-        number = model.frequent.number.get
-        known: dict[bytes, tuple[int, int, float]] = {}
-        for bucket, names in asked.items():
-            for word, c in zip(names, given[bucket], strict=True):
-                known[word] = (number(word, -1), int(c > 0), math.log10(c + 1) - model.floor)
-        rows = []
-        for doc_id, held, text in zip(docs.column("doc_id").to_pylist(), docs.column("held_out").to_pylist(), texts, strict=True):
-            numbers, seen, own = zip(*map(known.__getitem__, tokens(text)), strict=True)
-            rows.append((doc_id, held, len(own), sum(seen), model.n, math.fsum(own), model.score(numbers, own)))
-        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), SCORED_ARROW, strict=True)], schema=SCORED_ARROW)
+def _score(buckets: int, least: float, n: int, distinct: int):
+    """Scores of a block's texts: the weights of the arcs they pass, failure arcs included."""
+    def run(grams: pa.Table, replies: pa.Table) -> pa.Table:
+        part = Part(grams, replies, buckets)
+        given = lambda kind, bucket: (_replied(replies, kind, bucket), _replied(replies, kind, bucket, "m"))
+        seen, below = given(WORD, part.word_bucket)
+        seen2, below2 = given(PAIR, part.pair_bucket)
+        root = np.log10(part.words + 1) - math.log10(n + distinct + 1)
+        down = _failure(seen, part.words, below, n + distinct + 1)
+        down2 = _failure(seen2, part.pairs, below2, 2 * part.words[part.last])
+        arc = np.log10(np.maximum(part.pairs - DISCOUNT, DISCOUNT) / np.maximum(1, part.words[part.first]))
+        pair = np.where(part.pairs >= least, arc, down[part.first] + root[part.last])
+        arc = np.log10(np.maximum(part.triples - DISCOUNT, DISCOUNT) / np.maximum(1, part.pairs[part.head]))
+        triple = np.where(part.triples >= least, arc, down2[part.head] + pair[part.tail])
+        texts = _kind(grams, TEXT)
+        scores = []
+        for chunk in texts.column("at").chunks:
+            bounds, at = chunk.offsets.to_numpy(), chunk.values.to_numpy(zero_copy_only=False)
+            for start, stop in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                own = at[start:stop]
+                scores.append(math.fsum(chain(root[own[:1]], pair[own[1:2]], triple[own[2:]])))
+        columns = {c: texts.column(c).combine_chunks() for c in ("doc_id", "held_out", "n_tokens", "n_known", "base_score")}
+        return _filled(SCORED_ARROW, texts.num_rows, columns | {"train_tokens": pa.array(np.full(texts.num_rows, n), pa.int64()), "score": pa.array(scores, pa.float64())})
 
     return run
 
@@ -281,19 +364,17 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
     asked = materialize(dealt.repartition(blocks, "block").mapInArrow(_ask(blocks), ASKED), "asked")
     n = asked.agg(F.sum("n")).first()[0] or 0
     least = max(1.0, share * n)
-    answered = materialize(asked.groupBy("bucket").applyInArrow(_answer(least), ANSWERED), "answered")
-    summary = answered.where("block is null")
-    distinct = summary.agg(F.sum("distinct")).first()[0] or 0
-    words = {bytes(w): c for r in summary.where(F.size("words") > 0).select("words", "counts").collect() for w, c in zip(r.words, r.counts, strict=True)}    # 1 / share at most
-    frequent = Frequent(sorted(words))
-    counts = np.array([words[w] for w in sorted(words)], np.int64)
-    train = rows.where(~F.col("held_out"))
-    pairs = frequent_grams(train, frequent, 2, least)
-    frequent.pairs = pairs[0]
-    model = Automaton(frequent, counts, pairs, frequent_grams(train, frequent, 3, least), n, distinct)
-    frequent.pairs = pairs[0][:0]                      # tasks that score need the arcs only
-    answers = answered.where("block is not null").select("block", "bucket", "counts")
-    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(model, blocks), SCORED)
+    answered = materialize(asked.groupBy("bucket").applyInArrow(_answer(blocks), ANSWERED), "answered")
+    distinct = answered.agg(F.sum("distinct")).first()[0] or 0
+    answers = answered.where("block is not null").select("block", "bucket", "counts", "numbers")
+    grams = materialize(dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_grams(blocks, math.log10(n + distinct + 1)), GRAMS), "grams")
+    questions = grams.where(F.col("kind").isin(ASK_PAIR, ASK_TRIPLE)).select("kind", "block", "bucket", *LISTS)
+    counts = materialize(questions.groupBy("kind", "bucket").applyInArrow(_count, REPLIES), "gram-counts")
+    own = grams.where(F.col("kind").isin(WORD, PAIR, TRIPLE)).select("kind", "block", "u", "v", "c")
+    shares = materialize(own.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(_share_sums(blocks, least), SUMS), "state-shares")
+    sums = materialize(shares.groupBy("kind", "bucket").applyInArrow(_add, REPLIES), "state-sums")
+    texts = grams.where(F.col("kind").isin(TEXT, WORD, PAIR, TRIPLE)).drop("bucket", "w")
+    return texts.groupBy("block").cogroup(counts.union(sums).groupBy("block")).applyInArrow(_score(blocks, least, n, distinct), SCORED)
 
 
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -87,6 +87,16 @@ def test_probabilities_sum_to_one():
         assert sum(chance(w, h) for (w,) in counts) + chance("unseen", h) == pytest.approx(1)
 
 
+def test_rare_grams_of_large_corpora_count(spark):
+    """110,000 training tokens: by a share of 2e-5 what is seen twice would be left out."""
+    rng = np.random.default_rng(4)
+    texts = [(i, " ".join(f"w{int(x)}" for x in rng.zipf(1.3, 500) % 3000)) for i in range(250)] + [(900, "rare pair here"), (901, "rare pair here"), (903, "a rare pair here")]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    rows = lm.score(df, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, block_bytes=100_000).collect()
+    assert rows[0].train_tokens > 100_000
+    check(rows, texts, held, 0.0)
+
+
 def test_repeated_null_ids_and_nothing(spark):
     df = spark.createDataFrame([(1, "x y"), (1, "x y"), (None, "x"), (2, None)], "doc_id long, text string")
     rows = lm.score(df, F.lit(False)).collect()
