@@ -44,6 +44,12 @@ def clear(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove one intermediate table whose successor is written."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; never reused, never overwritten."""
     return f"{shared_root(spark)}/fieldloom/{label}-{uuid.uuid4().hex}"
