@@ -20,34 +20,56 @@ each value as they are and the rest in unary: value number i sets bit
 least possible. ``select`` finds the i-th set bit from a hint kept for every
 ``HINT`` values, so no table of 64-bit offsets exists on disk or in memory.
 
-A file's name has no meaning; the header says where it belongs. Encoding looks
-words up: no match of the vocabulary's split pattern crosses white space, and its
-normalizer composes nothing across it, so a text's ids are those of its words.
+A file's name has no meaning; the header says where it belongs. A vocabulary of
+words is looked up by short runs: no match of its split pattern crosses white space,
+and its normalizer composes nothing across it, so a text's ids are those of its
+runs. Other vocabularies encode whole texts.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import zlib
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..literals import literal_table
 from ..storage import new_path
 from .batches import pieces, table
+from .packing import byte_of_letter
 
 MAGIC = b"EFTOKEN1"
 #: Ids of a file, reached by whole documents; values between two select hints.
 SHARD_IDS, HINT = 1 << 20, 512
 #: Id that ends a document; words a worker remembers.
-END, REMEMBERED = 1, 400_000
+END, REMEMBERED = 1, 600_000
+# The pipeline of a vocabulary of lower-case words, as its file states it.
+CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
+PIPELINE = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": CONTRACTIONS + r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+    "post_processor": None, "truncation": None, "padding": None,
+}
+MODEL = {"type": "BPE", "dropout": None, "continuing_subword_prefix": None}
+#: Kinds of bytes: letters, punctuation that no contraction or special token holds, white space, others.
+LETTER, SIGN, WHITE = 1, 2, 8
+KINDS = np.array([LETTER if chr(b).isascii() and chr(b).isalpha() else SIGN if chr(b) in "!\"#$%&()*+,-./:;=?@[\\]^_`{}~" else WHITE if b in b"\t\n\v\f\r " else 0 for b in range(256)], np.uint8)
+LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
+#: Runs that need no normalization but lower case, such that are one part, and parts.
+LETTERS = re.compile("[a-zß-öø-ÿ]+")
+PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+PARTS = re.compile(CONTRACTIONS + "|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 HEAD = struct.Struct("<QQQQqQQQ")
 SEQUENCE = struct.Struct("<QQQQ")
 
@@ -146,42 +168,105 @@ class Shard:
         return self.ids[first:stop]
 
 
+def letter_of_byte() -> dict[int, str]:
+    """The letter that stands for a byte in a byte-level vocabulary."""
+    return {byte: letter for letter, byte in byte_of_letter().items()}
+
+
 # --- encoding ---------------------------------------------------------------------------------
 
-class Words:
-    """Ids of words, remembered up to a bound: word number k has ``flat[starts[k]:starts[k + 1]]``."""
+class WholeTexts:
+    """Encoder for any vocabulary file: each text goes through the library as a whole."""
 
-    def __init__(self, path: str, bound: int = REMEMBERED):
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.bound = Tokenizer.from_file(path), bound
+        self.tokenizer = Tokenizer.from_file(path)
         self.width = "<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ends): all ids of the texts, each with its end, and where each text ends."""
+        found = [[*e.ids, END] for e in self.tokenizer.encode_batch_fast(pc.fill_null(texts, "").to_pylist(), add_special_tokens=False)]
+        ends = np.cumsum([len(x) for x in found])
+        return np.fromiter((i for ids in found for i in ids), self.width, int(ends[-1])), ends
+
+
+def runs_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(runs, stops): parts of the texts, without white space, between which no pre-token can lie, and the number of runs up to each text's end.
+
+    Runs end at white space and where a letter of ASCII or Latin-1 meets ASCII punctuation; letters
+    are in lower case unless a special token may be there.
+    """
+    texts = pc.fill_null(texts, "")
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+    begins, ends = (offsets - offsets[0])[:-1], (offsets - offsets[0])[1:]
+    if not len(data):
+        return pa.array([], pa.string()), np.zeros(len(ends), np.int64)
+    kind = KINDS[data]
+    lead = np.flatnonzero(data[:-1] == 0xC3)
+    second = data[lead + 1]
+    letter = (second != 0x97) & (second != 0xB7)                    # not the signs of multiplication and division
+    kind[lead[letter]] = kind[lead[letter] + 1] = LETTER
+    if data.tobytes().find(b"<|") < 0:
+        data = LOWER[data]
+        data[lead[letter & (second <= 0x9E)] + 1] += 0x20
+    new = np.ones(len(data), bool)
+    new[1:] = (kind[:-1] == WHITE) | (kind[1:] + kind[:-1] == LETTER + SIGN)
+    new[begins[begins < ends]] = True
+    keep = kind != WHITE
+    new &= keep
+    kept = data[keep]
+    at = np.append(np.flatnonzero(new[keep]), len(kept)).astype(np.int32)
+    runs = pa.Array.from_buffers(pa.string(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(kept)])
+    return runs, np.append(0, np.cumsum(new))[ends]
+
+
+class Words(WholeTexts):
+    """Encoder that remembers the ids of runs, up to a bound: run number k of ``known`` has ``flat[starts[k]:starts[k + 1]]``.
+
+    Runs of ASCII and Latin-1 letters are split here, as the library's pipeline would, and
+    only their parts go to its model; other runs go through the whole pipeline.
+    """
+
+    def __init__(self, path: str, bound: int = REMEMBERED):
+        super().__init__(path)
+        self.bound = bound
+        self.bytes = str.maketrans({chr(c): "".join(map(letter_of_byte().__getitem__, chr(c).encode())) for c in range(256)})
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat, self.starts = np.array([END], self.width), np.array([0, 1])      # word 0 ends a document
+        # number 0 ends a document; no run is white space
+        self.known, self.flat, self.starts = pa.array([" "]), np.array([END], self.width), np.array([0, 1])
+
+    def split(self, run: str) -> list[int]:
+        parts = [run] if LETTERS.fullmatch(run) else PARTS.findall(run.lower())
+        found = [self.tokenizer.model.tokenize(p if p.isascii() else p.translate(self.bytes)) for p in parts]
+        return [t.id for part in found for t in part]
 
-    def numbers(self, words: list[str]) -> np.ndarray:
+    def numbers(self, runs: pa.Array) -> np.ndarray:
         if len(self.known) > self.bound:
             self.clear()
-        known = self.known
-        new = [w for w in words if w not in known]
-        if new:
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            known.update(zip(new, range(len(self.starts) - 1, len(self.starts) - 1 + len(new)), strict=True))
+        where = pc.index_in(runs, self.known)
+        if where.null_count:
+            new = runs.filter(where.is_null())
+            texts = new.to_pylist()
+            odd = [w for w in texts if not PLAIN.fullmatch(w) or "<|" in w]
+            whole = {w: e.ids for w, e in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False), strict=True)}
+            found = [whole[w] if w in whole else self.split(w) for w in texts]
             lengths = np.fromiter(map(len, found), np.int64, len(found))
-            self.flat = np.concatenate([self.flat, np.fromiter((i for ids in found for i in ids), self.width, int(lengths.sum()))])
+            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(found), self.width, int(lengths.sum()))])
             self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
-        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+            self.known = pa.concat_arrays([self.known, new])
+            fresh = np.cumsum(where.is_null().to_numpy(zero_copy_only=False)) + len(self.known) - len(new) - 1
+            return pc.if_else(where.is_null(), pa.array(fresh.astype(np.int32)), where).to_numpy(zero_copy_only=False)
+        return where.to_numpy()
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, ends): all ids of the texts, each with its end, and where each text ends."""
-        lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
-        coded = lists.flatten().dictionary_encode()
-        numbers = self.numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy()] if len(coded) else np.zeros(0, np.int64)
-        stops = lists.offsets.to_numpy().astype(np.int64)[1:] - lists.offsets[0].as_py()
+        runs, stops = runs_of(texts)
+        coded = runs.dictionary_encode()
+        numbers = self.numbers(coded.dictionary)[coded.indices.to_numpy()] if len(coded) else np.zeros(0, np.int32)
         numbers = np.insert(numbers, stops, 0)
         stops = stops + np.arange(1, len(stops) + 1)
         begins, lengths = self.starts[numbers], np.diff(self.starts)[numbers]
@@ -191,32 +276,36 @@ class Words:
 
 
 @cache
-def words_of(path: str) -> Words:
-    """One per worker process."""
-    return Words(path)
+def encoder_of(path: str) -> WholeTexts:
+    """One per worker process; words are looked up only if the file states the pipeline that this holds for."""
+    with open(path, encoding="utf-8") as file:
+        stated = json.load(file)
+    special = all(not t["lstrip"] and not t["rstrip"] and not t["normalized"] and t["content"].startswith("<|") and not any(map(str.isspace, t["content"])) for t in stated["added_tokens"])
+    same = special and all(stated[k] == v for k, v in PIPELINE.items()) and all(stated["model"].get(k) == v for k, v in MODEL.items())
+    return (Words if same else WholeTexts)(path)
 
 
-SHARDS = pa.schema([("part", pa.int64()), ("number", pa.int64()), ("n_ids", pa.int64()), ("body", pa.binary())])
+SHARDS = pa.schema([("part", pa.int64()), ("earlier", pa.int64()), ("n_ids", pa.int64()), ("body", pa.binary())])
 
 
 def _shard_batches(path: str, size: int):
     def run(batches):
         from pyspark import TaskContext
 
-        part, number, words = TaskContext.get().partitionId(), 0, words_of(path)
+        part, earlier, encoder = TaskContext.get().partitionId(), 0, encoder_of(path)
         held, docs, total = [], [], 0
 
         def flush():
-            nonlocal held, docs, total, number
+            nonlocal held, docs, total, earlier
             known = pa.chunked_array(docs, pa.int64()).combine_chunks()
             ends = np.cumsum(np.concatenate([np.diff(e, prepend=0) for _, e in held]))
             body = shard_body(known.drop_null().to_numpy(zero_copy_only=False), known.null_count, ends, np.concatenate([i for i, _ in held]))
-            out = pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((part, number, total, body), SHARDS, strict=True)], schema=SHARDS)
-            held, docs, total, number = [], [], 0, number + 1
+            out = pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((part, earlier, total, body), SHARDS, strict=True)], schema=SHARDS)
+            held, docs, total, earlier = [], [], 0, earlier + total
             return out
 
-        for rows in pieces(batches, "text", 1 << 20):
-            ids, ends = words.encode(rows.column("text"))
+        for rows in pieces(batches, "text"):
+            ids, ends = encoder.encode(rows.column("text"))
             done = begin = 0
             while done < len(ends):
                 stop = min(len(ends), int(np.searchsorted(ends, begin + size - total)) + 1)
@@ -246,7 +335,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, id_col: str = "doc_
     keys = [F.asc_nulls_first("doc_id"), "tie", "row"]
     sorted_rows = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).select("doc_id", "text")
     held = new_path(spark, "token-shards")
-    shards = sorted_rows.mapInArrow(_shard_batches(tokenizer, shard_ids), "part long, number long, n_ids long, body binary")
+    shards = sorted_rows.mapInArrow(_shard_batches(tokenizer, shard_ids), "part long, earlier long, n_ids long, body binary")
     shards.write.option("parquet.block.size.row.check.min", 4).parquet(held)
     shards = spark.read.parquet(held)
     before, offsets = 0, []
@@ -255,9 +344,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, id_col: str = "doc_
         before += n
     if not offsets:
         offsets = [(-1, 0)]
-    earlier = F.coalesce(F.sum("n_ids").over(W.partitionBy("part").orderBy("number").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    starts = shards.select("part", "number", "n_ids").withColumn("earlier", earlier).join(literal_table(spark, ["part", "shift"], offsets), "part")
-    placed = shards.drop("n_ids").join(starts.select("part", "number", (F.col("earlier") + F.col("shift")).alias("first")), ["part", "number"])
+    # one row for each task, so this side is sent to the tasks and no body is shuffled
+    placed = shards.join(literal_table(spark, ["part", "shift"], offsets), "part").withColumn("first", F.col("earlier") + F.col("shift"))
     head = F.concat(F.lit(MAGIC), F.unhex(F.lpad(F.hex("first"), 16, "0")))
     placed.select(F.concat(head, "body").cast("string").alias("value")).write.options(maxRecordsPerFile=1, lineSep="\n").text(path)
 

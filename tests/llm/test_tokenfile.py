@@ -32,17 +32,28 @@ def test_query_gives_the_ids_of_the_library(spark, root):
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.one_of(st.text(), st.text(alphabet="aBc's \t\ń Σ\u0085 <|>endoftx1!é")), min_size=1, max_size=6))
+@given(st.lists(st.one_of(st.text(), st.text(alphabet="aBcÀÖÿß×.,'s \t\ń Σ\u0085 <|>endoftx1!é")), min_size=1, max_size=6))
 def test_words_give_the_ids_of_whole_texts(texts):
     import pyarrow as pa
 
-    words, tokenizer = tokenfile.words_of(PATH), Tokenizer.from_file(PATH)
-    texts = [t.encode("utf-8", "ignore").decode() for t in texts] + ["a<|endoftext|>b <|startoftext|>", "x ́y"]
+    words, tokenizer = tokenfile.encoder_of(PATH), Tokenizer.from_file(PATH)
+    texts = [t.encode("utf-8", "ignore").decode() for t in texts] + ["a<|endoftext|>b <|startoftext|>", "x ́y", "It'S He'LL d'eau. (ÀÉ)...x2 ½ª"]
+    assert type(words) is tokenfile.Words
     ids, ends = words.encode(pa.array(texts))
     got = np.split(ids, ends[:-1])
     assert [g.tolist() for g in got] == [[*tokenizer.encode(t, add_special_tokens=False).ids, 1] for t in texts]
 
 
+def test_other_vocabularies_encode_whole_texts():
+    import pyarrow as pa
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = ["two  blanks", None, " a\tb\n"]
+    ids, ends = tokenfile.encoder_of(path).encode(pa.array(texts))
+    want = Tokenizer.from_file(path)
+    assert [x.tolist() for x in np.split(ids, ends[:-1])] == [[*want.encode(t or "", add_special_tokens=False).ids, 1] for t in texts]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 2**64 - 1), max_size=40), st.integers(0, 2**40), st.integers(0, 1500))
 def test_monotone_sequences(values, step, many):
