@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bm25, bpe, embed, langid, lm, packing, phrases, pii, simhash, suffix, tokenfile, warc
+from . import bm25, bpe, embed, langid, lm, mining, packing, phrases, pii, simhash, suffix, tokenfile, warc
 
-MODULES = [bm25, bpe, embed, langid, lm, packing, phrases, pii, simhash, suffix, tokenfile, warc]
+MODULES = [bm25, bpe, embed, langid, lm, mining, packing, phrases, pii, simhash, suffix, tokenfile, warc]
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
