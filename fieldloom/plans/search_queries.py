@@ -11,6 +11,7 @@ from ..operators import upsert as U
 from ..sources.tables import view
 from ..storage import materialize, new_path
 from ..streaming import upsert_stream as T
+from ..streaming import versions as V
 from .catalog import _snapshot, catalog, normalized
 
 TOP = 12
@@ -66,6 +67,26 @@ def upsert_stream(spark, root):
     return T.current_items(T.read_log(spark, batches.schema, log))
 
 
+def upsert_stream_compacted(spark, root):
+    """The same four batches, one in each epoch; every second epoch is followed by a compaction, so keys are compacted half-way."""
+    batches = U.reduce_batch(normalized(spark, root).withColumn(T.SEQ, F.col("ord") % 4), T.SEQ)
+    source, place, state = (new_path(spark, p) for p in ("batches", "store", "state"))
+    batches.repartition(4, T.SEQ).write.parquet(source)
+    store = V.ItemStore(spark, place, batches.schema)
+    V.run(store, source, state, files_per_trigger=1, compact_every=2)
+    return store.current()
+
+
+def upsert_stored(spark, root):
+    """A base at rest, in buckets, and what comes later put into it."""
+    sides = {0: F.expr("ord % 3 > 0 OR ord % 2 = 0"), 1: F.expr("ord % 3 = 0")}
+    batches = [U.reduce_batch(normalized(spark, root).filter(side).withColumn(T.SEQ, F.lit(seq).cast("bigint")), T.SEQ) for seq, side in sides.items()]
+    store = V.ItemStore(spark, new_path(spark, "store"), batches[0].schema)
+    for batch in batches:
+        store.upsert(batch)
+    return store.current()
+
+
 QUERIES = {
     "term_match_theta": lambda s, r: S.term_matches(_items(s, r), _terms(s, r)[0]),
     "search_category": lambda s, r: S.search_category(_items(s, r), _terms(s, r)[0]).select(*HIT),
@@ -86,4 +107,6 @@ QUERIES = {
     "create_table_plain": lambda s, r: D.plain_table_lines(_selection(s, r)),
     "upsert_items": upsert_items,
     "upsert_stream": upsert_stream,
+    "upsert_stream_compacted": upsert_stream_compacted,
+    "upsert_stored": upsert_stored,
 }

@@ -11,11 +11,16 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BLANK = "__BLANK__"
 
+
+class AlreadyThere(RuntimeError):
+    """Another writer published under this name first."""
+
 _LOCAL_ROOT: tempfile.TemporaryDirectory | None = None
 
 
@@ -50,6 +55,45 @@ def discard(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def names_below(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders directly below ``path``, sorted; none if it is not there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in files.listStatus(place)) if files.exists(place) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as one text."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = place.getFileSystem(spark._jsc.hadoopConfiguration()).open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def publish_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that readers see whole or not at all; its name must be new, so of two writers one fails."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    conf = spark._jsc.hadoopConfiguration()
+    target = fs.Path(path)
+    draft = fs.Path(target.getParent(), f".{uuid.uuid4().hex}")
+    files = target.getFileSystem(conf)
+    stream = files.create(draft, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    rename = getattr(fs, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.NONE
+    try:
+        fs.FileContext.getFileContext(files.getUri(), conf).rename(draft, files.makeQualified(target), how)
+    except Py4JJavaError as error:
+        files.delete(draft, False)
+        if "FileAlreadyExists" in str(error.java_exception.getClass().getName()):
+            raise AlreadyThere(path) from None
+        raise
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; never reused, never overwritten."""
     return f"{shared_root(spark)}/fieldloom/{label}-{uuid.uuid4().hex}"

@@ -150,3 +150,6 @@ FROM ubase b FULL JOIN udelta d ON b.category = d.category AND b.name = d.name A
     "upsert_stream": build([f"ub{i}" for i in range(4)], f"SELECT {KEY3}, {LATEST} FROM (" + " UNION ALL ".join(
         f"SELECT *, {i} AS seq FROM ub{i}" for i in range(4)) + f") GROUP BY {KEY3}"),
 }
+# The same rows out of the versioned store.
+ORACLES["upsert_stream_compacted"] = ORACLES["upsert_stream"]
+ORACLES["upsert_stored"] = ORACLES["upsert_items"]
