@@ -9,11 +9,13 @@ from ..functions.names import entity_of
 from ..operators import graph as G
 from ..operators import harmonize as H
 from ..operators import upsert as U
+from ..operators.ranges import match_ranges
 from ..sources import documents as D
 from ..sources import loaders as L
 from ..sources import markup as M
 from ..sources import sinks as K
 from ..sources import speclines as S
+from ..sources import textfiles as T
 from ..sources.tables import SOURCES, table, view
 from ..sources.typemaps import VOCABULARY, map_types
 from ..storage import new_path
@@ -103,11 +105,43 @@ def _lines(spark, root):
     return S.parse_lines(view(spark, root, "spec_lines"))
 
 
+SPEC_FOLDERS, BAD_FOLDER = 4, 3
+
+
+def _spec_files(spark, root):
+    """The spec lines as text files, dealt over folders in their order; in one folder every line has a byte that is no text."""
+    path = new_path(spark, "spec-files")
+    rows = view(spark, root, "spec_lines").withColumn("folder", F.col("ord") % SPEC_FOLDERS)
+    broken = F.concat(F.col("line").cast("binary"), F.unhex(F.lit("FF"))).cast("string")
+    value = F.when(F.col("folder") == BAD_FOLDER, broken).otherwise(F.col("line"))
+    rows.repartitionByRange("folder", "ord").sortWithinPartitions("folder", "ord").select("folder", value.alias("value")).write.partitionBy("folder").text(path)
+    return T.read_lines(spark, path)
+
+
+def spec_file_items(spark, root):
+    """Definition lines out of files, with their number over all files and names that do not repeat."""
+    return S.unique_names(S.parse_lines(_spec_files(spark, root)[0])).select("ord", "code", "spec", "name")
+
+
+def rejected_files(spark, root):
+    folder = F.regexp_extract("file", "folder=([0-9]+)", 1).cast("int")
+    rejects = _spec_files(spark, root)[1]
+    return rejects.groupBy(folder.alias("folder"), "reason").agg(F.sum("lines").alias("lines"), F.max("first_bad").alias("first_bad"))
+
+
 def spec_classes(spark, root):
     c, s = F.col("code"), F.col("spec")
     return _lines(spark, root).select("ord", "code", S.spec_type(c, s).alias("data_type"), S.spec_length(s).alias("byte_length"))
 
 
+def order_ranges(spark, root):
+    """Order keys and the overlapping ranges of keys that customers span, of which the smallest customer wins."""
+    spans = table(spark, root, "orders").groupBy(F.col("o_custkey").alias("priority")).agg(F.min("o_orderkey").alias("lo"), F.max("o_orderkey").alias("hi"))
+    spans = spans.withColumn("hi", F.least("hi", F.col("lo") + 2000))
+    found = match_ranges(table(spark, root, "orders").select("o_orderkey"), "o_orderkey", spans)
+    return found.groupBy("o_orderkey").agg(F.min("priority").alias("first"), F.count("*").alias("ranges"))
+
+
 def spec_descriptions(spark, root):
     return _lines(spark, root).select("ord", "code", S.describe(F.col("code"), F.col("title"), F.col("spec")).alias("description"))
 
@@ -164,6 +198,10 @@ QUERIES = {
     "optionset_flag": option_sets,
     "spec_line_parse": lambda s, r: _lines(s, r).select("ord", "code", "spec", "title"),
     "spec_classify": spec_classes,
+    "spec_file_items": spec_file_items,
+    "rejected_files": rejected_files,
+    "range_join": lambda s, r: S.categorize(_lines(s, r), *S.category_table(s), S.DEFAULT_CATEGORY).select("ord", "code", "category"),
+    "range_join_orders": order_ranges,
     "range_categorize": lambda s, r: _lines(s, r).select("ord", "code", S.code_category(F.col("code")).alias("category")),
     "slug_unique": lambda s, r: S.unique_names(_lines(s, r)).select("ord", "code", "name"),
     "spec_describe": spec_descriptions,

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..literals import literal_table
+from ..operators.ranges import match_ranges
 from ..storage import materialize
 
 SPACE = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
@@ -86,6 +88,27 @@ def code_category(code: Column) -> Column:
     return out.otherwise(DEFAULT_CATEGORY)
 
 
+def category_table(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
+    """The ordered rules as tables: single codes (code, category, priority) and ranges (lo, hi, category, priority)."""
+    codes = [(c, category, i) for i, (category, listed, _) in enumerate(CATEGORY_RULES) for c in listed]
+    ranges = [(lo, hi, category, i) for i, (category, _, listed) in enumerate(CATEGORY_RULES) for lo, hi in listed]
+    return literal_table(spark, ["code", "category", "priority"], codes), literal_table(spark, ["lo", "hi", "category", "priority"], ranges)
+
+
+def categorize(rows: DataFrame, codes: DataFrame, ranges: DataFrame, default: str, code: str = "code") -> DataFrame:
+    """``rows`` with the category of the rule of least priority that holds their code; rules are tables of any size.
+
+    Rules are found for the distinct codes only: single codes by equality, ranges by
+    ``match_ranges``. Of rules with equal priority the first name wins.
+    """
+    distinct = rows.select(F.col(code).alias("__code")).distinct()
+    keyed = distinct.select("__code", base_code(F.col("__code")).alias("__base"), code_number(F.col("__code")).alias("__n"))
+    single = keyed.join(codes.withColumnRenamed("code", "__base"), "__base").select("__code", "priority", "category")
+    within = match_ranges(keyed, "__n", ranges).select("__code", "priority", "category")
+    best = single.unionByName(within).groupBy("__code").agg(F.min(F.struct("priority", "category"))["category"].alias("category"))
+    return rows.join(best.withColumnRenamed("__code", code), code, "left").withColumn("category", F.coalesce("category", F.lit(default)))
+
+
 def title_slug(title: Column) -> Column:
     slug = F.regexp_replace(F.regexp_replace(F.lower(title), "[^a-z0-9]+", "_"), "^_+|_+$", "")
     return F.when(slug == "", "ai").otherwise(slug)
