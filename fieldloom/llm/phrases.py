@@ -39,9 +39,9 @@ from .batches import pieces, table
 #: Words of the longest phrase, occurrences of a phrase that counts, phrases of a language to report.
 LONGEST, THRESHOLD, TOP = 5, 100, 2_000
 #: Shards of the cyclic scan; bytes of text of a block.
-SHARDS, BLOCK_BYTES = 3, 8 << 20
+SHARDS, BLOCK_BYTES = 3, 4 << 20
 #: Slots of the map of reached phrases, as a power of two; slots of a page in which it is put together.
-SLOT_BITS, PAGE_BITS = 25, 16
+SLOT_BITS, PAGE_BITS = 24, 16
 #: Parts in which a language's phrases are ranked before the best of all parts are.
 RANK_PARTS = 64
 # Where pieces end.
@@ -159,9 +159,11 @@ def _count_batches(packed, step: int, shards: int, longest: int):
     def run(batches):
         since = np.frombuffer(zlib.decompress(packed.value), np.uint8)
         for part in batches:
-            for lang, words, hashes, codes in zip(*(part.column(c).to_pylist() for c in ("lang", "words", "hashes", "codes")), strict=True):
-                words = pa.array(words.decode().split(" "), pa.string()) if hashes else pa.array([], pa.string())
-                for k, texts, n, last in counted(words, np.frombuffer(hashes, np.uint64), np.frombuffer(codes, np.int32), since, step, shards, longest):
+            for at in range(part.num_rows):
+                lang, hashes, codes = (part.column(c)[at] for c in ("lang", "hashes", "codes"))
+                lang, hashes, codes = lang.as_py(), np.frombuffer(hashes.as_buffer(), np.uint64), np.frombuffer(codes.as_buffer(), np.int32)
+                words = pc.split_pattern(part.column("words").slice(at, 1).cast(pa.string()), " ").flatten() if len(hashes) else pa.array([], pa.string())
+                for k, texts, n, last in counted(words, hashes, codes, since, step, shards, longest):
                     yield pa.RecordBatch.from_arrays([
                         pa.array([lang]).take(pa.array(np.zeros(len(n), np.int8))), texts, pa.array(np.full(len(n), k, np.int32)), pa.array(n, pa.int64()), pa.array(last, pa.int32()),
                     ], names=["lang", "phrase", "k", "n", "last"])
