@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.names import entity_of
+from ..literals import literal_table
 from ..operators import graph as G
 from ..operators import harmonize as H
 from ..operators import upsert as U
 from ..operators.ranges import match_ranges
+from ..operators.tours import inherited
 from ..sources import documents as D
 from ..sources import loaders as L
 from ..sources import markup as M
@@ -150,6 +152,15 @@ def closure(spark, root):
     return _snapshot(spark, root, "closure", lambda: G.transitive_closure(view(spark, root, "part_tree"), "node", "parent"))
 
 
+def irregular_tree(spark, root):
+    """The tree of parts, with further parents, two cycles and a domain on one of them."""
+    tree = view(spark, root, "part_tree")
+    more = tree.filter("node % 97 = 5").select("node", F.expr("node div 3 + 1").alias("parent"))
+    cycles = literal_table(spark, ["node", "parent"], [(2, 9), (-1, -2), (-2, -3), (-3, -1), (-4, -2)]).selectExpr("cast(node AS bigint) AS node", "cast(parent AS bigint) AS parent")
+    props = view(spark, root, "part_props")
+    return tree.unionByName(more).unionByName(cycles), props.unionByName(spark.sql("SELECT 'ring' AS prop, CAST(-3 AS BIGINT) AS domain_node"))
+
+
 def enum_members(spark, root):
     members = table(spark, root, "part").select(
         (F.lit(1) + F.col("p_partkey") % 50).alias("node"), F.col("p_name").alias("label"))
@@ -208,6 +219,8 @@ QUERIES = {
     "strip_markup": lambda s, r: table(s, r, "pages").select("page_id", M.strip_markup(F.col("html")).alias("text")),
     "class_closure": closure,
     "inherited_properties": lambda s, r: G.inherited_properties(closure(s, r), view(s, r, "part_props")),
+    "inherited_by_interval": lambda s, r: inherited(view(s, r, "part_tree"), view(s, r, "part_props")),
+    "inherited_irregular": lambda s, r: inherited(*irregular_tree(s, r)),
     "enum_members": enum_members,
     "range_type_pick": range_types,
     "range_enumeration": enumeration_ranges,

@@ -174,3 +174,12 @@ ORACLES["range_join_orders"] = """
 SELECT o.o_orderkey, min(r.c) AS first, count(*) AS ranges FROM orders o JOIN (
  SELECT o_custkey AS c, min(o_orderkey) AS lo, least(max(o_orderkey), min(o_orderkey) + 2000) AS hi FROM orders GROUP BY 1) r
 ON o.o_orderkey BETWEEN r.lo AND r.hi GROUP BY 1"""
+ORACLES["inherited_by_interval"] = ORACLES["inherited_properties"]
+define("odd_tree", ["part_tree"], """
+SELECT node, parent FROM part_tree UNION SELECT node, node // 3 + 1 FROM part_tree WHERE node % 97 = 5
+UNION SELECT * FROM (VALUES (2, 9), (-1, -2), (-2, -3), (-3, -1), (-4, -2)) AS v(node, parent)""")
+define("odd_closure", ["odd_tree"], """
+SELECT node, node AS ancestor FROM odd_tree UNION
+SELECT c.node, t.parent AS ancestor FROM odd_closure c JOIN odd_tree t ON t.node = c.ancestor WHERE t.parent IN (SELECT node FROM odd_tree)""")
+ORACLES["inherited_irregular"] = build(["odd_closure", "part_props"], """
+SELECT DISTINCT c.node, p.prop FROM odd_closure c JOIN (SELECT prop, domain_node FROM part_props UNION SELECT 'ring', -3) p ON p.domain_node = c.ancestor""")
