@@ -7,6 +7,7 @@ their items, and every "first one wins" rule is a minimum over it.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -207,14 +208,22 @@ def _decoded(c: str) -> Column:
     return F.when(F.col(c) != "", F.substr(c, F.lit(2)))
 
 
+def join_by_key(left: DataFrame, right: DataFrame, key: list[str], how: str = "inner") -> DataFrame:
+    """An equi-join in which missing parts of a key equal each other; the key columns are those of ``left``."""
+    other = right.withColumnsRenamed({c: f"__{c}" for c in key})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in key])
+    joined = left.join(other, same, how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"__{c}" for c in key])
+
+
 def only_merging(norm: DataFrame, key: list[str]) -> DataFrame:
-    """Items whose key has several members.
+    """Items whose key has several members; missing parts of a key equal each other.
 
     The keys are found from the key columns alone and written, so their true size
     decides between a broadcast and a shuffled semi join.
     """
     several = materialize(norm.groupBy(*key).count().filter("count > 1").select(*key), "several")
-    return norm.join(several, key, "left_semi")
+    return join_by_key(norm, several, key, "left_semi")
 
 
 def merge_items(norm: DataFrame, key: list[str] | None = None, preselect: bool = True) -> DataFrame:
@@ -299,7 +308,7 @@ def merge_report(norm: DataFrame) -> DataFrame:
     sources = facts.groupBy(*KEY).agg(
         F.count("*").alias("n_sources"),
         F.array_sort(F.collect_list(F.struct("rank", "kind", "owner", "value"))).alias("facts"))
-    return (sources.filter(F.col("n_sources") > 1).join(counts, KEY)
+    return (join_by_key(sources.filter(F.col("n_sources") > 1), counts, KEY)
             .select(*KEY, joined_sources().alias("sources"), F.col("count")))
 
 

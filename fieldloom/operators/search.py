@@ -35,7 +35,7 @@ def match_substrings(rows: DataFrame, key: list[str], texts: list[str], terms: D
 
     The longest literal run of a term gives an anchor of ``GRAM`` characters. Of a
     row only its key and its distinct pieces of that length meet the anchors; each
-    term has one anchor, so a pair meets once. The rows come back by key, and the
+    term has one anchor, so a pair meets once; rows with equal keys give one pair. The rows come back by key, and the
     whole pattern is checked. Terms without such a run match a large share of all
     rows or none by nature; they form one list that every row is checked against,
     without a join. Missing terms are ignored.
@@ -47,7 +47,7 @@ def match_substrings(rows: DataFrame, key: list[str], texts: list[str], terms: D
     text = F.lower(F.concat_ws("\n", *[F.coalesce(F.col(t), F.lit("")) for t in texts]))
     starts = F.when(F.length(text) >= GRAM, F.sequence(F.lit(1), F.length(text) - (GRAM - 1)))
     pieces = rows.select(*key, F.explode(F.array_distinct(F.transform(starts, lambda i: F.substr(text, i, F.lit(GRAM))))).alias("anchor"))
-    pairs = pieces.join(anchored.filter(is_long), "anchor").select(*[F.col(c).alias(f"__{c}") for c in key], "lookup")
+    pairs = pieces.join(anchored.filter(is_long), "anchor").select(*[F.col(c).alias(f"__{c}") for c in key], "lookup").distinct()
     same = F.lit(True)
     for c in key:
         same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))

@@ -46,7 +46,7 @@ def merge_required(spark, root):
 def _with_facts(spark, root, kinds) -> DataFrame:
     norm = H.only_merging(normalized(spark, root), KEY)
     counts = norm.groupBy(*KEY).agg(F.count("*").alias("n_members"))
-    return counts.join(H.collect_facts(norm, KEY, kinds), KEY, "left")
+    return H.join_by_key(counts, H.collect_facts(norm, KEY, kinds), KEY, "left")
 
 
 def merge_provenance(spark, root):

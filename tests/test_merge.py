@@ -143,3 +143,13 @@ def test_missing_and_blank_keys_merge_with_their_sources(items):
     for preselect in (True, False):
         got = {(r["category"], r["name"]): (r["n_members"], r["n_sources"], r["source_standard"]) for r in H.merge_items(rows, preselect=preselect).collect()}
         assert got == {(None, "a"): (2, 2, "S; T"), ("", "a"): (1, 1, "U"), ("C", None): (2, 2, "V; W")}
+
+
+def test_missing_categories_are_keys_in_every_report(items):
+    rows = items(*[dict(name="a.b", category=c, source_standard=s, allowed_values='["x"]') for c in (None, "c") for s in ("S1", "S2")])
+    norm = H.normalize_items(rows, {}, {})
+    assert sorted((str(r["category"]), r["sources"], r["count"]) for r in H.merge_report(norm).collect()) == [("None", "S1; S2", 2), ("c", "S1; S2", 2)]
+    merging = H.only_merging(norm, H.KEY)
+    assert merging.count() == 4 and merging.columns == norm.columns
+    facts = H.join_by_key(merging.groupBy(*H.KEY).count(), H.collect_facts(merging, H.KEY, (H.SOURCE,)), H.KEY, "left")
+    assert all(len(r["facts"]) == 2 for r in facts.collect())

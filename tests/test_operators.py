@@ -251,3 +251,10 @@ def test_positions_that_would_collide_are_an_error(spark):
     assert load((1 << 44) - 1)[0][0] == (1 << 44) - 1 and load(None)[0][0] is None
     with pytest.raises(Exception, match="beyond 44 bits"):
         load(1 << 44)
+
+
+def test_equal_items_are_hit_once_each(spark):
+    rows = spark.createDataFrame([("c", "invoice.total", "t", "x")] * 2 + [("c", "invoice.total", "other", "x")], "category string, name string, title string, description string")
+    terms = spark.createDataFrame([(1, "invoice"), (2, "othe")], "term_pos int, term string")
+    hits = [(r["term"], r["title"]) for r in search.search_keyword(rows, terms).collect()]
+    assert sorted(hits) == [("invoice", "other"), ("invoice", "t"), ("invoice", "t"), ("othe", "other")]
