@@ -20,6 +20,7 @@ from ..sources import speclines as S
 from ..sources import textfiles as T
 from ..sources.tables import SOURCES, table, view
 from ..sources.typemaps import VOCABULARY, map_types
+from ..sources.vocabulary import vocabulary_items
 from ..storage import new_path
 from .catalog import _snapshot, catalog, merged
 
@@ -161,6 +162,13 @@ def irregular_tree(spark, root):
     return tree.unionByName(more).unionByName(cycles), props.unionByName(spark.sql("SELECT 'ring' AS prop, CAST(-3 AS BIGINT) AS domain_node"))
 
 
+def vocabulary(spark, root):
+    """Items of some classes of a vocabulary given as graph documents."""
+    targets = view(spark, root, "part_tree").filter("node % 9 = 1").select(
+        F.concat(F.lit("C"), F.col("node").cast("string")).alias("type"), F.concat(F.lit("Group "), (F.col("node") % 4).cast("string")).alias("category"))
+    return vocabulary_items(view(spark, root, "graph_docs"), targets)
+
+
 def enum_members(spark, root):
     members = table(spark, root, "part").select(
         (F.lit(1) + F.col("p_partkey") % 50).alias("node"), F.col("p_name").alias("label"))
@@ -221,6 +229,7 @@ QUERIES = {
     "inherited_properties": lambda s, r: G.inherited_properties(closure(s, r), view(s, r, "part_props")),
     "inherited_by_interval": lambda s, r: inherited(view(s, r, "part_tree"), view(s, r, "part_props")),
     "inherited_irregular": lambda s, r: inherited(*irregular_tree(s, r)),
+    "vocabulary_items": vocabulary,
     "enum_members": enum_members,
     "range_type_pick": range_types,
     "range_enumeration": enumeration_ranges,

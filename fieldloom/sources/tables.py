@@ -194,6 +194,24 @@ FROM ({LINE_FIELDS})
 """
 VIEWS["order_docs"] = ORDER_DOCS
 
+# A vocabulary as graph documents: parts as classes, brands as properties, part names as members of enumerations below class 2.
+GRAPH_DOCS = f"""
+SELECT doc_id, concat('{{"@context":{{}},"@graph":["odd",', array_join(array_sort(collect_list(body)), ','), ']}}') AS doc FROM (
+ SELECT node div 50 AS doc_id, concat('{{"@id":"schema:C', node, '","@type":"rdfs:Class","rdfs:label":"C', node, '"',
+  CASE WHEN node = 2 THEN ',"rdfs:subClassOf":[{{"@id":"schema:C1"}},{{"@id":"schema:Enumeration"}}]' WHEN parent IS NULL THEN ''
+   WHEN node % 2 = 0 THEN concat(',"rdfs:subClassOf":{{"@id":"schema:C', parent, '"}}') ELSE concat(',"rdfs:subClassOf":[7,{{"@id":"schema:C', parent, '"}}]') END, '}}') AS body FROM ({PART_TREE})
+ UNION ALL SELECT p_partkey div 50, concat('{{"@id":"schema:M', p_partkey, '","@type":', CASE WHEN p_partkey % 3 = 0 THEN concat('["x:y","schema:C', 1 + p_partkey % 50, '"]')
+  ELSE concat('"schema:C', 1 + p_partkey % 50, '"') END, ',"rdfs:label":"', p_name, '"}}') FROM $part
+ UNION ALL SELECT n % 7, concat('{{"@id":"schema:', replace(prop, '#', ''), '","@type":"rdf:Property","rdfs:label":', CASE WHEN n % 5 = 0 THEN 'null' ELSE concat('"', lower(prop), '"') END,
+  CASE WHEN n % 4 = 0 THEN '' ELSE concat(',"rdfs:comment":"<b>Brand</b>  no ', n, '"') END, ',"schema:domainIncludes":[', domains, '],"schema:rangeIncludes":',
+  CASE n % 5 WHEN 0 THEN '{{"@id":"schema:Text"}}' WHEN 1 THEN '[{{"@id":"schema:Person"}},{{"@id":"schema:C4"}}]' WHEN 2 THEN '{{"@id":"schema:C3"}}'
+   WHEN 3 THEN '[{{"@id":"schema:C9"}},{{"@id":"schema:Date"}},{{"@id":"schema:DateTime"}}]' ELSE 'null' END, '}}')
+  FROM (SELECT prop, CAST(substr(prop, 7) AS BIGINT) AS n, array_join(array_sort(collect_list(concat('{{"@id":"schema:C', domain_node, '"}}'))), ',') AS domains FROM ({PART_PROPS}) GROUP BY prop)
+ UNION ALL SELECT 0, '{{"@id":"schema:Enumeration","@type":"rdfs:Class"}}' FROM (SELECT 1)
+) GROUP BY doc_id
+"""
+VIEWS["graph_docs"] = GRAPH_DOCS
+
 # Category declarations of the sources; one category is in use without being declared.
 DECLARED = f"""
 SELECT DISTINCT category AS name, source_standard AS source, category <> 'FURNITURE' AS is_declared,

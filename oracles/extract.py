@@ -183,3 +183,21 @@ SELECT node, node AS ancestor FROM odd_tree UNION
 SELECT c.node, t.parent AS ancestor FROM odd_closure c JOIN odd_tree t ON t.node = c.ancestor WHERE t.parent IN (SELECT node FROM odd_tree)""")
 ORACLES["inherited_irregular"] = build(["odd_closure", "part_props"], """
 SELECT DISTINCT c.node, p.prop FROM odd_closure c JOIN (SELECT prop, domain_node FROM part_props UNION SELECT 'ring', -3) p ON p.domain_node = c.ancestor""")
+# The vocabulary that the graph documents describe, from the tables they are made of; class 2 has the enumeration class above it too.
+define("voc_enum", ["closure"], "SELECT DISTINCT node FROM closure WHERE ancestor = 2")
+define("voc_labels", ["voc_enum"], """
+SELECT e.node, CASE WHEN count(p.p_name) > 0 THEN '["' || string_agg(p.p_name, '","' ORDER BY p.p_name) || '"]' END AS labels
+FROM voc_enum e LEFT JOIN part p ON 1 + p.p_partkey % 50 = e.node GROUP BY 1""")
+define("voc_props", ["part_props", "voc_labels"], """
+SELECT p.prop, n, CASE WHEN n % 5 = 0 THEN replace(prop, '#', '') ELSE lower(prop) END AS label, CASE WHEN n % 4 > 0 THEN 'Brand no ' || n END AS comment,
+ CASE n % 5 WHEN 0 THEN 'VARCHAR' WHEN 1 THEN CASE WHEN e4.node IS NULL THEN 'RELATION' ELSE 'VARCHAR' END WHEN 2 THEN CASE WHEN e3.node IS NULL THEN 'RELATION' ELSE 'VARCHAR' END
+  WHEN 3 THEN 'DATETIME' ELSE 'RELATION' END AS data_type,
+ CASE n % 5 WHEN 1 THEN e4.labels WHEN 2 THEN e3.labels END AS allowed_values,
+ CASE n % 5 WHEN 1 THEN CASE WHEN e4.node IS NULL THEN '(references Person, C4)' ELSE '(enumeration C4)' END
+  WHEN 2 THEN CASE WHEN e3.node IS NULL THEN '(references C3)' ELSE '(enumeration C3)' END END AS note
+FROM (SELECT DISTINCT prop, CAST(substr(prop, 7) AS BIGINT) AS n FROM part_props) p
+LEFT JOIN voc_labels e4 ON e4.node = 4 LEFT JOIN voc_labels e3 ON e3.node = 3""")
+ORACLES["vocabulary_items"] = build(["closure", "part_props", "voc_props"], """
+SELECT DISTINCT 'Group ' || (c.node % 4) AS category, 'C' || c.node || '.' || v.label AS name, v.label AS title, nullif(concat_ws(' ', v.comment, v.note), '') AS description,
+ v.data_type, v.allowed_values, 'https://schema.org/' || v.label AS source_url
+FROM closure c JOIN part_props p ON p.domain_node = c.ancestor JOIN voc_props v USING (prop) WHERE c.node % 9 = 1""")
