@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import entity_of
 from ..storage import materialize
+from .ranges import match_ranges
 
 LEVELS = ["category", "entity", "alias", "keyword"]
 # Characters of a literal by which terms and texts meet.
@@ -30,31 +31,52 @@ def _occurs(texts: list[str], lookup: Column | str) -> Column:
     return out
 
 
+def _pieces(text: Column, size: Column) -> Column:
+    """All distinct parts of ``size`` characters; none for size 0."""
+    last = F.length(text) - size + 1
+    return F.when((size > 0) & (last > 0), F.array_distinct(F.transform(F.sequence(F.lit(1), last), lambda i: F.substr(text, i, size))))
+
+
+def anchors(found: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(lookup, gram): for each term of ``wanted`` (lookup, gram) its rarest gram in ``found`` (gram, ...); terms with a gram that no row has are left out."""
+    frequency = found.groupBy("gram").agg(F.count("*").alias("rows"))
+    weighed = wanted.join(frequency, "gram", "left")
+    best = weighed.groupBy("lookup").agg(F.min(F.struct("rows", "gram")).alias("best"), F.max(F.col("rows").isNull()).alias("hopeless"))
+    return best.filter(~F.col("hopeless")).select("lookup", F.col("best.gram").alias("gram"))
+
+
 def match_substrings(rows: DataFrame, key: list[str], texts: list[str], terms: DataFrame) -> DataFrame:
     """``rows`` paired with every term that occurs in one of ``texts``; ``key`` names a row.
 
-    The longest literal run of a term gives an anchor of ``GRAM`` characters. Of a
-    row only its key and its distinct pieces of that length meet the anchors; each
-    term has one anchor, so a pair meets once; rows with equal keys give one pair. The rows come back by key, and the
-    whole pattern is checked. Terms without such a run match a large share of all
-    rows or none by nature; they form one list that every row is checked against,
-    without a join. Missing terms are ignored.
+    Terms and rows meet by *grams*, parts of up to ``GRAM`` characters of a term's literal runs.
+    Which rows have which of the terms' grams is written once, as keys and grams; the rarest
+    gram of a term is its anchor, so that a term with one rare part meets few rows, whatever its
+    other parts. Rows with equal keys give one pair. The rows come back by key, and the whole
+    pattern is checked. A term of wildcards alone asks for a least length of a text: it meets
+    the rows as a range of lengths. Missing terms are ignored.
     """
     runs = F.split("lookup", "[%_]")
-    longest = F.aggregate(runs, F.lit(""), lambda a, r: F.when(F.length(r) > F.length(a), r).otherwise(a))
-    anchored = terms.select("lookup").filter("lookup IS NOT NULL").distinct().withColumn("anchor", F.substring(longest, 1, GRAM))
-    is_long = F.length("anchor") == GRAM
+    longest = F.array_max(F.transform(runs, lambda r: F.length(r)))
+    wanted = terms.select("lookup").filter("lookup IS NOT NULL").distinct().withColumn("size", F.least(longest, F.lit(GRAM)))
+    wanted = materialize(wanted, "terms")
+    grams = F.array_distinct(F.flatten(F.transform(runs, lambda r: F.coalesce(_pieces(r, F.col("size")), F.expr("cast(array() AS array<string>)")))))
+    parts = materialize(wanted.filter("size > 0").select("lookup", "size", F.explode(grams).alias("gram")), "grams")
+    sizes = wanted.filter("size > 0").agg(F.sort_array(F.collect_set("size"))).scalar()          # GRAM numbers at most
+    # a gram that spans two texts costs a check only
     text = F.lower(F.concat_ws("\n", *[F.coalesce(F.col(t), F.lit("")) for t in texts]))
-    starts = F.when(F.length(text) >= GRAM, F.sequence(F.lit(1), F.length(text) - (GRAM - 1)))
-    pieces = rows.select(*key, F.explode(F.array_distinct(F.transform(starts, lambda i: F.substr(text, i, F.lit(GRAM))))).alias("anchor"))
-    pairs = pieces.join(anchored.filter(is_long), "anchor").select(*[F.col(c).alias(f"__{c}") for c in key], "lookup").distinct()
+    cut = rows.select(*key, text.alias("__text")).withColumn("size", F.explode(sizes))
+    cut = cut.select(*key, F.explode(_pieces(F.col("__text"), F.col("size"))).alias("gram"))
+    found = materialize(cut.join(parts.select("gram").distinct(), "gram", "left_semi").select("gram", *[F.col(c).alias(f"__{c}") for c in key]).distinct(), "found-grams")
+    pairs = found.join(anchors(found, parts.select("lookup", "gram")), "gram").drop("gram").distinct()
     same = F.lit(True)
     for c in key:
         same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
-    found = rows.join(pairs, same).filter(_occurs(texts, "lookup")).select(*rows.columns, "lookup")
-    short = anchored.filter(~is_long).agg(F.collect_list("lookup")).scalar()
-    checked = rows.withColumn("__short", short).withColumn("lookup", F.explode(F.filter("__short", lambda t: _occurs(texts, t))))
-    return found.unionByName(checked.drop("__short"))
+    hits = rows.join(pairs, same).filter(_occurs(texts, "lookup")).select(*rows.columns, "lookup")
+    least = F.length(F.replace("lookup", F.lit("%"), F.lit(""))).cast("bigint")
+    blank = wanted.filter("size = 0").select("lookup", least.alias("lo"), F.lit((1 << 61) - 1).alias("hi"))
+    length = F.greatest(F.lit(-1), *[F.length(F.coalesce(F.col(t), F.lit(""))) for t in texts])
+    long_enough = match_ranges(rows.withColumn("__length", length), "__length", blank).select(*rows.columns, "lookup")
+    return hits.unionByName(long_enough)
 
 
 # --- selectors ---------------------------------------------------------------

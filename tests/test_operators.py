@@ -258,3 +258,42 @@ def test_equal_items_are_hit_once_each(spark):
     terms = spark.createDataFrame([(1, "invoice"), (2, "othe")], "term_pos int, term string")
     hits = [(r["term"], r["title"]) for r in search.search_keyword(rows, terms).collect()]
     assert sorted(hits) == [("invoice", "other"), ("invoice", "t"), ("invoice", "t"), ("othe", "other")]
+
+
+def test_terms_meet_rows_by_their_rarest_part(spark):
+    rows = spark.createDataFrame([("c", f"common.n{i}", "common words", "rare" if i == 7 else None) for i in range(60)], "category string, name string, title string, description string")
+    found = spark.createDataFrame([("com", i) for i in range(60)] + [("rar", 7), ("are", 7), ("mon", 3)], "gram string, row int")
+    wanted = spark.createDataFrame([("common%rare", g) for g in ("com", "mon", "rar", "are")] + [("com", "com"), ("comx", "com"), ("comx", "omx")], "lookup string, gram string")
+    assert sorted(tuple(r) for r in search.anchors(found, wanted).collect()) == [("com", "com"), ("common%rare", "are")]
+    terms = spark.createDataFrame([(i, t) for i, t in enumerate(["common%rare", "co", "m", "_", "%", "x_", "", "é", "zz", "________________", "mmo"])], "term_pos int, term string")
+    got = {}
+    for r in search.search_keyword(rows, terms).collect():
+        got[r["term"]] = got.get(r["term"], 0) + 1
+    assert got == {"co": 60, "m": 60, "_": 60, "%": 60, "": 60, "mmo": 60}
+
+
+def test_short_and_blank_terms_need_no_list_in_a_cell(spark):
+    rows = spark.createDataFrame([("c", "ab", None, None), ("c", "", "", None), ("d", "b", "long text", None), (None, "ab", None, None)], "category string, name string, title string, description string")
+    terms = spark.createDataFrame([(i, t) for i, t in enumerate(["b", "a_", "__", "___", "%", "_%_"])], "term_pos int, term string")
+    out = search.match_substrings(rows, ["category", "name"], ["name", "title", "description"], terms.withColumn("lookup", F.lower("term")))
+    got = {}
+    for r in out.collect():
+        got.setdefault(r["lookup"], []).append((r["category"], r["name"]))
+    both = [("c", "ab"), (None, "ab"), ("d", "b")]
+    assert {k: sorted(v, key=str) for k, v in got.items()} == {k: sorted(v, key=str) for k, v in {
+        "b": both, "a_": both[:2], "__": both, "_%_": both, "___": [("d", "b")], "%": [*both, ("c", "")]}.items()}
+    assert "collect_list" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_builds_are_compared_by_digests(spark):
+    from fieldloom.operators import checks as C
+
+    first = spark.range(5000).select(F.col("id").alias("k"), F.when(F.col("id") % 3 > 0, F.col("id").cast("string")).alias("v"))
+    assert C.differing_parts(first, first.select("v", "k")) == [] and C.content_difference(first, first.repartition(3)).count() == 0
+    second = first.filter("k <> 17").unionByName(first.filter("k = 40")).unionByName(spark.createDataFrame([(-1, None)], "k long, v string"))
+    got = sorted((r["k"], r["v"], r["only_in"]) for r in C.content_difference(first, second).collect())
+    assert got == [(-1, None, "second"), (17, "17", "first"), (40, "40", "second")] and len(C.differing_parts(first, second)) <= 3
+    agreed = C.content_difference(first, first.repartition(3))._jdf.queryExecution().optimizedPlan().toString()
+    assert "LocalRelation <empty>" in agreed and "Range" not in agreed
+    empty = first.limit(0)
+    assert C.content_difference(empty, empty).count() == 0 and C.content_difference(empty, first.limit(2)).count() == 2
