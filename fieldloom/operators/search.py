@@ -58,15 +58,17 @@ def match_substrings(rows: DataFrame, key: list[str], texts: list[str], terms: D
     runs = F.split("lookup", "[%_]")
     longest = F.array_max(F.transform(runs, lambda r: F.length(r)))
     wanted = terms.select("lookup").filter("lookup IS NOT NULL").distinct().withColumn("size", F.least(longest, F.lit(GRAM)))
-    wanted = materialize(wanted, "terms")
-    grams = F.array_distinct(F.flatten(F.transform(runs, lambda r: F.coalesce(_pieces(r, F.col("size")), F.expr("cast(array() AS array<string>)")))))
-    parts = materialize(wanted.filter("size > 0").select("lookup", "size", F.explode(grams).alias("gram")), "grams")
-    sizes = wanted.filter("size > 0").agg(F.sort_array(F.collect_set("size"))).scalar()          # GRAM numbers at most
+    run = F.aggregate(runs, F.lit(""), lambda a, r: F.when(F.length(r) > F.length(a), r).otherwise(a))
+    size = F.col("size")
+    # one gram after the other along the longest run, and its last one
+    grams = F.transform(F.sequence(F.lit(0), F.floor((longest - 1) / size)), lambda i: F.substr(run, F.least(i * size, longest - size) + 1, size))
+    parts = materialize(wanted.filter("size > 0").select("lookup", "size", F.explode(F.array_distinct(grams)).alias("gram")), "grams")
+    sizes = parts.agg(F.sort_array(F.collect_set("size"))).scalar()          # GRAM numbers at most
     # a gram that spans two texts costs a check only
     text = F.lower(F.concat_ws("\n", *[F.coalesce(F.col(t), F.lit("")) for t in texts]))
     cut = rows.select(*key, text.alias("__text")).withColumn("size", F.explode(sizes))
     cut = cut.select(*key, F.explode(_pieces(F.col("__text"), F.col("size"))).alias("gram"))
-    found = materialize(cut.join(parts.select("gram").distinct(), "gram", "left_semi").select("gram", *[F.col(c).alias(f"__{c}") for c in key]).distinct(), "found-grams")
+    found = materialize(cut.join(parts.select("gram").distinct(), "gram", "left_semi").select("gram", *[F.col(c).alias(f"__{c}") for c in key]), "found-grams")
     pairs = found.join(anchors(found, parts.select("lookup", "gram")), "gram").drop("gram").distinct()
     same = F.lit(True)
     for c in key:
