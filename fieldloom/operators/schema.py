@@ -15,6 +15,8 @@ from .ranking import with_global_rank
 PRIMARY_KEYS = {
     "sqlite": "INTEGER PRIMARY KEY", "postgres": "SERIAL PRIMARY KEY", "mysql": "INT AUTO_INCREMENT PRIMARY KEY",
 }
+# What a script starts with, by dialect; the default dialect needs nothing.
+PREAMBLES = {"sqlite": "PRAGMA foreign_keys = ON;", "mysql": "SET FOREIGN_KEY_CHECKS = 1;"}
 # Sections of a table's text, in order.
 HEADER, REVERSE, OPEN, KEY, COLUMN, FOREIGN, CLOSE = range(7)
 
@@ -160,6 +162,33 @@ def create_table_lines(items: DataFrame, columns: DataFrame, levels: DataFrame,
     return lines.join(levels, "table_name").select("dialect", "level", "table_name", "section", "position", "line")
 
 
+def selected_items(items: DataFrame, hits: DataFrame) -> DataFrame:
+    """The items that terms resolve to, each name once: the first term, then the first category brings it.
+
+    ``hits`` are the rows (term_pos, category, name) of a search over ``items``.
+    """
+    first = hits.groupBy("name").agg(F.min_by("category", F.struct("term_pos", "category")).alias("category"))
+    return items.join(first, ["category", "name"], "left_semi")
+
+
+def script_lines(items: DataFrame, terms: DataFrame, dialects: tuple[str, ...]) -> DataFrame:
+    """Scripts of a selection, one per dialect, as rows: a head, and the tables in order of creation.
+
+    What a column refers to is a foreign key if its table is part of the selection, and else
+    only named. The head lists the terms (term_pos, term), the numbers of tables and items, and
+    what the dialect needs first; it sorts before all tables. Without items there are no lines.
+    """
+    columns = materialize(table_columns(items), "columns")
+    lines = create_table_lines(items, columns, creation_levels(items), dialects)
+    named = terms.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("term_pos", "term"))), lambda t: t["term"]), ", ").alias("terms"))
+    counts = items.agg(F.count("*").alias("items")).join(table_names(items).agg(F.count("*").alias("tables")), F.lit(True)).filter("items > 0")
+    size = F.concat(F.lit("-- "), F.col("tables").cast("string"), F.lit(" tables, "), F.col("items").cast("string"), F.lit(" items"))
+    head = [(d, n, line) for d in dialects for n, line in enumerate((F.lit(f"-- dialect: {d}"), F.concat(F.lit("-- terms: "), "terms"), size, F.lit(PREAMBLES.get(d))))]
+    rows = counts.join(named, F.lit(True)).select(F.inline(F.array(*[
+        F.struct(F.lit(d).alias("dialect"), F.lit(n).cast("bigint").alias("position"), line.alias("line")) for d, n, line in head]))).filter("line IS NOT NULL")
+    return rows.select("dialect", F.lit(-1).alias("level"), F.lit("").alias("table_name"), F.lit(HEADER).alias("section"), "position", "line").unionByName(lines)
+
+
 def plain_table_lines(items: DataFrame) -> DataFrame:
     """The simple form: every field a column, one dialect, no foreign keys."""
     entity = entity_of(F.col("name"))

@@ -12,6 +12,7 @@ from ..operators import harmonize as H
 from ..operators import upsert as U
 from ..operators.ranges import match_ranges
 from ..operators.tours import inherited
+from ..sources import blocks as B
 from ..sources import documents as D
 from ..sources import loaders as L
 from ..sources import markup as M
@@ -169,6 +170,13 @@ def vocabulary(spark, root):
     return vocabulary_items(view(spark, root, "graph_docs"), targets)
 
 
+FIELD_KINDS = {"Selection": "VARCHAR", "Many2one": "RELATION", "Float": "DECIMAL", "Char": "VARCHAR", "Text": "TEXT"}
+
+
+def _programs(spark, root):
+    return view(spark, root, "program_texts")
+
+
 def enum_members(spark, root):
     members = table(spark, root, "part").select(
         (F.lit(1) + F.col("p_partkey") % 50).alias("node"), F.col("p_name").alias("label"))
@@ -233,6 +241,8 @@ QUERIES = {
     "enum_members": enum_members,
     "range_type_pick": range_types,
     "range_enumeration": enumeration_ranges,
+    "declared_fields": lambda s, r: B.declared_fields(_programs(s, r), ["doc_id"], "text", FIELD_KINDS),
+    "declared_options": lambda s, r: B.declared_options(B.tokens(_programs(s, r), ["doc_id"], "text"), ["doc_id"], ["selection"]).select("doc_id", "name", "option", "code", "label"),
     "declaration_extract": lambda s, r: M.declarations(table(s, r, "pages")),
     "relation_note": relation_notes,
     "per_entity_counts": lambda s, r: L.extraction_counts(view(s, r, "raw_items"), entity_of(F.col("name"))),

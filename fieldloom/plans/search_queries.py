@@ -53,6 +53,23 @@ def table_text(spark, root):
     return D.create_table_lines(_selection(spark, root), columns(spark, root), levels(spark, root), DIALECTS)
 
 
+SCRIPT_TERMS = ["invoice", "urgent"]
+
+
+def _script_terms(spark, root):
+    return view(spark, root, "terms").filter(F.col("term").isin(SCRIPT_TERMS))
+
+
+def _script_selection(spark, root):
+    """What two terms resolve to; tables that these refer to are outside."""
+    hits = S.resolve(_items(spark, root), _script_terms(spark, root), view(spark, root, "aliases"))
+    return materialize(D.selected_items(catalog(spark, root), hits), "script-items")
+
+
+def selected_script(spark, root):
+    return D.script_lines(_script_selection(spark, root), _script_terms(spark, root), DIALECTS)
+
+
 def upsert_items(spark, root):
     """Every item is in the base or in what comes later, a sixth in both."""
     return U.upsert_raw_items(normalized(spark, root), F.expr("ord % 3 > 0 OR ord % 2 = 0"), F.expr("ord % 3 = 0"))
@@ -105,6 +122,8 @@ QUERIES = {
     "dependency_levels": levels,
     "create_table_text": table_text,
     "create_table_plain": lambda s, r: D.plain_table_lines(_selection(s, r)),
+    "create_table_selected": selected_script,
+    "external_refs_selected": lambda s, r: D.external_references(_script_selection(s, r)),
     "upsert_items": upsert_items,
     "upsert_stream": upsert_stream,
     "upsert_stream_compacted": upsert_stream_compacted,

@@ -212,6 +212,19 @@ SELECT doc_id, concat('{{"@context":{{}},"@graph":["odd",', array_join(array_sor
 """
 VIEWS["graph_docs"] = GRAPH_DOCS
 
+# Program texts: five declarations each, ``~`` standing for a quote; in some a bracket is missing or one too many.
+PROGRAM_TEXTS = """
+SELECT doc_id, replace(concat(CASE WHEN doc_id % 11 = 5 THEN ')' ELSE '' END, array_join(array_sort(collect_list(concat(lpad(CAST(ord AS STRING), 12, '0'), '#', body))), '\\n'),
+ CASE WHEN doc_id % 11 = 3 THEN '\\nopen = fields.Char("open"' ELSE '' END), '~', chr(39)) AS text FROM (
+ SELECT p_partkey div 5 AS doc_id, p_partkey AS ord, concat('\\n', CASE p_partkey % 5
+  WHEN 0 THEN concat('f', p_partkey, ' = fields.Selection([("a', p_size, '", ~', p_brand, ' (x)~), (~b]~, _("It~s")), "c,(" ], string="', p_name, '", required=True)')
+  WHEN 1 THEN concat('f', p_partkey, ' = fields.Many2one(~res.', lower(p_type), '~, "', p_name, '")  # note (')
+  WHEN 2 THEN concat('x = [1, (2)]\\nf', p_partkey, ' = fields.Float(digits=(16, 2), help="(none)")')
+  WHEN 3 THEN concat('f', p_partkey, ' = Char(~', p_type, '~, size=', p_size, ')')
+  ELSE concat('f', p_partkey, ' = fields.Text()\\ny = other.Thing("z")') END) AS body FROM $part) GROUP BY doc_id
+"""
+VIEWS["program_texts"] = PROGRAM_TEXTS
+
 # Category declarations of the sources; one category is in use without being declared.
 DECLARED = f"""
 SELECT DISTINCT category AS name, source_standard AS source, category <> 'FURNITURE' AS is_declared,

@@ -201,3 +201,15 @@ ORACLES["vocabulary_items"] = build(["closure", "part_props", "voc_props"], """
 SELECT DISTINCT 'Group ' || (c.node % 4) AS category, 'C' || c.node || '.' || v.label AS name, v.label AS title, nullif(concat_ws(' ', v.comment, v.note), '') AS description,
  v.data_type, v.allowed_values, 'https://schema.org/' || v.label AS source_url
 FROM closure c JOIN part_props p ON p.domain_node = c.ancestor JOIN voc_props v USING (prop) WHERE c.node % 9 = 1""")
+# Declarations of the program texts, from the parts that they are made of; texts that start with a closing bracket are not read. Positions count other declarations too.
+READ = "p_partkey // 5 % 11 <> 5"
+ORACLES["declared_fields"] = f"""
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY k) - 1 AS INT) AS position, name, kind, data_type, title, target, is_required, allowed_values FROM (
+ SELECT p_partkey // 5 AS doc_id, p_partkey AS k, 'f' || p_partkey AS name, ['Selection', 'Many2one', 'Float', 'Char', 'Text'][p_partkey % 5 + 1] AS kind,
+  ['VARCHAR', 'RELATION', 'DECIMAL', 'VARCHAR', 'TEXT'][p_partkey % 5 + 1] AS data_type,
+  CASE p_partkey % 5 WHEN 0 THEN p_name WHEN 1 THEN p_name WHEN 3 THEN p_type ELSE 'f' || p_partkey END AS title,
+  CASE WHEN p_partkey % 5 = 1 THEN 'res.' || lower(p_type) END AS target, p_partkey % 5 = 0 AS is_required,
+  CASE WHEN p_partkey % 5 = 0 THEN '["a' || p_size || '","b]","c,("]' END AS allowed_values FROM part WHERE {READ})"""
+ORACLES["declared_options"] = f"""
+SELECT p_partkey // 5 AS doc_id, 'f' || p_partkey AS name, CAST(o AS INT) AS option, CASE o WHEN 0 THEN 'a' || p_size WHEN 1 THEN 'b]' ELSE 'c,(' END AS code,
+ CASE o WHEN 0 THEN p_brand || ' (x)' WHEN 1 THEN 'It''s' ELSE 'c,(' END AS label FROM part, (SELECT unnest([0, 1, 2]) AS o) WHERE p_partkey % 5 = 0 AND {READ}"""

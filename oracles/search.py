@@ -1,8 +1,10 @@
 """Oracles for search, table definitions and upserts."""
 
+import re
+
 from fieldloom.operators.upsert import ITEM_COLUMNS
 
-from .base import build, define, identifier, merged, whole_entity
+from .base import CTES, build, define, identifier, merged, whole_entity
 from .rules import COLLECTION, ENT, REST, TARGET, TEXTS, check_text, dialect
 
 define("items", ["clean"], f"SELECT *, lower({ENT}) AS ent FROM clean")
@@ -153,3 +155,18 @@ FROM ubase b FULL JOIN udelta d ON b.category = d.category AND b.name = d.name A
 # The same rows out of the versioned store.
 ORACLES["upsert_stream_compacted"] = ORACLES["upsert_stream"]
 ORACLES["upsert_stored"] = ORACLES["upsert_items"]
+
+# Scripts of what two terms resolve to: the same tables over another selection.
+CHAIN = ["cand", "tabs", "firsts", "cols", "revs", "deps", "paths", "levels", "about", "sizes"]
+NAMES = re.compile(r"\b(" + "|".join(["picked", *CHAIN]) + r")\b")
+define("s_picked", ["hits", "clean"], """
+SELECT c.* FROM clean c JOIN (SELECT name, first(category ORDER BY term_pos, category) AS category FROM hits WHERE term IN ('invoice', 'urgent') GROUP BY 1) h USING (category, name)""")
+for _name in CHAIN:
+    define(f"s_{_name}", [NAMES.sub(r"s_\1", n) for n in CTES[_name][0]], NAMES.sub(r"s_\1", CTES[_name][1]))
+HEAD = " UNION ALL ".join(f"SELECT '{d}' AS dialect, -1 AS level, '' AS table_name, 0 AS section, {n} AS position, {line} AS line" for d, first in (
+    ("sqlite", "PRAGMA foreign_keys = ON;"), ("postgres", None), ("mysql", "SET FOREIGN_KEY_CHECKS = 1;")) for n, line in enumerate((
+        f"'-- dialect: {d}'", "'-- terms: invoice, urgent'", "'-- ' || (SELECT count(*) FROM s_tabs) || ' tables, ' || (SELECT count(*) FROM s_picked) || ' items'",
+        first and f"'{first}'")) if line)
+ORACLES["create_table_selected"] = build(["s_sizes", "s_cols", "s_revs", "s_levels", "s_tabs"], HEAD + " UNION ALL " + " UNION ALL ".join(
+    NAMES.sub(r"s_\1", script(i, d)) for i, d in enumerate(("sqlite", "postgres", "mysql"))))
+ORACLES["external_refs_selected"] = build(["s_cols"], "SELECT table_name, column_name, target FROM s_cols WHERE target IS NOT NULL AND NOT is_fk")
