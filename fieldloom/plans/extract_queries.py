@@ -210,10 +210,46 @@ def upsert_categories(spark, root):
     return U.upsert_categories(side(["AFRICA", "AMERICA", "MIDDLE EAST"]), side(["ASIA", "EUROPE"]))
 
 
+def extracted(spark, root):
+    """Items of five kinds of documents in one raw table: each reader's rows with category, position and address."""
+    docs = view(spark, root, "line_docs")
+    at = F.col("doc_id") * 1024 + F.col("line_no")
+    area = F.concat(F.lit("Area "), (F.col("doc_id") % 40 % 5).cast("string"))
+    where = F.concat(F.lit(BASE_URL), F.col("doc_id").cast("string"))
+    placed = lambda rows, position: rows.withColumns({"category": area, "position": position, "source_url": where})
+    cdm = D.entity_attributes(docs, "entity_doc", "entity", ["doc_id", "line_no", "entity"])
+    cdm = cdm.withColumn("name", F.concat_ws(".", "entity", "attribute")).drop("entity", "attribute")
+    spec = S.unique_names(_lines(spark, root)).withColumns({
+        "category": S.code_category(F.col("code")), "position": F.col("ord"), "data_type": S.spec_type(F.col("code"), F.col("spec")), "byte_length": S.spec_length(F.col("spec")),
+        "description": S.describe(F.col("code"), F.col("title"), F.col("spec"))}).drop("ord")
+    return L.union_sources({
+        "cdm": placed(cdm, at * 2 + (F.col("title") == "rowVersion").cast("int")),
+        "fhir": placed(D.path_elements(docs, "resource_doc", ["doc_id", "line_no"]), at),
+        "frappe": placed(D.doctype_fields(docs, "form_doc", ["doc_id", "line_no"]), at),
+        "gs1": spec,
+        "openapi": schema_properties(spark, root).withColumns({"category": F.lit("Events"), "position": F.col("event_id")}),
+    })
+
+
+def extracted_catalog(spark, root):
+    """From documents to the catalog: read, united, brought to one form of names, merged."""
+    items = H.merge_items(H.normalize_items(extracted(spark, root), {"order1": "order0"}, {}))
+    return items.select("category", "name", "title", "description", "data_type", "byte_length", "is_required", "allowed_values", "source_standard", "n_members", "n_sources")
+
+
+def rejected_documents(spark, root):
+    """Documents that give nothing, out of a set of which some are cut off, of another form, or missing."""
+    k = F.col("doc_id") % 13
+    doc = F.when(k == 1, F.substring("entity_doc", 1, 20)).when(k == 2, '{"definitions":5}').when(k == 4, "{}").when(k != 3, F.col("entity_doc"))
+    return D.rejected_documents(_docs(spark, root, doc.alias("entity_doc")), "entity_doc", ["doc_id", "line_no"], "definitions")
+
+
 QUERIES = {
     "load_sources": load_sources,
     "derive_categories": lambda s, r: U.derive_categories(declared(s, r), H.conform(view(s, r, "raw_items"))),
     "upsert_categories": upsert_categories,
+    "extracted_catalog": extracted_catalog,
+    "rejected_documents": rejected_documents,
     "json_entity_attrs": entity_attributes,
     "json_field_list": form_fields,
     "json_schema_props": schema_properties,

@@ -194,6 +194,12 @@ FROM ({LINE_FIELDS})
 """
 VIEWS["order_docs"] = ORDER_DOCS
 
+# The same with a line number of its own for every line: equal numbers of an order count on by eight.
+LINES = LINE_FIELDS.replace("l_linenumber AS line_no", """l_linenumber + 8 * CAST(row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+ ORDER BY l_partkey, l_suppkey, l_quantity, l_returnflag, l_linestatus) - 1 AS INT) AS line_no""")
+VIEWS["lines"] = LINES
+VIEWS["line_docs"] = ORDER_DOCS.replace(LINE_FIELDS, LINES)
+
 # A vocabulary as graph documents: parts as classes, brands as properties, part names as members of enumerations below class 2.
 GRAPH_DOCS = f"""
 SELECT doc_id, concat('{{"@context":{{}},"@graph":["odd",', array_join(array_sort(collect_list(body)), ','), ']}}') AS doc FROM (

@@ -4,7 +4,7 @@ from fieldloom.sources.speclines import CATEGORY_RULES, DEFAULT_CATEGORY, INTERN
 from fieldloom.sources.typemaps import CDM, DEFAULTS, FHIR, TYPE_MAPS, VOCABULARY
 from fieldloom.sources.tables import view_sql
 
-from .base import build, define
+from .base import CTES, FIELD_ALIASES, build, define, lookup, merged
 from .merge import CATALOG
 
 define("declared", [], f"SELECT * FROM ({view_sql('declared')}) WHERE is_declared")
@@ -213,3 +213,31 @@ SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY k) - 1 AS IN
 ORACLES["declared_options"] = f"""
 SELECT p_partkey // 5 AS doc_id, 'f' || p_partkey AS name, CAST(o AS INT) AS option, CASE o WHEN 0 THEN 'a' || p_size WHEN 1 THEN 'b]' ELSE 'c,(' END AS code,
  CASE o WHEN 0 THEN p_brand || ' (x)' WHEN 1 THEN 'It''s' ELSE 'c,(' END AS label FROM part, (SELECT unnest([0, 1, 2]) AS o) WHERE p_partkey % 5 = 0 AND {READ}"""
+# From documents to the catalog: the extraction oracles, united, and the merge over them.
+def inner(key: str) -> str:
+    """The last SELECT of an oracle, without the tables before it."""
+    needs = {"json_field_list": ["line_fields"], "json_path_elements": ["line_fields"], "json_schema_props": ["props"], "spec_describe": ["spec_ok"], "spec_classify": ["spec_ok"], "slug_unique": ["spec_ok"], "range_categorize": ["spec_ok"]}[key]
+    return ORACLES[key].removeprefix(build(needs, "")).replace("FROM line_fields", "FROM x_lines")
+
+
+NO_TEXT, NO_NUMBER = "CAST(NULL AS VARCHAR)", "CAST(NULL AS INT)"
+AREA, PLACE = "'Area ' || (doc_id % 40 % 5)", "'https://example.org/schema/' || doc_id"
+define("x_lines", [], view_sql("lines"))
+define("x_attrs", ["x_lines"], CTES["attrs"][1].replace("FROM line_fields", "FROM x_lines"))
+define("x_raw_items", ["x_attrs", "x_lines", "props", "spec_ok"], f"""
+SELECT (0::BIGINT << 44) + (doc_id * 1024 + line_no) * 2 + CASE WHEN attribute = 'rowVersion' THEN 1 ELSE 0 END AS ord, {AREA} AS category, entity || '.' || attribute AS name, title, description, data_type,
+ byte_length, is_required, {NO_TEXT} AS allowed_values, 'cdm' AS source_standard, {PLACE} AS source_url FROM x_attrs
+UNION ALL SELECT (1::BIGINT << 44) + doc_id * 1024 + line_no, {AREA}, name, title, description, data_type, {NO_NUMBER}, is_required, {NO_TEXT}, 'fhir', {PLACE} FROM ({inner("json_path_elements")})
+UNION ALL SELECT (2::BIGINT << 44) + doc_id * 1024 + line_no, {AREA}, name, title, description, data_type, byte_length, is_required, allowed_values, 'frappe', {PLACE} FROM ({inner("json_field_list")})
+UNION ALL SELECT (3::BIGINT << 44) + ord, category, name, title, description, data_type, byte_length, false, {NO_TEXT}, 'gs1', {NO_TEXT} FROM ({inner("slug_unique")}) JOIN (SELECT ord, title FROM spec_ok) USING (ord)
+ JOIN ({inner("spec_describe")}) USING (ord) JOIN ({inner("spec_classify")}) USING (ord) JOIN ({inner("range_categorize")}) USING (ord)
+UNION ALL SELECT (4::BIGINT << 44) + event_id, 'Events', name, title, description, data_type, byte_length, is_required, allowed_values, 'openapi', {NO_TEXT} FROM ({inner("json_schema_props")})""")
+define("x_items", ["x_raw_items"], f"SELECT *, {NO_NUMBER} AS decimal_scale, {NO_TEXT} AS format_mask, {NO_TEXT} AS version FROM x_raw_items")
+define("x_resolved", ["x_items"], CTES["resolved"][1].replace("raw_items", "x_items").replace("account.invoice' THEN 'invoice'", "order1' THEN 'order0'").replace(" WHEN 'sale.sale' THEN 'order'", "")
+       .replace(lookup("base_name", FIELD_ALIASES, "NULL"), NO_TEXT))
+define("x_norm", ["x_resolved"], CTES["norm"][1].replace("FROM resolved", "FROM x_resolved"))
+merged("x_clean", "x_norm", "category, name")
+ORACLES["extracted_catalog"] = build(["x_clean"], """
+SELECT category, name, title, description, data_type, byte_length, is_required, allowed_values, source_standard, n_members, n_sources FROM x_clean""")
+ORACLES["rejected_documents"] = build(["line_fields"], """
+SELECT doc_id, line_no, CASE doc_id % 13 WHEN 1 THEN 'not JSON' WHEN 3 THEN 'missing' ELSE 'no definitions' END AS reason FROM line_fields WHERE doc_id % 13 BETWEEN 1 AND 4""")
