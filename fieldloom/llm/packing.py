@@ -17,6 +17,7 @@ and rank; the ranks come from counts per written file part.
 from __future__ import annotations
 
 import bisect
+import json
 import os
 import zlib
 from collections import defaultdict
@@ -40,8 +41,10 @@ REMEMBERED = 500_000
 END = 0
 # Fixed value: the split pattern of byte-level vocabularies.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Texts on which two libraries have to agree.
-PROBES = ["The quick brown fox don't", " L'été, où ça?\n\n  x\t1234 ", "naïve  日本 🙂 <|endoftext|> $$%% \u00a0 e\u0301"]
+# What a file states whose ids are those of plain byte-level pairs, special tokens apart.
+PLAIN = {"normalizer": None, "post_processor": None, "truncation": None, "padding": None}
+PRE_TOKENIZER = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+MODEL = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": None, "byte_fallback": False, "ignore_merges": False}
 
 
 # --- plan over a histogram of lengths --------------------------------------------------------
@@ -189,33 +192,54 @@ def byte_of_letter() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
-@cache
-def _encoder(path: str) -> ChunkEncoder:
-    """One per worker process.
+def byte_level_ranks(stated: dict) -> dict[bytes, int] | None:
+    """Ids by bytes, if a vocabulary file holds byte-level pairs and nothing else: each merge makes the next id. None for any other file."""
+    model, letters = stated["model"], byte_of_letter()
+    plain = all(stated.get(k) == v for k, v in PLAIN.items()) and all((stated["pre_tokenizer"] or {}).get(k) == v for k, v in PRE_TOKENIZER.items())
+    if not plain or not all(model.get(k) == v for k, v in MODEL.items()):
+        return None
+    vocabulary, merges = model["vocab"], [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    special = {t["content"] for t in stated["added_tokens"]}
+    words = {token: n for token, n in vocabulary.items() if token not in special}
+    in_order = len(words) == 256 + len(merges) and all(words.get(a + b) == 256 + n for n, (a, b) in enumerate(merges))
+    if not in_order or not all(letter in letters for token in words for letter in token) or {words.get(letter) for letter in letters} != set(range(256)):
+        return None
+    return {bytes(letters[c] for c in token): n for token, n in words.items()}
+
+
+class TextEncoder:
+    """Ids of whole texts, little-endian 32-bit, as the tokenizers library gives them.
 
-    Chunks go through the tiktoken library with the vocabulary of the file, which
-    builds no alignment and takes half the time, if the two libraries agree on
-    the probe; else through the tokenizers library.
+    With a file of plain byte-level pairs, chunks go through the tiktoken library, which
+    builds no alignment and takes half the time; texts in which a special token of the
+    file stands, and other files, go through the tokenizers library whole.
     """
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
 
-    def slow(text: str) -> list[int]:
-        return tokenizer.encode(text, add_special_tokens=False).ids
+        self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            stated = json.load(file)
+        self.special = [t["content"] for t in stated["added_tokens"]]
+        ranks = byte_level_ranks(stated)
+        self.chunks = None
+        if ranks is not None:
+            import tiktoken
 
-    try:
-        import tiktoken
+            self.chunks = ChunkEncoder(tiktoken.Encoding("pieces", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary, REMEMBERED)
 
-        letters = byte_of_letter()
-        special = {t.content for t in tokenizer.get_added_tokens_decoder().values()}
-        ranks = {bytes(letters[c] for c in token): n for token, n in tokenizer.get_vocab().items() if token not in special}
-        fast = tiktoken.Encoding("pieces", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        return ChunkEncoder(fast if all(fast(p) == slow(p) for p in PROBES) else slow, REMEMBERED)
-    except (ImportError, KeyError, ValueError):
-        return ChunkEncoder(slow, REMEMBERED)
+    def __call__(self, text: str) -> bytes:
+        if self.chunks is None or any(s in text for s in self.special):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return self.chunks(text)
+
+
+@cache
+def _encoder(path: str) -> TextEncoder:
+    """One per worker process."""
+    return TextEncoder(path)
 
 
 PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("part", pa.int64()), ("local", pa.int64())])
@@ -258,7 +282,8 @@ OUT = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence
 def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All documents as pieces with their sequence and place in it.
 
-    Null and empty texts are a single end token. Repeated rows and ids are
+    Null and empty texts are a single end token; a text of any length is encoded whole and cut into
+    pieces. Ties of length go by the order of the written parts. Repeated rows and ids are
     packed like others; other columns are ignored; no rows: no pieces.
     """
     cut = materialize(token_pieces(docs, path, id_col, text_col), "pieces")

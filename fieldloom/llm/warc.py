@@ -138,19 +138,26 @@ PARSED_ARROW = pa.schema([
 
 
 def inflate(data: bytes) -> bytes:
-    """All members of a gzip file; other data as it is."""
+    """All members of a gzip file; other data as it is. Of damaged data what comes before the damage; what follows a member and is none, such as padding, is left out."""
     if data[:2] != b"\x1f\x8b":
         return data
-    out = []
-    while data:
-        member = zlib.decompressobj(31)
-        out.append(member.decompress(data))
-        data = member.unused_data
+    out, view = [], memoryview(data)
+    while view[:2] == b"\x1f\x8b":
+        member, at = zlib.decompressobj(31), 0
+        try:
+            while at < len(view) and not member.eof:
+                out.append(member.decompress(view[at:at + (1 << 16)]))
+                at += 1 << 16
+        except zlib.error:
+            break
+        if not member.eof:
+            break
+        view = view[min(at, len(view)) - len(member.unused_data):]
     return b"".join(out)
 
 
 def parse(data: bytes) -> Iterator[tuple]:
-    """The records of an archive. A record that is cut off has a block shorter than it states; what follows it is skipped."""
+    """The records of an archive. A record that is cut off, or without a usable length, has no block; what follows up to the next record is skipped."""
     at = 0
     while True:
         while data[at:at + 2] == b"\r\n":
@@ -162,20 +169,29 @@ def parse(data: bytes) -> Iterator[tuple]:
         for line in data[at:end].split(b"\r\n")[1:]:
             name, _, value = line.partition(b":")
             fields[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
-        size = int(fields.get("content-length", 0))
-        block = data[end + 4:end + 4 + size]
 
         def number(name: str) -> int | None:
-            value = fields.get(name)  # noqa: B023
-            return int(value) if value else None
-
+            """A header that is a plain number of up to 18 digits; anything else counts as missing."""
+            value = fields.get(name, "")  # noqa: B023
+            return int(value) if value.isascii() and value.isdigit() and len(value) <= 18 else None
+
+        segment = number("warc-segment-number")
+        size = number("content-length")
+        if size is None:
+            # nothing says where the block ends: the next record is looked for, and this one has no block
+            at = data.find(b"\r\n\r\nWARC/", end)
+            block, size = None, -1
+        else:
+            block = data[end + 4:end + 4 + size]
+            at = end + 4 + size
         digest = fields.get("warc-payload-digest")
         yield (
             fields.get("warc-record-id"), fields.get("warc-type"), fields.get("warc-target-uri"), number("x-page-id"), fields.get("warc-refers-to"),
-            digest.removeprefix("sha1:") if digest else None, fields.get("warc-segment-origin-id"), number("warc-segment-number"),
-            number("warc-segment-total-length"), block if len(block) == size else None,
+            digest.removeprefix("sha1:") if digest else None, fields.get("warc-segment-origin-id"), segment if segment is None or segment < 1 << 31 else None,
+            number("warc-segment-total-length"), block if block is not None and len(block) == size else None,
         )
-        at = end + 4 + size
+        if at < 0:
+            return
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:

@@ -47,7 +47,6 @@ def test_plan_is_close_to_the_least_number():
 
 def check_rows(rows, texts):
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
     for r in rows:
         by_doc[r.doc_id].append(r)
@@ -78,9 +77,26 @@ def test_query(spark, root):
 
 @pytest.mark.parametrize("n", [2047, 2048, 2049, 4096])
 def test_cuts_null_empty_and_clashing_columns(spark, n):
-    texts = {1: None, 2: "", 3: " a" * (n - 1), 4: "<|endoftext|>  b\n\n c"}
+    texts = {1: None, 2: "", 3: " a" * (n - 1), 4: "<|endoftext|>  b\n\n c", 5: "a <|endoftext|> b", 6: "a <|endoftext | x"}
     df = spark.createDataFrame([(i, t, 7, 1) for i, t in texts.items()], "doc_id long, text string, length int, part int")
     check_rows(packing.pack(df, PATH).collect(), texts)
     assert packing.pack(df.limit(0), PATH).count() == 0
     twice = packing.pack(df.union(df), PATH).collect()
     assert len(twice) == 2 * packing.pack(df, PATH).count()
+
+
+def test_special_tokens_and_other_files():
+    import json
+
+    encode = packing._encoder(PATH)
+    assert np.frombuffer(encode("a <|endoftext|> b"), "<u4").tolist() == [64, 220, 50256, 275]
+    stated = json.load(open(PATH))
+    assert len(packing.byte_level_ranks(stated)) == 50_256
+    assert packing.byte_level_ranks(stated | {"normalizer": {"type": "Lowercase"}}) is None
+    model = stated["model"]
+    assert packing.byte_level_ranks(stated | {"model": model | {"merges": model["merges"][1:]}}) is None
+    swapped = [model["merges"][1], model["merges"][0], *model["merges"][2:]]
+    assert packing.byte_level_ranks(stated | {"model": model | {"merges": swapped}}) is None
+    path = P.path("word_bpe_49k.json")
+    other = packing.TextEncoder(path)
+    assert other.chunks is None and np.frombuffer(other("Ab  c"), "<u4").tolist() == Tokenizer.from_file(path).encode("Ab  c", add_special_tokens=False).ids

@@ -53,3 +53,23 @@ def test_damaged_segments(spark):
     assert read("lost", [parts[0], parts[1], parts[3]]) == [None]
     assert read("unended", parts[:3]) == [None]
     assert read("plain", [b"".join([b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 99\r\n\r\nshort"])]) == [None]
+
+
+def test_odd_headers_and_padded_archives():
+    import gzip
+
+    def record(length, block=b"HTTP/1.1 200 OK\r\n\r\nbody", page=b"7"):
+        head = b"WARC/1.1\r\nWARC-Type: response\r\nX-Page-Id: " + page + (b"\r\nContent-Length: " + length if length is not None else b"")
+        return head + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+    good = record(b"25", b"HTTP/1.1 200 OK\r\n\r\nfirst!")
+    for bad in (b"-33", b"many", b"", None, b"9" * 30, "٣".encode()):
+        rows = list(warc.parse(record(bad) + good))
+        assert [r[-1] for r in rows] == [None, b"HTTP/1.1 200 OK\r\n\r\nfirst!"], bad
+        assert list(warc.parse(good + record(bad)))[1][-1] is None
+    assert [r[3] for r in warc.parse(record(b"23", page=b"x9") + good)] == [None, 7]
+    whole = gzip.compress(good) + gzip.compress(good)
+    assert warc.inflate(whole) == good * 2 and warc.inflate(whole + bytes(700)) == good * 2 and warc.inflate(good) == good
+    assert good.startswith(warc.inflate(gzip.compress(good)[:-12])) and warc.inflate(whole[:len(whole) // 2] + b"\x1f\x8bxx") == good
+    large = gzip.compress(bytes(range(256)) * 5000, 0)
+    assert warc.inflate(large + large + b"\0") == bytes(range(256)) * 10000
