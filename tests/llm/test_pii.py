@@ -84,3 +84,18 @@ def test_odd_rows(spark):
     assert masked.columns == df.columns
     assert sorted((r.text or "") for r in masked.where("doc_id in (1, 2, 4) or doc_id is null").collect()) == ["", "", "<ip>", "<phone>"]
     assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in masked.collect())
+
+
+def test_addresses_in_long_runs_of_digits():
+    import random
+    import re
+    import time
+
+    stated = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+    rng = random.Random(3)
+    for _ in range(3000):
+        text = "".join(rng.choice("0123456789....  a") for _ in range(rng.randrange(40)))
+        assert [m.span() for m in pii.IP.finditer(text)] == [m.span() for m in stated.finditer(text)]
+    start = time.perf_counter()
+    assert pii.base_spans("7" * 1_000_000 + " 10.0.0.1") == [(1_000_001, 1_000_009, "ip")]
+    assert pii.base_spans("1." * 300_000) and time.perf_counter() - start < 20
