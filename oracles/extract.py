@@ -168,7 +168,7 @@ FILED = "(SELECT row_number() OVER (ORDER BY ord % 4, ord) AS line_no, ord FROM
 ORACLES["spec_file_items"] = build(["spec_ok"], f"""
 SELECT line_no AS ord, code, spec, 'gs1.' || slug || CASE WHEN row_number() OVER (PARTITION BY slug ORDER BY line_no) > 1 THEN '_' || replace(code, '-', '_') ELSE '' END AS name
 FROM (SELECT l.line_no, s.code, s.spec, {SLUG} AS slug FROM spec_ok s JOIN {FILED} l USING (ord))""")
-ORACLES["rejected_files"] = build(["spec_lines"], "SELECT 3 AS folder, 'not UTF-8' AS reason, count(*) AS lines, 1 AS first_bad FROM spec_lines WHERE ord % 4 = 3 HAVING count(*) > 0")
+ORACLES["rejected_files"] = build(["spec_lines"], "SELECT 3 AS folder, 'not UTF-8' AS reason, count(*) AS lines, CAST(1 AS BIGINT) AS first_bad FROM spec_lines WHERE ord % 4 = 3 HAVING count(*) > 0")
 ORACLES["range_join"] = ORACLES["range_categorize"]
 ORACLES["range_join_orders"] = """
 SELECT o.o_orderkey, min(r.c) AS first, count(*) AS ranges FROM orders o JOIN (
