@@ -198,6 +198,14 @@ def relation_notes(spark, root):
         "ord", L.relation_note(F.col("description"), F.col("title"), relation, comodel).alias("description"))
 
 
+def structure_notes(spark, root):
+    """Items of which the types are simple, composite, nested or missing."""
+    names = ["IdentifierType", "DescriptionType", "DateTimeType", "ValueType", "QuantityValueType", "StatusType", "ResourceLocationType"]
+    native = F.try_element_at(F.array(*map(F.lit, names)), (F.col("ord") % 8 + 1).cast("int"))
+    data_type, text = L.structured_type(native, F.col("title"), F.col("ord") % 3 == 0)
+    return view(spark, root, "raw_items").select("ord", data_type.alias("data_type"), text.alias("description"))
+
+
 def routes(spark, root):
     entity = entity_of(F.col("name"))
     return view(spark, root, "raw_items").select(
@@ -281,6 +289,7 @@ QUERIES = {
     "declared_options": lambda s, r: B.declared_options(B.tokens(_programs(s, r), ["doc_id"], "text"), ["doc_id"], ["selection"]).select("doc_id", "name", "option", "code", "label"),
     "declaration_extract": lambda s, r: M.declarations(table(s, r, "pages")),
     "relation_note": relation_notes,
+    "structure_note": structure_notes,
     "per_entity_counts": lambda s, r: L.extraction_counts(view(s, r, "raw_items"), entity_of(F.col("name"))),
     "source_file_route": routes,
     "write_catalog": lambda s, r: K.write_catalog(merged(s, r)),

@@ -14,6 +14,7 @@ from ..operators import projection as P
 from ..operators import reports as R
 from ..sources.tables import SOURCES, view
 from .catalog import catalog, categories
+from .projection_queries import groups, written_ui
 
 # Display names of the test catalog.
 DISPLAY_NAMES = {"invoice": "Invoice", "1_urgent": "Urgent order", "order": "Sales order"}
@@ -101,6 +102,7 @@ QUERIES = {
     "coverage_grade": lambda s, r: R.graded_coverage(overridden(s, r), view(s, r, "curated")),
     "curated_override": lambda s, r: overridden(s, r).select("category", "name", "description", "changed"),
     "finished_catalog": lambda s, r: finished(s, r).select("category", "name", "description"),
+    "check_report_finished": lambda s, r: C.report(finished(s, r), categories(s, r), view(s, r, "curated"), written_ui(s, r), groups(s, r)),
     "check_finished": lambda s, r: C.description(finished(s, r)),
     "backfill_descriptions": lambda s, r: E.backfill_descriptions(catalog(s, r), DISPLAY_NAMES).select(
         "category", "name", "description"),

@@ -241,3 +241,7 @@ ORACLES["extracted_catalog"] = build(["x_clean"], """
 SELECT category, name, title, description, data_type, byte_length, is_required, allowed_values, source_standard, n_members, n_sources FROM x_clean""")
 ORACLES["rejected_documents"] = build(["line_fields"], """
 SELECT doc_id, line_no, CASE doc_id % 13 WHEN 1 THEN 'not JSON' WHEN 3 THEN 'missing' ELSE 'no definitions' END AS reason FROM line_fields WHERE doc_id % 13 BETWEEN 1 AND 4""")
+ORACLES["structure_note"] = build(["raw_items"], """
+SELECT ord, CASE ord % 8 WHEN 0 THEN 'VARCHAR' WHEN 1 THEN 'VARCHAR' WHEN 2 THEN 'DATETIME' WHEN 7 THEN NULL ELSE 'OBJECT' END AS data_type,
+ nullif(concat_ws(' ', nullif(trim(title), ''), CASE ord % 8 WHEN 3 THEN 'Composite value (ValueString + DataType + UnitOfMeasure).' WHEN 4 THEN 'Composite quantity (QuantityString + DataType + UnitOfMeasure).'
+  WHEN 5 THEN 'Nested ISA-95 structure (StatusType).' WHEN 6 THEN 'Nested ISA-95 structure (ResourceLocationType).' END, CASE WHEN ord % 3 = 0 THEN '(repeatable / collection)' END), '') AS description FROM raw_items""")

@@ -66,3 +66,6 @@ UNION ALL SELECT category, name, CASE WHEN first_ord % 11 = 0 THEN coalesce(titl
  FROM clean WHERE first_ord % 7 > 0 AND first_ord % 13 = 0"""),
     "check_idempotent": build(["clean"], "SELECT *, 'first' AS only_in FROM clean WHERE false"),
 }
+# The same checks on the catalog as it is delivered; the projection shows its items.
+ORACLES["check_report_finished"] = build([*NEEDS, "finished"], " UNION ALL ".join(
+    bad(name, count if name == "duplicate_natural_key" else count.replace("FROM clean", "FROM finished")) for checks in CHECKS.values() for name, count in checks))
