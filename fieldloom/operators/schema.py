@@ -180,11 +180,15 @@ def script_lines(items: DataFrame, terms: DataFrame, dialects: tuple[str, ...])
     """
     columns = materialize(table_columns(items), "columns")
     lines = create_table_lines(items, columns, creation_levels(items), dialects)
-    named = terms.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("term_pos", "term"))), lambda t: t["term"]), ", ").alias("terms"))
-    counts = items.agg(F.count("*").alias("items")).join(table_names(items).agg(F.count("*").alias("tables")), F.lit(True)).filter("items > 0")
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("term_pos", "term"))), lambda t: t["term"]), ", ")
+    none, zero = F.lit(None).cast("string").alias("terms"), F.lit(0).cast("bigint")
+    facts = (items.agg(F.count("*").alias("items"), zero.alias("tables"), none)
+             .unionByName(table_names(items).agg(zero.alias("items"), F.count("*").alias("tables"), none))
+             .unionByName(terms.agg(zero.alias("items"), zero.alias("tables"), joined.alias("terms"))))
+    counts = facts.agg(*[F.max(c).alias(c) for c in ("items", "tables", "terms")]).filter("items > 0")
     size = F.concat(F.lit("-- "), F.col("tables").cast("string"), F.lit(" tables, "), F.col("items").cast("string"), F.lit(" items"))
     head = [(d, n, line) for d in dialects for n, line in enumerate((F.lit(f"-- dialect: {d}"), F.concat(F.lit("-- terms: "), "terms"), size, F.lit(PREAMBLES.get(d))))]
-    rows = counts.join(named, F.lit(True)).select(F.inline(F.array(*[
+    rows = counts.select(F.inline(F.array(*[
         F.struct(F.lit(d).alias("dialect"), F.lit(n).cast("bigint").alias("position"), line.alias("line")) for d, n, line in head]))).filter("line IS NOT NULL")
     return rows.select("dialect", F.lit(-1).alias("level"), F.lit("").alias("table_name"), F.lit(HEADER).alias("section"), "position", "line").unionByName(lines)
 
