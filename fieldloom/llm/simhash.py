@@ -174,15 +174,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     ``component_id`` is the smallest id reachable over links of at most
     ``MAX_BITS`` differing bits.  Null and wordless texts share fingerprint
-    zero; copies share theirs; rows with a repeated id stay; a null id keeps
-    its row and is never a representative if another one exists.  Other columns are ignored.
+    zero; copies share theirs.  Rows with a repeated id stay and link by their own
+    texts; rows without an id link like any other and give no component its id, so
+    a component has a null one only if no row of it has an id.  Other columns are ignored.
     """
     fps = materialize(fingerprints(docs, id_col, text_col), "fingerprints")
-    distinct = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "classes")
-    parts = components(links(distinct.where("rep is not null"), block), "a", "b")
-    classes = materialize(
-        distinct.join(parts, distinct.rep == parts.id, "left").select("fp", F.coalesce("component", "rep").alias("component_id")), "components"
-    )
+    distinct = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
+    parts = components(links(distinct.select("fp", F.col("fp").alias("rep")), block), "a", "b")
+    grouped = materialize(distinct.join(parts, distinct.fp == parts.id, "left").select("fp", "least", F.coalesce("component", "fp").alias("group")), "groups")
+    least = grouped.groupBy("group").agg(F.min("least").alias("component_id"))
+    classes = materialize(grouped.join(least, "group").select("fp", "component_id"), "components")
     return fps.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 

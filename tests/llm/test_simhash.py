@@ -70,6 +70,19 @@ def test_one_row_of_each_group_stays_whatever_its_id(spark):
     assert simhash.keep_one(spark, alone, "").count() == 1
 
 
+def test_rows_link_whatever_their_ids(spark, monkeypatch):
+    """Fingerprints as given: a row without an id, or one whose id another row has, is a link like any other."""
+    def plain(given):
+        fps = spark.createDataFrame(given, "doc_id long, fp long")
+        monkeypatch.setattr(simhash, "fingerprints", lambda docs, *_: fps)
+        return sorted(((r.doc_id, r.fp, r.component_id) for r in simhash.near_duplicates(fps).collect()), key=str)
+
+    assert plain([(1, 0), (None, 7), (9, 63)]) == sorted([(1, 0, 1), (None, 7, 1), (9, 63, 1)], key=str)
+    assert plain([(7, 1), (None, 3), (5, 31 << 0)]) == sorted([(7, 1, 5), (None, 3, 5), (5, 31, 5)], key=str)
+    far = 0x0F0F0F0F0F0F0F0F
+    assert plain([(2, 0), (2, far), (1, far), (None, -1)]) == sorted([(2, 0, 2), (2, far, 1), (1, far, 1), (None, -1, None)], key=str)
+
+
 def test_long_lists_are_dealt_in_blocks(spark):
     rng = np.random.default_rng(5)
     base = int(rng.integers(1 << 62))
