@@ -18,7 +18,7 @@ import heapq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..storage import materialize
@@ -38,11 +38,11 @@ TARGET_RECALL, HELD_OUT, PAIRS = 0.995, 2_048, 4_096
 BLOCK = 512
 
 
-def unit_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(row, id, v): usable vectors; null, zero and non-finite ones are left out, and so are null ids."""
-    wide = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
-    fine = (F.size("v") > 0) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
-    return wide.where(F.col("id").isNotNull() & F.coalesce(fine, F.lit(False)))
+def usable(vector_col: str) -> Column:
+    """The vector as doubles; null where it is null, zero or not finite."""
+    v = F.col(vector_col).cast("array<double>")
+    fine = (F.size(v) > 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
+    return F.when(F.coalesce(fine, F.lit(False)), v)
 
 
 def matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -149,15 +149,15 @@ def _visit_batches(index: Index, width: int):
     return run
 
 
-LINKED = "row long, n long, a long, b long"
+LINKED = "class long, n long, least long"
 
 
 def _unit_batches(threshold: float):
-    """Links of each unit: per row of it that has some their number, and the least row it is held together with."""
+    """Links of each unit: per class of it that has some the number of rows it links to, and the least class it is held together with."""
     def run(batches):
         for rows, cuts in sorted_groups(batches, ["cell", "unit"]):
             bounds = np.append(cuts, len(rows["row"])) if cuts[-1] != len(rows["row"]) else cuts
-            out = [(np.zeros(0, np.int64),) * 4]
+            out = [(np.zeros(0, np.int64),) * 3]
             for start, stop in zip(bounds[:-1], bounds[1:], strict=True):
                 if stop - start < 2:
                     continue
@@ -178,13 +178,15 @@ def _unit_batches(threshold: float):
                     x, y = x[~twice], y[~twice]
                 if not len(x):
                     continue
-                number = np.bincount(x, minlength=stop - start) + np.bincount(y, minlength=stop - start)
+                number = np.zeros(stop - start, np.int64)
+                np.add.at(number, x, g["weight"][y])
+                np.add.at(number, y, g["weight"][x])
                 own, root = _forest(int(stop - start), x, y)
                 least = np.arange(stop - start)
                 least[own] = root
                 some = np.flatnonzero(number)
-                out.append((g["row"][some], number[some], g["id"][some], g["id"][least[some]]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*out, strict=True)], names=["row", "n", "a", "b"])
+                out.append((g["row"][some], number[some], g["row"][least[some]]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*out, strict=True)], names=["class", "n", "least"])
 
     return run
 
@@ -208,7 +210,7 @@ def _units(visits: DataFrame, block: int) -> DataFrame:
 
 
 def links(rows: DataFrame, width: int, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
-    """(row, n, a, b) of rows (row, id, v) of ``width`` components: partial numbers of links, and ids held together."""
+    """(class, n, least) of different vectors (row, weight, v) of ``width`` components: parts of the numbers of rows that they link to, and classes held together."""
     total = rows.count()
     size = sample_size(total)
     share = min(1.0, 0.9 * size / max(1, total))
@@ -216,32 +218,38 @@ def links(rows: DataFrame, width: int, threshold: float = THRESHOLD, block: int
     sample = matrix(chosen if len(chosen) else rows.select("v").limit(1).toArrow()["v"].combine_chunks(), width)
     visits = materialize(rows.select("row", "v").mapInArrow(_visit_batches(Index(sample, total, threshold), width), "row long, cells array<int>"), "visits")
     units = _units(visits, block).join(rows, "row").join(visits, "row")
-    laid = units.select("cell", "unit", "side", F.col("alone").cast("int").alias("alone"), "row", "id", F.col("cells")[0].alias("home"), "cells", "v")
+    laid = units.select("cell", "unit", "side", F.col("alone").cast("int").alias("alone"), "row", "weight", F.col("cells")[0].alias("home"), "cells", "v")
     return laid.repartition("cell", "unit").sortWithinPartitions("cell", "unit", "side", "row").mapInArrow(_unit_batches(threshold), LINKED)
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row.
 
-    Null, zero and non-finite vectors and rows without an id link with nothing, and
-    vectors link only with vectors of their length. Repeated ids are rows of their
-    own that share a component; other columns are ignored; no rows: no rows.
+    Null, zero and non-finite vectors link with nothing, and vectors link only
+    with vectors of their length. Equal vectors become one class that counts for
+    all its rows, so any number of copies costs one vector. Rows with a repeated id
+    link by their own vectors; rows without an id link like any other and give no
+    component its id. Other columns are ignored; no rows: no rows.
     """
     spark = vectors.sparkSession
-    fine = unit_vectors(vectors, id_col, vector_col).withColumn("row", F.monotonically_increasing_id())
-    rows = materialize(fine, "vectors")
-    widths = [r.w for r in rows.select(F.size("v").alias("w")).distinct().collect()]
+    rows = materialize(vectors.select(F.col(id_col).cast("long").alias("vec_id"), usable(vector_col).alias("v")), "vectors")
+    equal = rows.where("v is not null").groupBy("v").agg(F.count("*").alias("weight"), F.min("vec_id").alias("least"))
+    classes = materialize(equal.withColumn("row", F.monotonically_increasing_id()), "vector-classes")
+    widths = [r.w for r in classes.select(F.size("v").alias("w")).distinct().collect()]
     found = spark.createDataFrame([], LINKED)
     for width in widths:
-        found = found.union(links(rows.where(F.size("v") == width), width, threshold, block))
+        found = found.union(links(classes.where(F.size("v") == width).select("row", "weight", "v"), width, threshold, block))
     found = materialize(found, "vector-links")
-    numbers = rows.select("row", "id").join(found.groupBy("row").agg(F.sum("n").alias("n")), "row").select("id", "n")
-    parts = components(found, "a", "b").withColumnRenamed("component", "least")
-    ids = vectors.select(F.col(id_col).cast("long").alias("vec_id"))
-    by_id = materialize(numbers.groupBy("id").agg(F.max("n").alias("n")).join(parts, "id", "left"), "vector-parts")
-    joined = ids.join(by_id, ids.vec_id == by_id.id, "left")
-    component = F.coalesce("least", "vec_id")
-    return joined.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
+    numbers = found.groupBy("class").agg(F.sum("n").alias("n"))
+    parts = components(found, "class", "least").withColumnRenamed("id", "row")
+    grouped = materialize(classes.join(parts, "row", "left").select("row", "weight", "least", F.coalesce("component", "row").alias("group")), "vector-groups")
+    ids = grouped.groupBy("group").agg(F.min("least").alias("component_id"))
+    of_class = grouped.join(ids, "group").join(numbers.withColumnRenamed("class", "row"), "row", "left")
+    of_class = of_class.select("row", "component_id", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
+    of_vector = classes.select("row", "v").join(of_class, "row").drop("row")
+    component = F.coalesce("component_id", "vec_id")
+    out = rows.join(of_vector, "v", "left").select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"))
+    return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
 def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

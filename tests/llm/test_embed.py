@@ -6,7 +6,7 @@ from fieldloom.llm import embed
 
 
 def brute(rows):
-    """(n_links, component) by row for (id, vector) rows."""
+    """(id, n_links, component) by row for (id, vector) rows; rows link whatever their ids."""
     def unit(v):
         if not v or any(x is None or not math.isfinite(x) for x in v) or not any(v):
             return None
@@ -14,15 +14,16 @@ def brute(rows):
         x = x / np.abs(x).max()
         return x / np.linalg.norm(x)
 
-    units = [unit(v) if i is not None else None for i, v in rows]
+    units = [unit(v) for _, v in rows]
     near = [[k != j and a is not None and b is not None and len(a) == len(b) and a @ b >= 0.95 for j, b in enumerate(units)] for k, a in enumerate(units)]
-    label = {i: i for i, _ in rows}
-    for _ in rows:
-        for k, (i, _) in enumerate(rows):
-            for j, (o, _) in enumerate(rows):
-                if near[k][j] and label[o] != label[i]:
-                    label[i] = label[o] = min(label[i], label[o])
-    return [(i, sum(n), label[i]) for (i, _), n in zip(rows, near, strict=True)]
+    group = list(range(len(rows)))
+    for k, linked in enumerate(near):
+        for j in np.flatnonzero(linked):
+            if group[j] != group[k]:
+                old = group[j]
+                group = [group[k] if g == old else g for g in group]
+    least = {g: min((i for (i, _), h in zip(rows, group, strict=True) if h == g and i is not None), default=None) for g in set(group)}
+    return [(i, int(sum(n)), least[g]) for (i, _), n, g in zip(rows, near, group, strict=True)]
 
 
 def test_query_has_the_links_of_brute_force(spark, root):
@@ -70,6 +71,35 @@ def test_odd_vectors(spark):
             (9, [1.0, 2.0, 0.0]), (10, [1.0, 2.0, 0.0]), (None, [1.0, 2.0]), (11, [-1.0, -2.0]), (12, [5.0]), (13, [2.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embed.near_duplicates(df).collect()}
-    assert got == {**{i: (0, i, True) for i in (1, 2, 3, 4, 5, 6, 7, 9, 11, 12)}, 7: (1, 7, True), 8: (1, 7, False), 9: (1, 9, True), 10: (1, 9, False),
-                   12: (1, 12, True), 13: (1, 12, False), None: (0, None, False)}
+    assert got == {**{i: (0, i, True) for i in (1, 2, 3, 4, 5, 6, 11)}, 7: (2, 7, True), 8: (2, 7, False), 9: (1, 9, True), 10: (1, 9, False),
+                   12: (1, 12, True), 13: (1, 12, False), None: (2, 7, False)}
     assert embed.near_duplicates(df.limit(0)).count() == 0
+
+
+def results(spark, rows, **options):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    return sorted(((r.vec_id, r.n_links, r.component_id) for r in embed.near_duplicates(df, **options).collect()), key=str)
+
+
+def test_rows_link_whatever_their_ids(spark):
+    v, w, near = [1.0, 0.0, 0.0, 0.0], [0.0, 1.0, 0.0, 0.0], [1.0, 0.2, 0.0, 0.0]
+    rows = [(1, v), (1, w), (2, v), (3, v), (None, v)]
+    assert results(spark, rows) == sorted([(1, 3, 1), (1, 0, 1), (2, 3, 1), (3, 3, 1), (None, 3, 1)], key=str)
+    # only a row without an id joins the two; a component of such rows alone has no id
+    bridge = [(9, [1.0, 0.0]), (4, [0.9, 0.5]), (None, [0.97, 0.25]), (None, [0.0, 1.0]), (None, [-0.0, 1.0])]
+    assert results(spark, bridge) == sorted(brute(bridge), key=str)
+    assert {i for i, _, c in results(spark, bridge) if c == 4} == {4, 9, None}
+    assert results(spark, [(1, v), (1, near), (None, w)]) == sorted([(1, 1, 1), (1, 1, 1), (None, 0, None)], key=str)
+
+
+def test_a_third_of_equal_vectors_is_one_class(spark):
+    rng = np.random.default_rng(9)
+    hot = rng.standard_normal(8)
+    rows = [(i, [float(x) for x in hot]) for i in range(3_000)] + [(9_000 + i, [float(x) for x in hot + 0.02 * rng.standard_normal(8)]) for i in range(5)]
+    others = [(20_000 + i, [float(x) for x in rng.standard_normal(8)]) for i in range(40)]
+    pair = brute([rows[0], *rows[3_000:], *others])
+    linked = {i: n for i, n, _ in pair}
+    assert linked[0] == 5 and all(linked[i] >= 5 for i, _ in rows[3_000:])
+    got = {i: (n, c) for i, n, c in results(spark, rows + others)}
+    assert {got[i] for i in range(3_000)} == {(3_004, 0)}
+    assert all(got[i] == (2_999 + linked[i], 0) for i, _ in rows[3_000:])
