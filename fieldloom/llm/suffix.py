@@ -9,19 +9,20 @@ windows of its anchor reach.
 
 Each task sorts its entries, sends equal ones once, and writes its run front
 coded: of a suffix only the bytes beyond the prefix it shares with the one before.
-Runs are exchanged by ranges of the first ``SEED`` bytes. The receiver merges them
+Runs are exchanged by the hash of the first ``SEED`` bytes, in as many parts as the
+number of entries asks for: no sample of the texts decides the balance, and equal
+seeds meet. The receiver merges the runs of its part
 with a loser tree whose nodes keep the prefix length shared with the last winner:
 known prefixes are never compared again. Neighbours in the merged order that share
 ``SEED`` bytes form a group, within which the windows of all entries are compared.
 
 Anchors whose seed occurs in more than ``HOT`` places are written as one entry per
-window instead, sorted by all its bytes, so that a group is only what is equal and
-each task sends it once.
+window instead, dealt and sorted by all its bytes, so that a group is only what is
+equal and each task sends it once.
 """
 
 from __future__ import annotations
 
-import bisect
 import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -29,6 +30,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,12 +40,10 @@ from .batches import pieces, table, utf8
 #: Bytes of a repeated string, bytes of an anchor's seed, anchors' largest distance from the window's start.
 LENGTH, SEED = 200, 80
 REACH = LENGTH - SEED
-#: Entries of a run, entries of a range of the exchange, occurrences that make a seed hot.
-RUN, RANGE, HOT = 60_000, 20_000, 20_000
+#: Entries of a run, entries of a part of the exchange, occurrences that make a seed hot.
+RUN, PART, HOT = 60_000, 20_000, 20_000
 #: Texts are searched for anchors in slices of about two to this power bytes; a dozen arrays of eight bytes for each are held.
 SLICE_BITS = 20
-#: Documents that the ranges' bounds are taken from; they affect balance only.
-SAMPLE_DOCS = 400
 #: Base of the rolling hash, modulo 2**64.
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -220,12 +220,12 @@ def joined_spans(spans) -> list[tuple[int, int, int, int]]:
 
 RUN_SCHEMA = pa.schema([
     ("bucket", pa.int64()), ("near", pa.list_(pa.int16())), ("far", pa.list_(pa.int16())), ("shared", pa.list_(pa.int16())), ("rest", pa.list_(pa.binary())),
-    ("before", pa.list_(pa.binary())), ("doc", pa.list_(pa.int64())), ("mark", pa.list_(pa.int32())), ("at", pa.list_(pa.int64())),
-    ("span_doc", pa.int64()), ("span_mark", pa.int32()), ("start", pa.int64()), ("stop", pa.int64()),
+    ("before", pa.list_(pa.binary())), ("doc", pa.list_(pa.int64())), ("mark", pa.list_(pa.int64())), ("at", pa.list_(pa.int64())),
+    ("span_doc", pa.int64()), ("span_mark", pa.int64()), ("start", pa.int64()), ("stop", pa.int64()),
 ])
 RUN_DDL = (
     "bucket long, near array<short>, far array<short>, shared array<short>, rest array<binary>, before array<binary>, "
-    "doc array<long>, mark array<int>, at array<long>, span_doc long, span_mark int, start long, stop long"
+    "doc array<long>, mark array<long>, at array<long>, span_doc long, span_mark long, start long, stop long"
 )
 
 
@@ -233,8 +233,8 @@ def _rows(columns: dict[str, list], n: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns.get(f.name, [None] * n), f.type) for f in RUN_SCHEMA], schema=RUN_SCHEMA)
 
 
-def _run_batches(run: Run, bounds: list[bytes]) -> Iterator[pa.RecordBatch]:
-    """The run's spans that are certain, then its entries front coded, one row per range."""
+def _run_batches(run: Run, parts: int) -> Iterator[pa.RecordBatch]:
+    """The run's spans that are certain, then its entries front coded, one row per part of the exchange."""
     spans = joined_spans((doc, mark, at - far, at - near + LENGTH) for (_, _, near, far, _), places in run.entries.items() if len(places) > 1 for doc, mark, at in places)
     if spans:
         yield _rows(dict(zip(("span_doc", "span_mark", "start", "stop"), zip(*spans, strict=True), strict=True)), len(spans))
@@ -244,7 +244,7 @@ def _run_batches(run: Run, bounds: list[bytes]) -> Iterator[pa.RecordBatch]:
         suffix, before, near, far, window = key
         places = run.entries[key]
         # windows are dealt by all their bytes, entries of anchors by their seed only: equal seeds must meet
-        bucket = 2 * bisect.bisect_right(bounds, suffix if window else suffix[:SEED]) + window
+        bucket = 2 * (xxhash.xxh64_intdigest(suffix if window else suffix[:SEED]) % parts) + window
         row = rows.setdefault(bucket, {n: [] for n in RUN_SCHEMA.names[1:9]})
         shared = shared_prefix(last.get(bucket, b""), suffix, 0)
         last[bucket] = suffix
@@ -255,7 +255,7 @@ def _run_batches(run: Run, bounds: list[bytes]) -> Iterator[pa.RecordBatch]:
         yield _rows({"bucket": [bucket]} | {n: [v] for n, v in row.items()}, 1)
 
 
-def _entry_batches(bounds: list[bytes]):
+def _entry_batches(parts: int):
     def run(batches):
         held = Run()
         for part in pieces(batches, "text"):
@@ -263,9 +263,9 @@ def _entry_batches(bounds: list[bytes]):
                 for packed in found:
                     held.add(text, doc, mark, packed)
                 if len(held.entries) >= RUN:
-                    yield from _run_batches(held, bounds)
+                    yield from _run_batches(held, parts)
                     held = Run()
-        yield from _run_batches(held, bounds)
+        yield from _run_batches(held, parts)
 
     return run
 
@@ -299,7 +299,7 @@ def repeated_windows(entries: list[tuple[bytes, bytes, int, int]], group: np.nda
     return out
 
 
-SPANS = pa.schema([("doc", pa.int64()), ("mark", pa.int32()), ("start", pa.int64()), ("stop", pa.int64())])
+SPANS = pa.schema([("doc", pa.int64()), ("mark", pa.int64()), ("start", pa.int64()), ("stop", pa.int64())])
 
 
 def _resolve(entries: list[tuple], places: list[tuple], group: np.ndarray, spans: list[tuple]) -> None:
@@ -311,8 +311,8 @@ def _resolve(entries: list[tuple], places: list[tuple], group: np.ndarray, spans
             spans.append((doc, mark, at - beyond + 1, at - first + LENGTH))
 
 
-def merge_range(rows: pa.Table) -> pa.Table:
-    """Spans of the repeated windows of one range, from its runs."""
+def merge_part(rows: pa.Table) -> pa.Table:
+    """Spans of the repeated windows of one part of the exchange, from its runs."""
     runs, details, places = [], [], []
     for row in rows.select(RUN_SCHEMA.names[1:9]).to_pylist():
         suffix, run = b"", []
@@ -353,15 +353,7 @@ def merge_range(rows: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*spans, strict=True) if spans else [[]] * 4, SPANS, strict=True)], schema=SPANS)
 
 
-def _sample_batches(batches):
-    for part in pieces(batches, "text", 1 << SLICE_BITS):
-        buffer, ends = _joined([t or b"" for t in part.column("text").to_pylist()])
-        place = anchors(buffer, ends)[0]
-        data = buffer.tobytes()
-        yield pa.RecordBatch.from_arrays([pa.array([data[p:p + SEED] for p in place.tolist()], pa.binary())], names=["seed"])
-
-
-def repeated_spans(docs: DataFrame, hot: int = HOT, per_range: int = RANGE) -> DataFrame:
+def repeated_spans(docs: DataFrame, hot: int = HOT, per_part: int = PART) -> DataFrame:
     """(doc, mark, start, stop): spans of bytes to remove, which may overlap, of rows (doc, mark, text).
 
     ``doc`` and ``mark`` together name a text; rows with equal ones must have equal texts.
@@ -369,26 +361,25 @@ def repeated_spans(docs: DataFrame, hot: int = HOT, per_range: int = RANGE) -> D
     spark = docs.sparkSession
     seeds = docs.select("text").mapInArrow(_anchor_batches(True), "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).where("n > 1")
     again = materialize(seeds.select("seed", (F.col("n") > hot).cast("int").alias("hot")), "seeds")
-    places = docs.mapInArrow(_anchor_batches(False), "seed long, doc long, mark int, at long")
+    places = docs.mapInArrow(_anchor_batches(False), "seed long, doc long, mark long, at long")
     found = places.join(again, "seed").groupBy("doc", "mark").agg(F.collect_set(F.col("at") + F.col("hot")).alias("found"))
     found = materialize(found, "anchors")
     total = found.agg(F.sum(F.size("found"))).first()[0] or 0
-    taken = sorted(r.seed for r in docs.select("text").limit(SAMPLE_DOCS).mapInArrow(_sample_batches, "seed binary").distinct().limit(50_000).collect())
-    ranges = min(len(taken), -(-total // per_range))
-    bounds = [bytes(taken[len(taken) * k // ranges]) for k in range(1, ranges)]
-    runs = materialize(docs.join(found, ["doc", "mark"]).mapInArrow(_entry_batches(bounds), RUN_DDL), "runs")
+    parts = max(1, -(-total // per_part))
+    runs = materialize(docs.join(found, ["doc", "mark"]).mapInArrow(_entry_batches(parts), RUN_DDL), "runs")
     certain = runs.where("bucket is null").select(F.col("span_doc").alias("doc"), F.col("span_mark").alias("mark"), "start", "stop")
-    merged = runs.where("bucket is not null").select(*RUN_SCHEMA.names[:9]).groupBy("bucket").applyInArrow(merge_range, "doc long, mark int, start long, stop long")
+    merged = runs.where("bucket is not null").select(*RUN_SCHEMA.names[:9]).groupBy("bucket").applyInArrow(merge_part, "doc long, mark long, start long, stop long")
     return certain.union(merged)
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str, *others: str) -> DataFrame:
-    """Rows (doc, mark, text): a null id gets a number of its own, the mark tells texts of a repeated id apart."""
+    """Rows (doc, mark, text): ``mark``, 64 bits of the text's hash, tells texts of a repeated id apart; for a null id ``doc`` is 64 further bits."""
+    text = F.coalesce(utf8(text_col), F.lit(b""))
     return docs.select(
         *others,
-        F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("doc"),
-        F.hash(F.coalesce(F.col(text_col), F.lit("")), F.lit(1)).alias("mark"),
-        F.coalesce(utf8(text_col), F.lit(b"")).alias("text"),
+        F.coalesce(F.col(id_col).cast("long"), F.xxhash64(F.lit("no id"), text)).alias("doc"),
+        F.xxhash64(text).alias("mark"),
+        text.alias("text"),
     )
 
 

@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from fieldloom.llm import suffix
 
@@ -52,7 +53,7 @@ def test_matches_brute_force(spark, monkeypatch):
     assert got(suffix.removals(df)) == want
     # every repeated seed hot: entries of single windows
     keys = suffix.keyed(df, "doc_id", "text").repartition(3)
-    for options in ({"hot": 1}, {"hot": 20, "per_range": 15}, {"per_range": 5}):
+    for options in ({"hot": 1}, {"hot": 20, "per_part": 15}, {"per_part": 5}):
         spans = {}
         for r in suffix.repeated_spans(keys, **options).collect():
             spans.setdefault(r.doc, set()).add((r.start, r.stop))
@@ -88,6 +89,36 @@ def test_repeated_ids_null_ids_and_no_rows(spark):
     assert suffix.removals(df.limit(0)).count() == 0
 
 
+def test_texts_without_an_id_whose_short_hashes_are_equal(spark):
+    """Two texts with one 32-bit hash: the one repeats a passage of a third, the other has nothing that repeats."""
+    passage = words(random.Random(3), 240)
+    own = F.concat(F.sha2(F.col("id").cast("string"), 512), F.sha2((F.col("id") + 1).cast("string"), 512))
+    text = F.concat(F.lpad(F.col("id").cast("string"), 7, "0"), F.when(F.col("id") % 2 == 0, F.lit(passage)).otherwise(own))
+    made = spark.range(300_000).select("id", text.alias("text")).withColumn("h", F.hash("text", F.lit(1)))
+    pair = made.groupBy("h").agg(F.max(F.when(F.col("id") % 2 == 0, F.col("text"))).alias("a"), F.max(F.when(F.col("id") % 2 == 1, F.col("text"))).alias("b")).where("a is not null and b is not null")
+    a, b = pair.select("a", "b").first()
+    for ids in ((None, None, 5), (7, 7, 7)):
+        rows = list(zip(ids, (a, b, "third " + passage), strict=True))
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        assert got(suffix.removals(df)) == brute([(i, t.encode()) for i, t in rows])
+
+
+def test_short_rows_first_do_not_decide_the_balance(spark):
+    """Every part of the exchange has its share of the entries whatever rows come first."""
+    rng = random.Random(6)
+    passages = [words(rng, 300) for _ in range(120)]
+    rows = ["short"] * 500 + [a + b for a, b in zip(passages, passages[1:] + passages[:1], strict=True)]
+    for order in (rows, rows[::-1]):
+        keys = suffix.keyed(spark.createDataFrame(list(enumerate(order)), "doc_id long, text string"), "doc_id", "text").collect()
+        run = suffix.Run()
+        for k in keys:
+            place, near, far, _ = suffix.anchors(np.frombuffer(bytes(k.text), np.uint8), np.array([len(k.text)]))
+            for p, x, y in zip(place.tolist(), near.tolist(), far.tolist(), strict=True):
+                run.add(bytes(k.text), k.doc, k.mark, p << 17 | x << 9 | y << 1)
+        sizes = [len(r["rest"][0]) for part in suffix._run_batches(run, 20) for r in [part.to_pydict()] if r["bucket"][0] is not None]
+        assert len(sizes) == 20 and max(sizes) <= 3 * sum(sizes) / len(sizes)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.lists(st.binary(max_size=9).map(lambda b: bytes(x % 3 for x in b)), max_size=12), min_size=1, max_size=9))
 def test_loser_tree_merges_runs(groups):
