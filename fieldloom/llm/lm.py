@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import math
 from collections import Counter, defaultdict
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -168,7 +167,7 @@ def _replied(replies: pa.Table, kind: int, bucket: np.ndarray, column: str = "n"
 
 
 def _grams(buckets: int, floor: float):
-    """A block's texts as places of n-grams, its n-grams, and the questions for their counts."""
+    """A block's texts as places of words, its n-grams, and the questions for their counts."""
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return GRAMS_ARROW.empty_table()
@@ -205,12 +204,10 @@ def _grams(buckets: int, floor: float):
         codes3, inverse3 = np.unique(pair[third - 1] * max(1, len(codes)) + pair[third], return_inverse=True)
         head, tail = codes3 // max(1, len(codes)), codes3 % max(1, len(codes))
         triple_count = np.bincount(inverse3, weights=learned[third], minlength=len(codes3)).astype(np.int64)
-        at = np.where(depth == 0, t, pair)
-        at[third] = inverse3
-        del t, depth, learned, second, third, pair, inverse, inverse3
+        del depth, learned, second, third, pair, inverse, inverse3
         texts = {
             "kind": pa.array(np.full(len(sizes), TEXT), pa.int32()), "block": pa.array(np.full(len(sizes), block), pa.int32()),
-            "at": _lists(at, np.append(0, ends), pa.int32()), "doc_id": docs.column("doc_id").combine_chunks(), "held_out": pa.array(held, pa.bool_()),
+            "at": _lists(t, np.append(0, ends), pa.int32()), "doc_id": docs.column("doc_id").combine_chunks(), "held_out": pa.array(held, pa.bool_()),
             "n_tokens": pa.array(sizes, pa.int64()), "n_known": pa.array(known, pa.int64()), "base_score": pa.array(base, pa.float64()),
         }
         u, v = number[first_of], number[last_of]
@@ -320,12 +317,51 @@ def _failure(seen: np.ndarray, count: np.ndarray, below: np.ndarray, whole) -> n
     return np.log10(rest) - np.log10(np.where(state, (whole - below) / np.maximum(1, whole), 1))
 
 
+class Automaton:
+    """States of a block: the root 0, then its words, then its pairs; every state but the root has a failure arc to the shorter history.
+
+    An n-gram that the model has is an arc: out of the state of its history, by its
+    last word, into the longest state that ends it. The root goes on with every word.
+    """
+
+    def __init__(self, part: Part, least: float, root: np.ndarray, down: np.ndarray, down2: np.ndarray):
+        self.words = len(root)
+        self.root = root.tolist()
+        self.falls = [0.0, *down.tolist(), *down2.tolist()]
+        self.shorter = [0, *[0] * self.words, *(1 + part.last).tolist()]
+        pairs, triples = np.flatnonzero(part.pairs >= least), np.flatnonzero(part.triples >= least)
+        first, head, tail = part.first[pairs], part.head[triples], part.tail[triples]
+        # arcs are found by state x words + word
+        keys = np.concatenate([(1 + first) * self.words + part.last[pairs], (1 + self.words + head) * self.words + part.last[tail]])
+        ahead = np.concatenate([1 + self.words + pairs, 1 + self.words + tail])
+        chances = np.concatenate([(part.pairs[pairs] - DISCOUNT) / part.words[first], (part.triples[triples] - DISCOUNT) / part.pairs[head]])
+        self.arcs = dict(zip(keys.tolist(), range(len(keys)), strict=True))
+        self.ahead, self.weights = ahead.tolist(), np.log10(chances).tolist()
+
+    def score(self, places: list[int]) -> float:
+        """One traversal from left to right: failure arcs until the state has an arc for the word, then this arc."""
+        words, arcs, state, out = self.words, self.arcs, 0, []
+        for word in places:
+            arc = arcs.get(state * words + word) if state else None
+            while state and arc is None:
+                out.append(self.falls[state])
+                state = self.shorter[state]
+                arc = arcs.get(state * words + word) if state else None
+            if arc is None:
+                out.append(self.root[word])
+                state = 1 + word
+            else:
+                out.append(self.weights[arc])
+                state = self.ahead[arc]
+        return math.fsum(out)
+
+
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 SCORED_ARROW = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
 
 def _score(buckets: int, least: float, n: int, distinct: int):
-    """Scores of a block's texts: the weights of the arcs they pass, failure arcs included."""
+    """Scores of a block's texts, each in one traversal of the block's automaton."""
     def run(grams: pa.Table, replies: pa.Table) -> pa.Table:
         part = Part(grams, replies, buckets)
         given = lambda kind, bucket: (_replied(replies, kind, bucket), _replied(replies, kind, bucket, "m"))
@@ -334,17 +370,13 @@ def _score(buckets: int, least: float, n: int, distinct: int):
         root = np.log10(part.words + 1) - math.log10(n + distinct + 1)
         down = _failure(seen, part.words, below, n + distinct + 1)
         down2 = _failure(seen2, part.pairs, below2, 2 * part.words[part.last])
-        arc = np.log10(np.maximum(part.pairs - DISCOUNT, DISCOUNT) / np.maximum(1, part.words[part.first]))
-        pair = np.where(part.pairs >= least, arc, down[part.first] + root[part.last])
-        arc = np.log10(np.maximum(part.triples - DISCOUNT, DISCOUNT) / np.maximum(1, part.pairs[part.head]))
-        triple = np.where(part.triples >= least, arc, down2[part.head] + pair[part.tail])
+        automaton = Automaton(part, least, root, down, down2)
         texts = _kind(grams, TEXT)
         scores = []
         for chunk in texts.column("at").chunks:
             bounds, at = chunk.offsets.to_numpy(), chunk.values.to_numpy(zero_copy_only=False)
             for start, stop in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                own = at[start:stop]
-                scores.append(math.fsum(chain(root[own[:1]], pair[own[1:2]], triple[own[2:]])))
+                scores.append(automaton.score(at[start:stop].tolist()))
         columns = {c: texts.column(c).combine_chunks() for c in ("doc_id", "held_out", "n_tokens", "n_known", "base_score")}
         return _filled(SCORED_ARROW, texts.num_rows, columns | {"train_tokens": pa.array(np.full(texts.num_rows, n), pa.int64()), "score": pa.array(scores, pa.float64())})
 

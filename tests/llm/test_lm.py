@@ -104,3 +104,25 @@ def test_repeated_null_ids_and_nothing(spark):
     assert lm.score(df.limit(0), F.lit(False)).count() == 0
     alone = lm.score(df, F.lit(True)).collect()
     assert {r.n_known for r in alone} == {0} and all(r.base_score == r.score == 0 for r in alone)
+
+
+class Hand:
+    """Words a b c (places 0 to 2); pairs ab, bc, ca; of the triples abc alone is learned."""
+
+    words, pairs, triples = np.array([4, 4, 2]), np.array([3, 2, 0]), np.array([2, 0])
+    first, last = np.array([0, 1, 2]), np.array([1, 2, 0])
+    head, tail = np.array([0, 1]), np.array([1, 2])
+
+
+def test_a_traversal_takes_failure_arcs_until_a_state_goes_on():
+    root, down, down2 = np.array([-1.0, -2.0, -3.0]), np.array([-10.0, -20.0, 0.0]), np.array([-100.0, 0.0, 0.0])
+    automaton = lm.Automaton(Hand, 1.0, root, down, down2)
+    ab, bc, abc = math.log10(2.5 / 4), math.log10(1.5 / 4), math.log10(1.5 / 3)
+    assert automaton.score([0]) == -1 and automaton.score([]) == 0
+    assert automaton.score([0, 1, 2]) == pytest.approx(-1 + ab + abc)
+    assert automaton.score([1, 2]) == pytest.approx(-2 + bc)
+    # after ab no a: to the state of b, then to the root; from there a has an arc for b
+    assert automaton.score([0, 1, 0, 1]) == pytest.approx(-1 + ab - 100 - 20 - 1 + ab)
+    # ca was never learned: c is no state, its failure arc is free
+    assert automaton.score([0, 1, 2, 0]) == pytest.approx(-1 + ab + abc - 1)
+    assert sorted(automaton.arcs) == sorted([1 * 3 + 1, 2 * 3 + 2, 4 * 3 + 2])
