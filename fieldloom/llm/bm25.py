@@ -209,7 +209,7 @@ def _frequencies(blob):
     return run
 
 
-FOUND = "query_id long, doc_id long, score double"
+FOUND = "query long, doc_id long, score double"
 
 
 def _search(blob, queries, average: float, k: int):
@@ -221,7 +221,7 @@ def _search(blob, queries, average: float, k: int):
             found = [shard.search(numbers[a:b], weights[a:b], k) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
             docs, scores = (np.concatenate(c) for c in zip(*found, strict=True))
             owners = np.repeat(ids, [len(d) for d, _ in found])
-            yield pa.RecordBatch.from_arrays([pa.array(owners), pa.array(docs, mask=docs == NO_ID), pa.array(scores)], names=["query_id", "doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([pa.array(owners), pa.array(docs, mask=docs == NO_ID), pa.array(scores)], names=["query", "doc_id", "score"])
 
     return run
 
@@ -230,21 +230,21 @@ def top_k(docs: DataFrame, is_query: Column, k: int = TOP, id_col: str = "doc_id
     """(query_id, rank, doc_id, score): for each row with ``is_query`` the best ``k`` of all rows.
 
     Whole texts are queries; a term counts as often as the query has it. Ties go to the
-    smaller id, null ids last. A query without terms, or with a null id, has no rows; a
-    repeated query id counts once, with one of its texts. Scores are rounded to six digits.
+    smaller id, null ids last. A query without terms, or with a null id, has no rows; each
+    row of a repeated query id is a query with results of its own. Scores are rounded to six digits.
     """
     spark = docs.sparkSession
     index = build_index(docs, id_col, text_col, shard_bytes)
     sums = index.agg(F.sum("n").alias("n"), F.sum("words").alias("words")).first()
     n, average = sums.n or 0, max(1e-9, (sums.words or 0) / max(1, sums.n or 0))
     chosen = docs.where(is_query & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("query_id"), utf8(text_col).alias("text"))
-    chosen = chosen.groupBy("query_id").agg(F.max("text").alias("text"))
+    chosen = chosen.withColumn("query", F.monotonically_increasing_id())
     size = chosen.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = -(-size // query_bytes)
-    stored = materialize(chosen.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(max(1, blocks)))), "queries")
+    stored = materialize(chosen.withColumn("block", F.pmod(F.xxhash64("query"), F.lit(max(1, blocks)))), "queries")
     best = spark.createDataFrame([], FOUND)
     for block in range(blocks):
-        rows = [(r.query_id, Counter(terms(r.text))) for r in stored.where(F.col("block") == block).orderBy("query_id").collect()]     # about query_bytes of text
+        rows = [(r.query, Counter(terms(r.text))) for r in stored.where(F.col("block") == block).orderBy("query").collect()]     # about query_bytes of text
         if not any(q for _, q in rows):
             continue
         names = sorted({w for _, q in rows for w in q})
@@ -259,8 +259,9 @@ def top_k(docs: DataFrame, is_query: Column, k: int = TOP, id_col: str = "doc_id
         packed = np.array([i for i, _ in rows]), np.cumsum([0, *map(len, terms_of)]), np.concatenate(terms_of), np.concatenate([c * idf[t] for c, t in zip(times, terms_of, strict=True)])
         queries = spark.sparkContext.broadcast(packed)
         best = best.union(materialize(index.drop("n", "words").mapInArrow(_search(blob, queries, average, k), FOUND), "shard-best"))
-    order = W.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
-    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", F.round("score", 6).alias("score"))
+    order = W.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
+    ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.join(stored.select("query", "query_id"), "query").select("query_id", "rank", "doc_id", F.round("score", 6).alias("score"))
 
 
 def op4_bm25_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

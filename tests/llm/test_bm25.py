@@ -53,5 +53,14 @@ def test_pruned_search_over_shards_and_query_blocks(spark, monkeypatch):
 def test_odd_rows(spark):
     df = spark.createDataFrame([(0, "a b"), (0, "a b"), (None, "a b"), (1, "A"), (2, None), (100, None)], "doc_id long, text string")
     rows = bm25.top_k(df, F.col("doc_id") % 100 == 0).orderBy("rank").collect()
-    assert [(r.query_id, r.doc_id) for r in rows] == [(0, 0), (0, 0), (0, None), (0, 1)]
+    assert [(r.query_id, r.doc_id) for r in rows] == [(0, 0)] * 4 + [(0, None)] * 2 + [(0, 1)] * 2
     assert bm25.top_k(df.limit(0), F.col("doc_id") % 100 == 0).count() == 0
+
+
+def test_each_row_of_a_repeated_query_id_is_answered(spark):
+    texts = [(100, "alpha beta"), (100, "gamma delta"), (1, "alpha"), (2, "delta gamma"), (3, "beta alpha"), (None, "gamma")]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    rows = bm25.top_k(df, F.col("doc_id") % 100 == 0, query_bytes=5).collect()
+    assert {r.query_id for r in rows} == {100}
+    assert sorted((r.doc_id for r in rows), key=str) == sorted([100, 1, 3, 100, 2, None], key=str)
+    assert sorted(r.rank for r in rows) == [1, 1, 2, 2, 3, 3]
