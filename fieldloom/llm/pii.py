@@ -86,6 +86,7 @@ def base_spans(text: str) -> list[Span]:
 ATOM = re.compile(r"[^\W\d_]+|[0-9]+|.", re.S)
 NUMBERS = re.compile(r"[0-9](?:[\x20().+-]{0,2}[0-9]){6,}")
 SPELT = re.compile(r"@|[(\[] ?at ?[)\]]", re.I)
+HOST = re.compile(r" ?[A-Za-z0-9._%+-]*(?: ?[(\[] ?dot ?[)\]] ?[A-Za-z0-9-]+)*", re.I)
 CARD_FORM = re.compile(r"[0-9](?:[\x20.-]?[0-9]){12,18}")
 PHONE_FORM = re.compile(r"\+?\(?[0-9](?:[\x20().-]{0,2}[0-9]){7,14}")
 IP_FORM = re.compile(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}")
@@ -94,17 +95,23 @@ CUES = {"email": {"mail", "email", "contact"}, "ip": {"ip", "host", "address", "
 
 
 def windows(text: str) -> list[tuple[int, int]]:
-    """Stretches around digits and at-signs, from blank to blank where one is near."""
-    hits = [m.span() for m in NUMBERS.finditer(text)]
+    """Stretches around digits and at-signs: ``CONTEXT`` characters on both sides, and around an at-sign the whole name and host, however long."""
+    hits = [(*m.span(), False) for m in NUMBERS.finditer(text)]
     if "@" in text or "(" in text or "[" in text:
-        hits += [m.span() for m in SPELT.finditer(text)]
+        hits += [(*m.span(), True) for m in SPELT.finditer(text)]
     out: list[tuple[int, int]] = []
-    for start, end in sorted(hits):
-        start, end = max(0, start - CONTEXT), min(len(text), end + CONTEXT)
-        if out and start <= out[-1][1]:
-            out[-1] = (out[-1][0], max(end, out[-1][1]))
-        else:
-            out.append((start, end))
+    for start, end, spelt in sorted(hits):
+        low, high = start - CONTEXT, end + CONTEXT
+        if spelt:
+            name = start - (start > 0 and text[start - 1] == " ")
+            while name > 0 and text[name - 1] in LOCAL:
+                name -= 1
+            low, high = min(low, name), max(high, HOST.match(text, end).end())
+        low, high = max(0, low), min(len(text), high)
+        while out and low <= out[-1][1]:
+            before = out.pop()
+            low, high = min(low, before[0]), max(high, before[1])
+        out.append((low, high))
     return out
 
 

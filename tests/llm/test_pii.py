@@ -1,8 +1,10 @@
 import hashlib
 import re
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from fieldloom.llm import pii
 
@@ -99,3 +101,31 @@ def test_addresses_in_long_runs_of_digits():
     start = time.perf_counter()
     assert pii.base_spans("7" * 1_000_000 + " 10.0.0.1") == [(1_000_001, 1_000_009, "ip")]
     assert pii.base_spans("1." * 300_000) and time.perf_counter() - start < 20
+
+
+def test_a_window_holds_the_whole_address():
+    name, host = "first.last" * 6, "h" * 40
+    for address in (f"{name} (at) {host} (dot) example (dot) org", f"{name}@{host}.example", f"a [at] {host}[dot]{host}[dot]com"):
+        text = "x" * 50 + " write to " + address + " or wait " + "y" * 50
+        at = text.index(address)
+        assert any(start <= at and at + len(address) <= end for start, end in pii.windows(text))
+    # windows are apart, in order and inside the text
+    text = f"(at) {host} {'z ' * 90}+1 555 010 9999 {'q ' * 70}{name}{name} (at) b (dot) c {name}@"
+    found = pii.windows(text)
+    assert found == sorted(found) and len(found) == 3 and found[0][0] == 0 and found[-1][1] == len(text)
+    assert all(a[1] < b[0] for a, b in zip(found, found[1:]))
+
+
+def test_long_runs_of_address_characters_cost_their_length():
+    began = time.monotonic()
+    assert len(pii.windows(("a" * 50 + "@") * 20_000)) == 1
+    assert pii.windows("b" * 1_000_000 + "@") == [(0, 1_000_001)]
+    assert time.monotonic() - began < 20
+
+
+def test_masks_an_address_with_a_long_host(spark, root):
+    address = "jane.doe (at) " + "h" * 40 + " (dot) example (dot) org"
+    df = spark.read.parquet(f"{root.replace('sf0.001', 'sf0.01')}/documents.parquet")
+    row = df.limit(1).withColumn("doc_id", F.lit(10**12)).withColumn("text", F.lit(f"please mail {address} today"))
+    kept = pii.mask_stage(spark, df.unionByName(row.select(df.columns)), root).where("doc_id = 1000000000000").first().text
+    assert kept == "please mail <email> today"
