@@ -87,6 +87,7 @@ ATOM = re.compile(r"[^\W\d_]+|[0-9]+|.", re.S)
 NUMBERS = re.compile(r"[0-9](?:[\x20().+-]{0,2}[0-9]){6,}")
 SPELT = re.compile(r"@|[(\[] ?at ?[)\]]", re.I)
 HOST = re.compile(r" ?[A-Za-z0-9._%+-]*(?: ?[(\[] ?dot ?[)\]] ?[A-Za-z0-9-]+)*", re.I)
+MORE_HOST = re.compile(r"(?:\.| ?[(\[] ?dot ?[)\]] ?)[A-Za-z0-9-]", re.I)
 CARD_FORM = re.compile(r"[0-9](?:[\x20.-]?[0-9]){12,18}")
 PHONE_FORM = re.compile(r"\+?\(?[0-9](?:[\x20().-]{0,2}[0-9]){7,14}")
 IP_FORM = re.compile(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}")
@@ -170,6 +171,8 @@ def features(text: str, start: int, end: int, kind: str) -> list[str]:
     else:
         out.append("at-sign" if "@" in span else "spelt")
         out.append("domain word" if re.search(r"[A-Za-z]{2,}$", span) else "odd domain")
+        if MORE_HOST.match(text, end):
+            out.append("host goes on")
     return [f"{kind} {name}" for name in out]
 
 
@@ -252,6 +255,7 @@ def rewritten(text: str, gold: list[Span]) -> list[tuple[str, list[Span]]]:
     elif kind == "email":
         name, host = span.split("@")
         others = [f"{name} {at} {host.replace('.', dot)}" for at, dot in (("(at)", "."), ("[at]", " [dot] "), ("(at)", " (dot) "))]
+        others += [f"{name} (at) mail (dot) {host.replace('.', ' (dot) ')}", f"{name} [at] mail.{host}"]
     return [(text[:start] + o + text[end:], [(start, start + len(o), kind)]) for o in others] + [(text[:start] + o + text[end:], []) for o in decoys]
 
 
