@@ -21,3 +21,14 @@ def test_labels_join_only_rows_that_show_them(spark):
         (0, "RELATION", None, "references C1"), (1, "VARCHAR", '["a","b"]', "enumeration C1"), (2, "VARCHAR", None, "enumeration C3"),
         (3, "VARCHAR", None, None), (4, "RELATION", None, "references C9"), (5, "RELATION", None, None), (6, "RELATION", None, None),
         (7, "VARCHAR", '["c"]', "enumeration C2"), (7, "VARCHAR", '["c"]', "enumeration C2")]
+
+
+def test_rounds_of_the_closure_send_no_table_to_the_driver(spark, monkeypatch):
+    from fieldloom.operators import graph
+
+    plans, write = [], graph.materialize
+    monkeypatch.setattr(graph, "materialize", lambda df, label: (plans.append(df._jdf.queryExecution().executedPlan().toString()), write(df, label))[1])
+    edges = spark.createDataFrame([(1, None), (2, 1), (3, 2), (4, 3), (5, 3), (5, 1), (6, 9)], "node bigint, parent bigint")
+    got = graph.transitive_closure(edges, "node", "parent")
+    assert plans and not [p for p in plans if "Broadcast" in p]
+    assert sorted(map(tuple, got.collect())) == [(1, 1), (2, 1), (2, 2), (3, 1), (3, 2), (3, 3), (4, 1), (4, 2), (4, 3), (4, 4), (5, 1), (5, 2), (5, 3), (5, 5), (6, 6)]
