@@ -6,16 +6,20 @@ its terms are summed over all shards first; then each shard is searched with the
 global statistics and gives its best ``k`` per query, and the best of all shards
 are merged: the result is that of one index over everything.
 
-Within a shard, blocks of consecutive documents have an upper bound per query: the
-sum over its terms of the largest score the term reaches in the block. Blocks are
+Within a shard, terms that many documents have are kept as a matrix, and many queries
+at once are multiplied with it: these parts of the scores are known of all documents.
+Blocks of consecutive documents then have an upper bound per query: the largest such
+part in the block, and for each other term the largest score it reaches there. Blocks are
 searched in the order of their bounds until the k-th best score so far exceeds
-every bound that is left. Sums run in the order of the terms everywhere, so bounds
-hold in floating point and equal documents have equal scores.
+every bound that is left; a task goes from shard to shard with the k best of all before.
+Documents within the rounding of the products are scored once more, in the order
+of the terms, so results do not depend on it and equal documents have equal scores.
 """
 
 from __future__ import annotations
 
 from collections import Counter
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -33,6 +37,8 @@ K1, B, TOP = 1.2, 0.75, 10
 SHARD_BYTES, BLOCK, QUERY_BYTES = 24 << 20, 64, 6 << 20
 #: Blocks searched before the first look at the bounds.
 FIRST_BLOCKS = 8
+#: A term that more than one of so many documents has is a row of the matrix; queries multiplied at once.
+COMMON, AT_ONCE = 16, 128
 #: Stands for a null id inside a shard; sorts last.
 NO_ID = (1 << 63) - 1
 
@@ -95,75 +101,117 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 class Shard:
-    """A shard ready to be searched: postings by term, and their largest impact in each block of documents."""
+    """A shard ready to be searched: the matrix of its common terms, postings of all, and the largest impact of the others in each block of documents."""
 
     def __init__(self, row: dict[str, bytes], average: float, wanted: dict[bytes, int]):
         self.ids = np.frombuffer(row["ids"], np.int64)
-        lengths, df, docs, counts = (np.frombuffer(row[c], np.int32) for c in ("lengths", "df", "docs", "counts"))
-        stop = np.cumsum(df)
+        lengths, df, self.docs, counts = (np.frombuffer(row[c], np.int32) for c in ("lengths", "df", "docs", "counts"))
         #: by term number the term's place here, or -1
         self.place = np.full(len(wanted) + 1, -1, np.int32)
-        for k, word in enumerate(names_of(row)):
-            self.place[wanted.get(word, -1)] = k
+        self.place[[wanted.get(word, -1) for word in names_of(row)]] = np.arange(len(df))
         self.place[-1] = -1
         norm = K1 * (1 - B + B * lengths / average)
-        impact = counts * (K1 + 1) / (counts + norm[docs])
-        owner = np.repeat(np.arange(len(df)), df)
-        block = docs // BLOCK
-        first = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (block[1:] != block[:-1])])) if len(docs) else np.zeros(0, np.int64)
-        self.docs, self.impact = docs.astype(np.int64), impact
-        self.first_posting = [0, *stop.tolist()]
-        self.block, self.start = block[first], first
-        self.stop = np.append(first[1:], len(docs))
-        self.most = np.maximum.reduceat(impact, first) if len(first) else np.zeros(0)
-        self.from_entry = np.searchsorted(first, stop - df)          # entries (term, block) of a term
-        self.to_entry = np.searchsorted(first, stop)
+        self.impact = norm[self.docs]
+        self.impact += counts
+        np.divide(counts * (K1 + 1), self.impact, out=self.impact)
+        self.owner = np.repeat(np.arange(len(df), dtype=np.int32), df)
+        #: by place the row of the matrix, or -1
+        self.common = np.full(len(df), -1, np.int32)
+        asked = np.zeros(len(df), bool)
+        asked[self.place[self.place >= 0]] = True
+        often = np.flatnonzero(asked & (df * COMMON > len(self.ids)))
+        self.common[often] = np.arange(len(often))
+        mine = self.common[self.owner]
+        dense = mine >= 0
+        self.matrix = np.zeros((len(often), len(self.ids)), np.float32)
+        self.matrix[mine[dense], self.docs[dense]] = self.impact[dense]
+        #: share of a score by which a product in single precision can be off
+        self.slack = (len(often) + 8) * 2.0 ** -23
         self.blocks = -(-len(self.ids) // BLOCK)
-
-    def search(self, numbers: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the ``k`` best, by score and then id, among documents with a term of the query (term numbers in order, weights)."""
-        places = self.place[numbers]
-        here = places >= 0
-        places, weights = places[here], weights[here]
+        self.edges = np.arange(0, len(self.ids), BLOCK)
+        # entries (term, block) of the other terms
+        rare = np.flatnonzero(asked[self.owner] & ~dense)
+        owner, block = self.owner[rare], self.docs[rare] // BLOCK
+        first = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (block[1:] != block[:-1])])) if len(rare) else np.zeros(0, np.int64)
+        self.block, self.start = block[first], rare[first]
+        self.stop = np.append(rare[first[1:] - 1], rare[-1:]) + 1
+        self.most = np.maximum.reduceat(self.impact[rare], first) if len(first) else np.zeros(0)
+        places = np.arange(len(df))
+        self.from_entry, self.to_entry = (np.searchsorted(owner[first], places, side=side) for side in ("left", "right"))
+
+    def best(self, bounds: np.ndarray, numbers: np.ndarray, weights: np.ndarray, k: int, least: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query (bounds of term numbers in order and weights) ids and scores of documents with a term of it: all that may be among the ``k`` best and reach ``least``."""
+        asked = []
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            places = self.place[numbers[a:b]]
+            asked.append((places[places >= 0], weights[a:b][places >= 0]))
+        found = []
+        for start in range(0, len(asked), AT_ONCE):
+            now = asked[start:start + AT_ONCE]
+            common = np.zeros((len(now), len(self.matrix)), np.float32)
+            for line, (places, w) in zip(common, now, strict=True):
+                rows = self.common[places]
+                line[rows[rows >= 0]] = w[rows >= 0]
+            parts = common @ self.matrix
+            found += [self.search(places, w, part, k, bar) for (places, w), part, bar in zip(now, parts, least[start:start + AT_ONCE].tolist(), strict=True)]
+        return self.exact(asked, found)
+
+    def search(self, places: np.ndarray, weights: np.ndarray, part: np.ndarray, k: int, least: float) -> np.ndarray:
+        """Documents that may be among the ``k`` best with at least ``least``, from their scores by the common terms."""
         if not len(places):
-            return np.zeros(0, np.int64), np.zeros(0)
+            return np.zeros(0, np.int64)
+        rare = self.common[places] < 0
+        places, weights = places[rare], weights[rare]
         entries = spread(self.from_entry[places], self.to_entry[places])
         weight = np.repeat(weights, self.to_entry[places] - self.from_entry[places])
         block = self.block[entries]
-        bound = np.bincount(block, weights=weight * self.most[entries], minlength=self.blocks)
-        order = np.argsort(-bound, kind="stable")
-        scores = np.zeros(len(self.ids))
-        done, step, least = 0, FIRST_BLOCKS, -1.0
-        while done < self.blocks and bound[order[done]] >= least and bound[order[done]] > 0:
+        scores = part.astype(float)
+        up = 1 + self.slack
+        bound = (np.bincount(block, weights=weight * self.most[entries], minlength=self.blocks) + np.maximum.reduceat(scores, self.edges)) * up
+        seen = np.zeros(self.blocks, bool)
+        wave = np.argpartition(-bound, FIRST_BLOCKS)[:FIRST_BLOCKS] if self.blocks > FIRST_BLOCKS else np.arange(self.blocks)
+        while True:
+            # first the blocks of the highest bounds; then, with the k-th best of them, all that reach it
+            wave = wave[(bound[wave] >= least) & (bound[wave] > 0)]
             chosen = np.zeros(self.blocks, bool)
-            now = order[done:done + step]
-            chosen[now[bound[now] >= least]] = True
-            mine = chosen[block]
-            postings = spread(self.start[entries[mine]], self.stop[entries[mine]])
-            lengths = self.stop[entries[mine]] - self.start[entries[mine]]
-            scores += np.bincount(self.docs[postings], weights=np.repeat(weight[mine], lengths) * self.impact[postings], minlength=len(scores))
-            done += step
-            step *= 2
-            if len(scores) >= k:
-                least = np.partition(scores, len(scores) - k)[len(scores) - k]
-            left = order[done:]
-            if 2 * (bound[left] >= least).sum() > self.blocks:
-                # most blocks stay in play: whole posting lists cost less than picking their blocks
-                scores = self.all_scores(places, weights)
+            chosen[wave] = True
+            seen |= chosen
+            mine = np.flatnonzero(chosen[block])
+            start, stop = self.start[entries[mine]], self.stop[entries[mine]]
+            postings = spread(start, stop)
+            scores += np.bincount(self.docs[postings], weights=np.repeat(weight[mine], stop - start) * self.impact[postings], minlength=len(scores))
+            ready = scores[np.repeat(seen, BLOCK)[:len(scores)]]
+            if len(ready) >= k:
+                least = max(least, np.partition(ready, len(ready) - k)[len(ready) - k] / up / up)
+            wave = np.flatnonzero(~seen & (bound >= least) & (bound > 0))
+            if not len(wave):
                 break
-        some = np.flatnonzero((scores >= max(least, 0)) & (scores > 0))
-        best = some[np.lexsort((self.ids[some], -scores[some]))[:k]]
-        return self.ids[best], scores[best]
-
-
-    def all_scores(self, places: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """Scores of all documents; sums run in the order of the terms, as everywhere."""
-        scores = np.zeros(len(self.ids))
-        docs, impact = self.docs, self.impact
-        for p, w in zip(places.tolist(), weights.tolist(), strict=True):
-            a, b = self.first_posting[p], self.first_posting[p + 1]
-            scores[docs[a:b]] += w * impact[a:b]
-        return scores
+        return np.flatnonzero(np.repeat(seen, BLOCK)[:len(scores)] & (scores * up >= least) & (scores > 0))
+
+    def exact(self, asked: list[tuple[np.ndarray, np.ndarray]], found: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids and scores of the documents found for each query; sums run in the order of the terms, everywhere."""
+        shown = np.zeros(len(self.ids), bool)
+        for docs in found:
+            shown[docs] = True
+        some = np.flatnonzero(shown[self.docs])
+        some = some[np.argsort(self.docs[some], kind="stable")]
+        owner, impact = self.owner[some], self.impact[some]
+        stop = np.cumsum(np.bincount(self.docs[some], minlength=len(self.ids)))
+        start = np.append(0, stop[:-1])
+        weight = np.zeros(len(self.common))
+        out = []
+        for (places, weights), docs in zip(asked, found, strict=True):
+            if not len(docs):
+                out.append((np.zeros(0, np.int64), np.zeros(0)))
+                continue
+            weight[places] = weights
+            at = spread(start[docs], stop[docs])
+            sizes = stop[docs] - start[docs]
+            # one after the other: terms that the query does not have change nothing
+            scores = np.bincount(np.repeat(np.arange(len(docs)), sizes), weights=weight[owner[at]] * impact[at], minlength=len(docs))
+            weight[places] = 0
+            out.append((self.ids[docs], scores))
+        return out
 
 
 def spread(start: np.ndarray, stop: np.ndarray) -> np.ndarray:
@@ -177,14 +225,15 @@ def spread(start: np.ndarray, stop: np.ndarray) -> np.ndarray:
 
 
 def names_of(row: dict[str, bytes]) -> list[bytes]:
-    return row["terms"].split(b"\n") if row["terms"] else []
+    text = bytes(row["terms"])
+    return text.split(b"\n") if text else []
 
 
 def _rows(batches):
     """The shards of the batches, one by one."""
     for batch in batches:
         for k in range(batch.num_rows):
-            yield {n: batch.column(n)[k].as_py() for n in batch.schema.names}
+            yield {n: batch.column(n)[k].as_buffer() for n in batch.schema.names}
 
 
 @lru_cache(maxsize=1)
@@ -209,19 +258,39 @@ def _frequencies(blob):
     return run
 
 
+@contextmanager
+def _one_by_one(spark: SparkSession):
+    """Shards go to Python one at a time: a batch of all shards of a task would not be bounded."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, 1)
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 FOUND = "query long, doc_id long, score double"
 
 
 def _search(blob, queries, average: float, k: int):
-    """``queries``: broadcast ids, bounds, term numbers and weights of a block of queries."""
+    """The ``k`` best of all shards of a task; ``queries``: broadcast ids, bounds, term numbers and weights of a block of queries."""
     def run(batches):
         ids, bounds, numbers, weights = queries.value
+        best = [(np.zeros(0, np.int64), np.zeros(0))] * len(ids)
+        least = np.zeros(len(ids))
         for row in _rows(batches):
-            shard = Shard(row, average, _numbers(blob.value))
-            found = [shard.search(numbers[a:b], weights[a:b], k) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-            docs, scores = (np.concatenate(c) for c in zip(*found, strict=True))
-            owners = np.repeat(ids, [len(d) for d, _ in found])
-            yield pa.RecordBatch.from_arrays([pa.array(owners), pa.array(docs, mask=docs == NO_ID), pa.array(scores)], names=["query", "doc_id", "score"])
+            found = Shard(row, average, _numbers(blob.value)).best(bounds, numbers, weights, k, least)
+            for q, (docs, scores) in enumerate(found):
+                if len(docs):
+                    docs, scores = np.concatenate([best[q][0], docs]), np.concatenate([best[q][1], scores])
+                    order = np.lexsort((docs, -scores))[:k]
+                    best[q] = docs[order], scores[order]
+                    if len(order) == k:
+                        least[q] = best[q][1][-1]
+        docs, scores = (np.concatenate(c) for c in zip(*best, strict=True))
+        owners = np.repeat(ids, [len(d) for d, _ in best])
+        yield pa.RecordBatch.from_arrays([pa.array(owners), pa.array(docs, mask=docs == NO_ID), pa.array(scores)], names=["query", "doc_id", "score"])
 
     return run
 
@@ -242,6 +311,8 @@ def top_k(docs: DataFrame, is_query: Column, k: int = TOP, id_col: str = "doc_id
     size = chosen.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = -(-size // query_bytes)
     stored = materialize(chosen.withColumn("block", F.pmod(F.xxhash64("query"), F.lit(max(1, blocks)))), "queries")
+    # tasks merge the results of their shards: rows grow with the queries, not with queries x shards
+    shards = index.drop("n", "words").coalesce(2 * max(1, spark.sparkContext.defaultParallelism))
     best = spark.createDataFrame([], FOUND)
     for block in range(blocks):
         rows = [(r.query, Counter(terms(r.text))) for r in stored.where(F.col("block") == block).orderBy("query").collect()]     # about query_bytes of text
@@ -258,7 +329,8 @@ def top_k(docs: DataFrame, is_query: Column, k: int = TOP, id_col: str = "doc_id
         times = [np.array([q[names[t]] for t in mine.tolist()], float) for mine, (_, q) in zip(terms_of, rows, strict=True)]
         packed = np.array([i for i, _ in rows]), np.cumsum([0, *map(len, terms_of)]), np.concatenate(terms_of), np.concatenate([c * idf[t] for c, t in zip(times, terms_of, strict=True)])
         queries = spark.sparkContext.broadcast(packed)
-        best = best.union(materialize(index.drop("n", "words").mapInArrow(_search(blob, queries, average, k), FOUND), "shard-best"))
+        with _one_by_one(spark):
+            best = best.union(materialize(shards.mapInArrow(_search(blob, queries, average, k), FOUND), "shard-best"))
     order = W.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.join(stored.select("query", "query_id"), "query").select("query_id", "rank", "doc_id", F.round("score", 6).alias("score"))

@@ -64,3 +64,23 @@ def test_each_row_of_a_repeated_query_id_is_answered(spark):
     assert {r.query_id for r in rows} == {100}
     assert sorted((r.doc_id for r in rows), key=str) == sorted([100, 1, 3, 100, 2, None], key=str)
     assert sorted(r.rank for r in rows) == [1, 1, 2, 2, 3, 3]
+
+
+def test_rows_of_a_search_grow_with_queries_not_with_shards(spark, monkeypatch):
+    """A task merges its shards, so more shards make no more rows; all are searched, null ids and ties included."""
+    made, write = {}, bm25.materialize
+    monkeypatch.setattr(bm25, "materialize", lambda df, label: made.setdefault(label, write(df, label)))
+    rng = np.random.default_rng(2)
+    rows = [(i, " ".join(f"w{int(x) % 40}" for x in rng.zipf(1.4, rng.integers(5, 40)))) for i in range(400)]
+    rows += [(None, rows[0][1]), (1000, rows[0][1] + " only")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(16)
+    monkeypatch.setattr(type(spark.sparkContext), "defaultParallelism", property(lambda _: 1))
+    got = bm25.top_k(df, F.col("doc_id") % 100 == 0, k=5, shard_bytes=1500).collect()
+    assert made["index"].count() > 8
+    queries = sum(i is not None and i % 100 == 0 for i, _ in rows)
+    assert made["shard-best"].count() <= 2 * 5 * queries
+    want = brute([(10**9 if i is None else i, t) for i, t in rows], lambda i: i % 100 == 0 and i < 10**9, 5)
+    for q, found in want.items():
+        mine = sorted((r.rank, r.doc_id, r.score) for r in got if r.query_id == q)
+        assert [10**9 if i is None else i for _, i, _ in mine] == [i for i, _ in found]
+        assert [s for *_, s in mine] == pytest.approx([s for _, s in found], abs=2e-6)
