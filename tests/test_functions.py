@@ -166,3 +166,15 @@ def test_a_name_with_two_texts_counts_once(spark):
     rows = spark.createDataFrame([("C", "a", "b"), ("C", "c", None)], "category string, name string, description string")
     assert sorted((r["name"], r["description"]) for r in override_descriptions(rows, curated).collect()) == [("a", "b"), ("c", None)]
     assert [(r["items"], r["curated"]) for r in coverage(rows, curated).filter("category = 'C'").collect()] == [(2, 1)]
+
+
+def test_names_with_nothing_to_trim_take_no_trimming(spark):
+    """Both ways give one result; a plain name meets two patterns and a test instead of five patterns."""
+    names = ["Order12.partKey5", "GTINCode", "a.B.cD", ".aB", "aB.", "..", "", "ABc.DEf", "x9Y.z", "Ship-To Name", "_a.B_", "a_B.c", " a . B ", "éA.bÉ", None]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    got = {r.n: r.x for r in df.select("n", N.snake_dotted(F.col("n")).alias("x")).collect()}
+    same = {r.n: r.x for r in df.select("n", F.substring(N.snake_dotted(F.concat(F.col("n"), F.lit(". "))), 1, 99).alias("x")).collect()}
+    assert {n: x if x is None else x + "." for n, x in got.items()} == same
+    assert got["Order12.partKey5"] == "order12.part_key5" and got["ABc.DEf"] == "a_bc.d_ef" and got["Ship-To Name"] == "ship_to_name"
+    whole = df.select(N.snake_dotted(F.col("n")))._jdf.queryExecution().optimizedPlan().toString()
+    assert whole.startswith("Project [CASE WHEN RLIKE(")
