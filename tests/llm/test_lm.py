@@ -2,12 +2,15 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from fieldloom.llm import lm
+from fieldloom.storage import shared_root
 
 END = "<end>"
 
@@ -126,3 +129,57 @@ def test_a_traversal_takes_failure_arcs_until_a_state_goes_on():
     # ca was never learned: c is no state, its failure arc is free
     assert automaton.score([0, 1, 2, 0]) == pytest.approx(-1 + ab + abc - 1)
     assert sorted(automaton.arcs) == sorted([1 * 3 + 1, 2 * 3 + 2, 4 * 3 + 2])
+
+
+def test_numbers_and_sorted_rows_travel_whole():
+    rng = np.random.default_rng(5)
+    for x in ([], [0], [0, 0], [255, 256], [2**40, 1, 0], rng.integers(0, 2**62, 100)):
+        assert lm.unpack(lm.pack(np.array(x, np.int64))).tolist() == list(x)
+    for size in (0, 1, 500):
+        rows = sorted(map(tuple, rng.integers(0, 6, (size, 3)).tolist()))
+        columns = [np.array([r[k] for r in rows], np.int64) for k in range(3)]
+        steps = lm.steps(columns)
+        assert all((s >= 0).all() for s in steps) and [x.tolist() for x in lm.sorted_rows(steps)] == [x.tolist() for x in columns]
+
+
+def test_words_split_at_ascii_blanks_only():
+    texts = [b"not read", None, b"", b" A b\n\nC\xc3\x89 ", "x\x1cy\x85z\x0bq \x0c É Éİ".encode(), b"\t\r"]
+    words, many = lm.words_of(pa.array(texts, pa.binary()).slice(1))
+    want = [[w.encode() for w in re.split(r"[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), (t or b"").decode())) if w] for t in texts[1:]]
+    assert many.tolist() == [len(w) for w in want] and words.to_pylist() == [w for ws in want for w in ws]
+
+
+def test_a_walk_in_stretches_is_the_walk(monkeypatch):
+    root, down, down2 = np.array([-1.0, -2.0, -3.0]), np.array([-10.0, -20.0, 0.0]), np.array([-100.0, 0.0, 0.0])
+    automaton = lm.Automaton(Hand, 1.0, root, down, down2)
+    sizes = np.array([0, 1, 300, 2, 40])
+    places = np.random.default_rng(6).integers(0, 3, sizes.sum())
+    whole = automaton.walk(places, sizes)
+    for stretch in (1, 2, 3, 7):
+        monkeypatch.setattr(lm, "STRETCH", stretch)
+        assert (automaton.walk(places, sizes) == whole).all()
+
+
+def stored(folder):
+    return sum(f.stat().st_size for f in Path(folder).rglob("*.parquet")) if Path(folder).exists() else 0
+
+
+def test_what_is_exchanged_is_smaller_than_the_texts(spark):
+    """All n-grams of 0.9 MB of texts go to their buckets and back; by 64-bit lists the tables took several times the texts."""
+    rng = np.random.default_rng(7)
+    texts = [(i, " ".join(f"word{int(x)}" for x in rng.zipf(1.2, 400) % 20000)) for i in range(300)]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(2)
+    folder = f"{shared_root(spark).removeprefix('file://')}/fieldloom"
+    before = stored(folder)
+    rows = lm.score(df, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, block_bytes=300_000).collect()
+    taken, size = stored(folder) - before, sum(len(t) for _, t in texts)
+    assert len(rows) == 300 and 0 < taken < size
+
+
+def test_the_shuffles_of_a_write_end_with_it_and_the_setting_comes_back(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    with pytest.raises(ValueError), lm._shuffles_end(spark):
+        assert spark.conf.get(name) == "true"
+        raise ValueError
+    assert spark.conf.get(name) == before
