@@ -15,8 +15,8 @@ the blocks that have an n-gram, the bucket names one, which adds it to the sums.
 
 What is exchanged is small: a block is written once, as places of its words, and
 lists its n-grams anew whenever it needs them; n-grams travel as sorted steps, by
-planes of bytes; answers are what other blocks add, and a state that no other block
-has is not asked for.
+planes of bytes; answers are what other blocks add. An n-gram of which no other block
+has the first or the last part is no other block's, so it is not asked for.
 """
 
 from __future__ import annotations
@@ -295,6 +295,17 @@ def _in_order(bucket: np.ndarray, replied: np.ndarray) -> np.ndarray:
     return out
 
 
+def _distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each distinct number, in their order, and which of them stands at each place."""
+    order = np.argsort(codes)
+    values = codes[order]
+    new = np.ones(len(order), bool)
+    new[1:] = values[1:] != values[:-1]
+    inverse = np.empty(len(order), np.int64)
+    inverse[order] = np.cumsum(new) - 1
+    return order[new], inverse
+
+
 class Grams:
     """The texts of one block and its n-grams: places of words, of pairs and of triples, each in the order of the numbers of their words."""
 
@@ -315,34 +326,54 @@ class Grams:
         self.words_shared = added > 0
         self.words = np.bincount(self.t[self.learned], minlength=len(order)) + np.maximum(0, added - 1)
         second, self.third = np.flatnonzero(depth >= 1), np.flatnonzero(depth >= 2)
-        codes, inverse = np.unique(self.t[second - 1] * len(order) + self.t[second], return_inverse=True)
-        self.first, self.last = np.divmod(codes, max(1, len(order)))
-        self.own_pairs = self._count(second, inverse, len(codes))
+        found, inverse = _distinct(self.t[second - 1] * len(order) + self.t[second])
+        self.first, self.last = self.t[second[found] - 1], self.t[second[found]]
+        self.own_pairs = self._count(second, inverse, len(found))
         self.pair = np.zeros(len(self.t), np.int64)
         self.pair[second] = inverse
-        self.pair_bucket = buckets_of(buckets, self.number[self.first], self.number[self.last])
+        self.pairs_asked = np.flatnonzero(self.words_shared[self.first] & self.words_shared[self.last])
+        self.pair_bucket = buckets_of(buckets, *self.pair_numbers(self.pairs_asked))
 
     def _count(self, places: np.ndarray, inverse: np.ndarray, size: int) -> np.ndarray:
         return np.bincount(inverse[self.learned[places]], minlength=size)
 
+    def pair_numbers(self, pairs: np.ndarray) -> list[np.ndarray]:
+        return [self.number[x[pairs]] for x in (self.first, self.last)]
+
+    def triple_numbers(self, triples: np.ndarray) -> list[np.ndarray]:
+        head, tail = self.head[triples], self.tail[triples]
+        return [self.number[x] for x in (self.first[head], self.last[head], self.last[tail])]
+
+    def count_pairs(self, replies: pa.Table) -> None:
+        self.pairs, self.pairs_add, self.pairs_shared = self._counted(replies, PAIR, self.pairs_asked, self.pair_bucket, self.own_pairs)
+
+    def _counted(self, replies: pa.Table, kind: int, asked: np.ndarray, bucket: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Counts over all blocks, whether this block adds them to sums, whether other blocks have the n-gram."""
+        replied = np.zeros(len(own), np.int64)
+        replied[asked] = _in_order(bucket, _replied(replies, kind))
+        shared = replied > 0
+        return own + np.where(shared, (replied - 1) >> 1, 0), np.where(shared, (replied - 1) & 1 == 1, own > 0), shared
+
     def name_triples(self) -> None:
-        size = max(1, len(self.first))
-        codes, inverse = np.unique(self.pair[self.third - 1] * size + self.pair[self.third], return_inverse=True)
-        self.head, self.tail = np.divmod(codes, size)
-        self.own_triples = self._count(self.third, inverse, len(codes))
-        u, v = self.number[self.first], self.number[self.last]
-        self.triple_bucket = buckets_of(self.buckets, u[self.head], v[self.head], v[self.tail])
+        """Triples, once the pairs are counted."""
+        found, inverse = _distinct(self.pair[self.third - 1] * len(self.first) + self.pair[self.third])
+        self.head, self.tail = self.pair[self.third[found] - 1], self.pair[self.third[found]]
+        self.own_triples = self._count(self.third, inverse, len(found))
+        self.triples_asked = np.flatnonzero(self.pairs_shared[self.head] & self.pairs_shared[self.tail])
+        self.triple_bucket = buckets_of(self.buckets, *self.triple_numbers(self.triples_asked))
 
 
 def _ask(buckets: int, kind: int):
     """The questions of a block for the counts of its pairs or triples."""
     def run(row: pa.Table, replies: pa.Table) -> pa.Table:
         grams = Grams(row, replies, buckets)
-        u, v = grams.number[grams.first], grams.number[grams.last]
         if kind == PAIR:
-            return _table(ASKS_ARROW, _asks(PAIR, grams.block, grams.pair_bucket, [u, v], [grams.own_pairs]))
-        grams.name_triples()
-        return _table(ASKS_ARROW, _asks(TRIPLE, grams.block, grams.triple_bucket, [u[grams.head], v[grams.head], v[grams.tail]], [grams.own_triples]))
+            asked, bucket, names, own = grams.pairs_asked, grams.pair_bucket, grams.pair_numbers(grams.pairs_asked), grams.own_pairs
+        else:
+            grams.count_pairs(replies)
+            grams.name_triples()
+            asked, bucket, names, own = grams.triples_asked, grams.triple_bucket, grams.triple_numbers(grams.triples_asked), grams.own_triples
+        return _table(ASKS_ARROW, _asks(kind, grams.block, bucket, names, [own[asked]]))
 
     return run
 
@@ -352,12 +383,15 @@ class Part(Grams):
 
     def __init__(self, row: pa.Table, replies: pa.Table, buckets: int, least: float):
         super().__init__(row, replies, buckets)
+        self.count_pairs(replies)
         self.name_triples()
-        self.pairs, pairs_add, self.pairs_shared = self._counts(replies, PAIR, self.pair_bucket, self.own_pairs)
-        self.triples, triples_add, _ = self._counts(replies, TRIPLE, self.triple_bucket, self.own_triples)
-        self.word_bucket = buckets_of(buckets, self.number)
+        self.triples, triples_add, _ = self._counted(replies, TRIPLE, self.triples_asked, self.triple_bucket, self.own_triples)
+        # states that other blocks have as well, and the buckets of their sums
+        self.words_both, self.pairs_both = np.flatnonzero(self.words_shared), np.flatnonzero(self.pairs_shared)
+        self.word_sum_bucket = buckets_of(buckets, self.number[self.words_both])
+        self.pair_sum_bucket = buckets_of(buckets, *self.pair_numbers(self.pairs_both))
         # twice the discounted counts of the arcs that this block adds, and those of the shorter history
-        arcs = np.flatnonzero(pairs_add & (self.pairs >= least))
+        arcs = np.flatnonzero(self.pairs_add & (self.pairs >= least))
         self.seen, self.below = np.zeros((2, len(self.words)), np.int64)
         np.add.at(self.seen, self.first[arcs], 2 * self.pairs[arcs] - 1)
         np.add.at(self.below, self.first[arcs], self.words[self.last[arcs]] + 1)
@@ -366,22 +400,15 @@ class Part(Grams):
         np.add.at(self.seen2, self.head[arcs], 2 * self.triples[arcs] - 1)
         np.add.at(self.below2, self.head[arcs], 2 * self.pairs[self.tail[arcs]] - 1)
 
-    def _counts(self, replies: pa.Table, kind: int, bucket: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Counts over all blocks, whether this block adds them to sums, whether other blocks have the n-gram."""
-        replied = _in_order(bucket, _replied(replies, kind))
-        shared = replied > 0
-        return own + np.where(shared, (replied - 1) // 2, 0), np.where(shared, (replied - 1) % 2 == 1, own > 0), shared
-
 
 def _share_sums(buckets: int, least: float):
     """What a block adds to the sums of those of its states that other blocks have as well."""
     def run(row: pa.Table, replies: pa.Table) -> pa.Table:
         part = Part(row, replies, buckets, least)
-        some, both = np.flatnonzero(part.words_shared), np.flatnonzero(part.pairs_shared)
-        pairs = [part.number[x[both]] for x in (part.first, part.last)]
+        some, both = part.words_both, part.pairs_both
         return _table(ASKS_ARROW, [
-            *_asks(WORD_SUM, part.block, part.word_bucket[some], [part.number[some]], [part.seen[some], part.below[some]]),
-            *_asks(PAIR_SUM, part.block, part.pair_bucket[both], pairs, [part.seen2[both], part.below2[both]]),
+            *_asks(WORD_SUM, part.block, part.word_sum_bucket, [part.number[some]], [part.seen[some], part.below[some]]),
+            *_asks(PAIR_SUM, part.block, part.pair_sum_bucket, part.pair_numbers(both), [part.seen2[both], part.below2[both]]),
         ])
 
     return run
@@ -408,13 +435,13 @@ class Automaton:
         self.shorter = np.concatenate([np.zeros(1 + self.words, np.int64), 1 + part.last])
         pairs, triples = np.flatnonzero(part.pairs >= least), np.flatnonzero(part.triples >= least)
         first, head, tail = part.first[pairs], part.head[triples], part.tail[triples]
-        # arcs are found by state x words + word
-        keys = np.concatenate([(1 + first) * self.words + part.last[pairs], (1 + self.words + head) * self.words + part.last[tail]])
-        ahead = np.concatenate([1 + self.words + pairs, 1 + self.words + tail])
-        chances = np.concatenate([(part.pairs[pairs] - DISCOUNT) / part.words[first], (part.triples[triples] - DISCOUNT) / part.pairs[head]])
-        order = np.argsort(keys, kind="stable")
-        self.arcs, self.ahead, self.weights = keys[order], ahead[order], np.log10(chances)[order]
-        self.starts = np.minimum(np.searchsorted(self.arcs, np.arange(len(self.falls)) * self.words), max(0, len(self.arcs) - 1))
+        # arcs are found by state x words + word; pairs and triples are in the order of their words, so these are sorted
+        states = np.concatenate([1 + first, 1 + self.words + head])
+        self.arcs = states * self.words + np.concatenate([part.last[pairs], part.last[tail]])
+        self.ahead = np.concatenate([1 + self.words + pairs, 1 + self.words + tail])
+        self.weights = np.log10(np.concatenate([(part.pairs[pairs] - DISCOUNT) / part.words[first], (part.triples[triples] - DISCOUNT) / part.pairs[head]]))
+        many = np.bincount(states, minlength=len(self.falls))
+        self.starts = np.minimum(np.cumsum(many) - many, max(0, len(states) - 1))
 
     def _find(self, states: np.ndarray, words: np.ndarray) -> np.ndarray:
         """The arc out of each state by a word, -1 if it has none; the root has none of its own."""
@@ -455,8 +482,10 @@ class Automaton:
             found, lost = np.flatnonzero(arc >= 0), np.flatnonzero(arc < 0)
             weight[found, 2], weight[lost, 2] = self.weights[arc[found]], self.root[word[lost]]
             now[found], now[lost] = self.ahead[arc[found]], 1 + word[lost]
-            kept = at >= start[:walking]
-            out[at[kept]] = weight[kept]
+            if k < 2:
+                kept = at >= start[:walking]
+                at, weight = at[kept], weight[kept]
+            out[at] = weight
         return out
 
     def score(self, places: list[int]) -> float:
@@ -472,12 +501,11 @@ def _score(buckets: int, least: float, n: int, distinct: int):
     """Scores of a block's texts, each in one traversal of the block's automaton."""
     def run(row: pa.Table, replies: pa.Table) -> pa.Table:
         part = Part(row, replies, buckets, least)
-        for kind, where, bucket, sums in (
-            (WORD_SUM, part.words_shared, part.word_bucket, (part.seen, part.below)), (PAIR_SUM, part.pairs_shared, part.pair_bucket, (part.seen2, part.below2)),
+        for kind, both, bucket, sums in (
+            (WORD_SUM, part.words_both, part.word_sum_bucket, (part.seen, part.below)), (PAIR_SUM, part.pairs_both, part.pair_sum_bucket, (part.seen2, part.below2)),
         ):
-            some = np.flatnonzero(where)
             for total, column in zip(sums, "nm", strict=True):
-                total[some] += _in_order(bucket[some], _replied(replies, kind, column))
+                total[both] += _in_order(bucket, _replied(replies, kind, column))
         floor = math.log10(n + distinct + 1)
         root = np.log10(part.words + 1) - floor
         down = _failure(part.seen, part.words, part.below, n + distinct + 1)
@@ -523,9 +551,8 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
         answered = materialize(asked.groupBy("bucket").applyInArrow(_answer(buckets), REPLIES), "words")
         distinct = answered.agg(F.sum("learned")).first()[0] or 0
         replies = answered.where("block is not null")
-        words = replies.groupBy("block")
         for kind, label in ((PAIR, "pairs"), (TRIPLE, "triples")):
-            questions = texts.cogroup(words).applyInArrow(_ask(buckets, kind), ASKS)
+            questions = texts.cogroup(replies.groupBy("block")).applyInArrow(_ask(buckets, kind), ASKS)
             replies = replies.union(materialize(questions.groupBy("kind", "bucket").applyInArrow(_count, REPLIES), label))
         shares = texts.cogroup(replies.groupBy("block")).applyInArrow(_share_sums(buckets, least), ASKS)
         sums = materialize(shares.groupBy("kind", "bucket").applyInArrow(_add, REPLIES), "sums")
