@@ -142,7 +142,7 @@ def _blocks(buckets: int, block_bytes: int):
         lists, many, doc_ids, held = [], [], [], []
         for part in pieces(batches, "text", max(1, block_bytes // 4)):
             texts = part.column("text")
-            more = pc.sum(pc.binary_length(texts)).as_py() or 0
+            more = part.num_rows + (pc.sum(pc.binary_length(texts)).as_py() or 0)
             if lists and size + more > block_bytes:
                 yield encoded(block, lists, many, doc_ids, held)
                 block, size = block + 1, 0

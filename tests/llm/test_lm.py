@@ -3,9 +3,11 @@ import re
 import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -183,3 +185,27 @@ def test_the_shuffles_of_a_write_end_with_it_and_the_setting_comes_back(spark):
         assert spark.conf.get(name) == "true"
         raise ValueError
     assert spark.conf.get(name) == before
+
+
+def blocks_of(monkeypatch, task, *lists):
+    """Blocks that a task makes of batches of texts, all of them learned."""
+    monkeypatch.setattr(lm, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: task)))
+    columns = [[pa.array(range(len(t)), pa.int64()), pa.array([False] * len(t)), pa.array(t, pa.binary())] for t in lists]
+    return list(lm._blocks(1, 1000)(iter([pa.RecordBatch.from_arrays(c, names=["doc_id", "held_out", "text"]) for c in columns])))
+
+
+def test_only_grams_that_other_blocks_may_have_are_asked_for(monkeypatch):
+    blocks = [pa.Table.from_batches(blocks_of(monkeypatch, k, [f"a b c {w}".encode()])) for k, w in enumerate("xy")]
+    asked = pa.concat_tables([pa.table({"block": b["block"], "bucket": pa.array([0]), "words": b["words"][0].as_py(), "counts": b["counts"][0].as_py()}) for b in blocks])
+    replies = lm._answer(1)(asked)
+    name = dict(zip(lm.unpack(replies["n"][1].as_py()).tolist(), lm._split(asked["words"][0].as_py()), strict=True))
+    for kind, width, want in ((lm.PAIR, 2, {(b"a", b"b"), (b"b", b"c")}), (lm.TRIPLE, 3, {(b"a", b"b", b"c")})):
+        asks = [lm._ask(1, kind)(b, replies.filter(pc.equal(replies["block"], b["block"][0]))) for b in blocks]
+        columns = lm.sorted_rows([lm.unpack(asks[0][c][0].as_py()) for c in "uvw"[:width]])
+        assert {tuple(name[x] for x in gram) for gram in zip(*(c.tolist() for c in columns), strict=True)} == want
+        replies = pa.concat_tables([replies, lm._count(pa.concat_tables(asks))])
+    assert replies["block"].null_count == 1 and replies["learned"][0].as_py() == 6
+
+
+def test_empty_texts_fill_blocks_too(monkeypatch):
+    assert [b["block"][0].as_py() for b in blocks_of(monkeypatch, 2, *[[None, b""] * 600] * 3)] == [2 << 32, (2 << 32) + 1, (2 << 32) + 2]
