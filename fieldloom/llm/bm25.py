@@ -1,26 +1,30 @@
 """Exact top-k search by BM25 over an inverted index with block-max pruning.
 
 Documents are indexed in shards, each written once as one row of postings. The
-queries come in blocks of bounded size. For a block, the document frequencies of
-its terms are summed over all shards first; then each shard is searched with these
-global statistics and gives its best ``k`` per query, and the best of all shards
-are merged: the result is that of one index over everything.
+queries come in blocks of bounded size. The document frequencies of the terms of all
+blocks are summed over all shards first; then, block by block, each shard is searched
+with these global statistics and gives its best ``k`` per query, and the best of all
+shards are merged: the result is that of one index over everything.
 
 Within a shard, terms that many documents have are kept as a matrix, and many queries
 at once are multiplied with it: these parts of the scores are known of all documents.
 Blocks of consecutive documents then have an upper bound per query: the largest such
-part in the block, and for each other term the largest score it reaches there. Blocks are
-searched in the order of their bounds until the k-th best score so far exceeds
-every bound that is left; a task goes from shard to shard with the k best of all before.
+part in the block, and for each other term the largest score it reaches there. Only
+blocks are searched whose bounds reach the k-th best score so far, of which those with
+the highest bounds give a first one; a task goes from shard to shard with the k best of
+all before. A query whose bounds leave out less than half of its postings, as those of a
+long one do, sums the postings of whole shards instead, until it is asked again.
 Documents within the rounding of the products are scored once more, in the order
 of the terms, so results do not depend on it and equal documents have equal scores.
 """
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter
 from contextlib import contextmanager
-from functools import lru_cache
+from functools import cached_property, lru_cache
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +41,10 @@ K1, B, TOP = 1.2, 0.75, 10
 SHARD_BYTES, BLOCK, QUERY_BYTES = 24 << 20, 64, 6 << 20
 #: Blocks searched before the first look at the bounds.
 FIRST_BLOCKS = 8
+#: Bits that keep terms out that no query has; terms of which a task merges the counts of its shards.
+HASH_BITS, MERGED = 24, 1 << 19
+#: Bounds are worth their cost if they leave out all postings but one of so many; after so many shards a task asks for them again.
+WORTH, AGAIN = 2, 8
 #: A term that more than one of so many documents has is a row of the matrix; queries multiplied at once.
 COMMON, AT_ONCE = 16, 128
 #: Stands for a null id inside a shard; sorts last.
@@ -50,27 +58,31 @@ def terms(text: bytes | None) -> list[bytes]:
 
 # --- index ------------------------------------------------------------------------------------
 
-#: Arrays are kept as their bytes, terms joined by line feeds: a shard passes the JVM as a few byte strings.
+#: Arrays are kept as their bytes, terms joined by line feeds: a shard passes the JVM as a few byte strings. Numbers of postings are as wide as the largest asks for.
 SHARD = "n long, words long, ids binary, lengths binary, terms binary, df binary, docs binary, counts binary"
 
 
+def narrow(numbers: np.ndarray) -> np.ndarray:
+    return numbers.astype(np.min_scalar_type(numbers.max(initial=0)))
+
+
 def build_shard(ids: list[int | None], texts: list[bytes | None]) -> pa.RecordBatch:
     number: dict[bytes, int] = {}
-    term, doc, count, lengths = [], [], [], []
+    term, doc, count, lengths = array("i"), array("i"), array("i"), []
     for d, text in enumerate(texts):
         found = Counter(terms(text))
         lengths.append(found.total())
-        term += [number.setdefault(w, len(number)) for w in found]
-        doc += [d] * len(found)
-        count += found.values()
+        term.extend([number.setdefault(w, len(number)) for w in found])
+        doc.extend([d] * len(found))
+        count.extend(found.values())
     names = sorted(number)
-    place = np.empty(len(names), np.int64)
+    place = np.empty(len(names), np.int32)
     place[[number[w] for w in names]] = np.arange(len(names))
-    at = place[np.array(term, np.int64)]
+    at = place[np.array(term)]
     order = np.argsort(at, kind="stable")
     arrays = [
         np.array([NO_ID if i is None else i for i in ids], np.int64), np.array(lengths, np.int32), None,
-        np.bincount(at, minlength=len(names)).astype(np.int32), np.array(doc, np.int32)[order], np.array(count, np.int32)[order],
+        np.bincount(at, minlength=len(names)).astype(np.int32), narrow(np.array(doc))[order], narrow(np.array(count))[order],
     ]
     blobs = [b"\n".join(names) if a is None else a.tobytes() for a in arrays]
     return pa.RecordBatch.from_arrays(
@@ -101,102 +113,139 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 class Shard:
-    """A shard ready to be searched: the matrix of its common terms, postings of all, and the largest impact of the others in each block of documents."""
+    """A shard ready to be searched for ``wanted`` terms: the matrix of the common ones, postings of all, and the largest impact of the others in each block of documents."""
 
     def __init__(self, row: dict[str, bytes], average: float, wanted: dict[bytes, int]):
         self.ids = np.frombuffer(row["ids"], np.int64)
-        lengths, df, self.docs, counts = (np.frombuffer(row[c], np.int32) for c in ("lengths", "df", "docs", "counts"))
+        lengths, df = (np.frombuffer(row[c], np.int32) for c in ("lengths", "df"))
+        docs, counts = (np.frombuffer(row[c], f"u{len(row[c]) // max(1, df.sum()) or 1}") for c in ("docs", "counts"))
+        numbers = np.fromiter((wanted.get(word, -1) for word in names_of(row)), np.int32, len(df))
+        asked = np.flatnonzero(numbers >= 0)
         #: by term number the term's place here, or -1
         self.place = np.full(len(wanted) + 1, -1, np.int32)
-        self.place[[wanted.get(word, -1) for word in names_of(row)]] = np.arange(len(df))
-        self.place[-1] = -1
-        norm = K1 * (1 - B + B * lengths / average)
-        self.impact = norm[self.docs]
-        self.impact += counts
-        np.divide(counts * (K1 + 1), self.impact, out=self.impact)
-        self.owner = np.repeat(np.arange(len(df), dtype=np.int32), df)
+        self.place[numbers[asked]] = np.arange(len(asked))
+        postings = np.repeat(numbers >= 0, df)
+        df = df[asked]
+        #: postings of the place p are first[p] to first[p + 1]
+        self.first = np.concatenate([[0], np.cumsum(df, dtype=np.int64)])
+        self.docs, self.counts = docs[postings], counts[postings]
+        self.norm = K1 * (1 - B + B * lengths / average)
+        #: in single precision, for bounds and first scores
+        self.impact = self.impacts(self.docs, self.counts, np.float32)
         #: by place the row of the matrix, or -1
         self.common = np.full(len(df), -1, np.int32)
-        asked = np.zeros(len(df), bool)
-        asked[self.place[self.place >= 0]] = True
-        often = np.flatnonzero(asked & (df * COMMON > len(self.ids)))
+        often = np.flatnonzero(df * COMMON > len(self.ids))
         self.common[often] = np.arange(len(often))
-        mine = self.common[self.owner]
-        dense = mine >= 0
         self.matrix = np.zeros((len(often), len(self.ids)), np.float32)
-        self.matrix[mine[dense], self.docs[dense]] = self.impact[dense]
+        for row_of, place in enumerate(often.tolist()):
+            mine = slice(self.first[place], self.first[place + 1])
+            self.matrix[row_of, self.docs[mine]] = self.impact[mine]
         #: share of a score by which a product in single precision can be off
         self.slack = (len(often) + 8) * 2.0 ** -23
+        self.df = df
         self.blocks = -(-len(self.ids) // BLOCK)
         self.edges = np.arange(0, len(self.ids), BLOCK)
-        # entries (term, block) of the other terms
-        rare = np.flatnonzero(asked[self.owner] & ~dense)
+
+    def impacts(self, docs: np.ndarray, counts: np.ndarray, kind: type) -> np.ndarray:
+        out = self.norm.astype(kind)[docs]
+        out += counts
+        return np.divide(counts * kind(K1 + 1), out, out=out, casting="same_kind")
+
+    @cached_property
+    def owner(self) -> np.ndarray:
+        """The place of each posting."""
+        return np.repeat(np.arange(len(self.common), dtype=np.int32), np.diff(self.first))
+
+    @cached_property
+    def entries(self) -> tuple[np.ndarray, ...]:
+        """Entries (term, block) of the terms that are not common: block, largest impact, range of postings; and by place the range of entries."""
+        rare = np.flatnonzero(self.common[self.owner] < 0).astype(np.int32)
         owner, block = self.owner[rare], self.docs[rare] // BLOCK
         first = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (block[1:] != block[:-1])])) if len(rare) else np.zeros(0, np.int64)
-        self.block, self.start = block[first], rare[first]
-        self.stop = np.append(rare[first[1:] - 1], rare[-1:]) + 1
-        self.most = np.maximum.reduceat(self.impact[rare], first) if len(first) else np.zeros(0)
-        places = np.arange(len(df))
-        self.from_entry, self.to_entry = (np.searchsorted(owner[first], places, side=side) for side in ("left", "right"))
-
-    def best(self, bounds: np.ndarray, numbers: np.ndarray, weights: np.ndarray, k: int, least: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each query (bounds of term numbers in order and weights) ids and scores of documents with a term of it: all that may be among the ``k`` best and reach ``least``."""
+        stop = np.append(rare[first[1:] - 1], rare[-1:]) + 1
+        most = np.maximum.reduceat(self.impact[rare], first) if len(first) else np.zeros(0)
+        places = np.arange(len(self.common))
+        return block[first], most, rare[first], stop.astype(np.int32), *(np.searchsorted(owner[first], places, side=side) for side in ("left", "right"))
+
+    def best(self, bounds: np.ndarray, numbers: np.ndarray, weights: np.ndarray, k: int, least: np.ndarray, bounded: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query (bounds of term numbers in order and weights) ids and scores of documents with a term of it: all that may be among the ``k`` best and reach ``least``.
+
+        ``bounded`` tells which queries ask for the bounds of blocks; those whose bounds left out too little are unset.
+        """
         asked = []
         for a, b in zip(bounds[:-1], bounds[1:], strict=True):
             places = self.place[numbers[a:b]]
             asked.append((places[places >= 0], weights[a:b][places >= 0]))
-        found = []
+        # queries that share their most frequent term are multiplied together: they have most rows of the matrix in common
+        lead = [int(places[np.argmax(self.df[places])]) if len(places) else -1 for places, _ in asked]
+        order = np.argsort(lead, kind="stable")
+        found = [np.zeros(0, np.int64)] * len(asked)
         for start in range(0, len(asked), AT_ONCE):
-            now = asked[start:start + AT_ONCE]
+            now = order[start:start + AT_ONCE].tolist()
             common = np.zeros((len(now), len(self.matrix)), np.float32)
-            for line, (places, w) in zip(common, now, strict=True):
-                rows = self.common[places]
-                line[rows[rows >= 0]] = w[rows >= 0]
-            parts = common @ self.matrix
-            found += [self.search(places, w, part, k, bar) for (places, w), part, bar in zip(now, parts, least[start:start + AT_ONCE].tolist(), strict=True)]
+            for line, q in zip(common, now, strict=True):
+                rows = self.common[asked[q][0]]
+                line[rows[rows >= 0]] = asked[q][1][rows >= 0]
+            some = np.flatnonzero(common.any(axis=0))
+            for q, part in zip(now, common[:, some] @ self.matrix[some], strict=True):
+                found[q], bounded[q] = self.search(*asked[q], part, k, float(least[q]), bool(bounded[q]))
         return self.exact(asked, found)
 
-    def search(self, places: np.ndarray, weights: np.ndarray, part: np.ndarray, k: int, least: float) -> np.ndarray:
-        """Documents that may be among the ``k`` best with at least ``least``, from their scores by the common terms."""
+    def search(self, places: np.ndarray, weights: np.ndarray, part: np.ndarray, k: int, least: float, bounded: bool) -> tuple[np.ndarray, bool]:
+        """Documents that may be among the ``k`` best with at least ``least``, from their scores by the common terms; and whether bounds are worth their cost."""
         if not len(places):
-            return np.zeros(0, np.int64)
+            return np.zeros(0, np.int64), bounded
         rare = self.common[places] < 0
         places, weights = places[rare], weights[rare]
-        entries = spread(self.from_entry[places], self.to_entry[places])
-        weight = np.repeat(weights, self.to_entry[places] - self.from_entry[places])
-        block = self.block[entries]
-        scores = part.astype(float)
         up = 1 + self.slack
-        bound = (np.bincount(block, weights=weight * self.most[entries], minlength=self.blocks) + np.maximum.reduceat(scores, self.edges)) * up
-        seen = np.zeros(self.blocks, bool)
-        wave = np.argpartition(-bound, FIRST_BLOCKS)[:FIRST_BLOCKS] if self.blocks > FIRST_BLOCKS else np.arange(self.blocks)
-        while True:
-            # first the blocks of the highest bounds; then, with the k-th best of them, all that reach it
-            wave = wave[(bound[wave] >= least) & (bound[wave] > 0)]
+        scores, worth = self.in_blocks(places, weights, part, k, least, up) if bounded else (None, False)
+        if scores is None:
+            start, stop = self.first[places], self.first[places + 1]
+            scores = self.summed(start, stop, weights) + part
+        found = np.flatnonzero(scores * up >= max(least, np.finfo(float).tiny))
+        if len(found) > k:
+            reached = scores[found]
+            found = found[reached * up >= np.partition(reached, len(found) - k)[len(found) - k] / up / up]
+        return found, worth
+
+    def summed(self, start: np.ndarray, stop: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Parts of the scores of all documents by ranges of postings, each with its weight."""
+        postings = spread(start, stop)
+        return np.bincount(self.docs[postings], weights=self.impact[postings] * np.repeat(weights, stop - start), minlength=len(self.ids))
+
+    def in_blocks(self, places: np.ndarray, weights: np.ndarray, part: np.ndarray, k: int, least: float, up: float) -> tuple[np.ndarray | None, bool]:
+        """Scores of the documents in blocks whose bounds reach ``least`` or the k-th best, zero elsewhere; none if that leaves out too few postings."""
+        blocks, most, starts, stops, from_entry, to_entry = self.entries
+        entries = spread(from_entry[places], to_entry[places])
+        weight = np.repeat(weights, to_entry[places] - from_entry[places])
+        block = blocks[entries]
+        bound = (np.bincount(block, weights=weight * most[entries], minlength=self.blocks) + np.maximum.reduceat(part, self.edges).astype(float)) * up
+        if self.blocks > FIRST_BLOCKS and not least:
+            # no bar yet: the blocks of the highest bounds give one
             chosen = np.zeros(self.blocks, bool)
-            chosen[wave] = True
-            seen |= chosen
-            mine = np.flatnonzero(chosen[block])
-            start, stop = self.start[entries[mine]], self.stop[entries[mine]]
-            postings = spread(start, stop)
-            scores += np.bincount(self.docs[postings], weights=np.repeat(weight[mine], stop - start) * self.impact[postings], minlength=len(scores))
-            ready = scores[np.repeat(seen, BLOCK)[:len(scores)]]
+            chosen[np.argpartition(-bound, FIRST_BLOCKS)[:FIRST_BLOCKS]] = True
+            mine = entries[chosen[block]]
+            ready = (self.summed(starts[mine], stops[mine], weight[chosen[block]]) + part)[np.repeat(chosen, BLOCK)[:len(part)]]
             if len(ready) >= k:
-                least = max(least, np.partition(ready, len(ready) - k)[len(ready) - k] / up / up)
-            wave = np.flatnonzero(~seen & (bound >= least) & (bound > 0))
-            if not len(wave):
-                break
-        return np.flatnonzero(np.repeat(seen, BLOCK)[:len(scores)] & (scores * up >= least) & (scores > 0))
+                least = np.partition(ready, len(ready) - k)[len(ready) - k] / up / up
+        reach = (bound >= least) & (bound > 0)
+        kept = reach[block]
+        mine = entries[kept]
+        start, stop = starts[mine], stops[mine]
+        if (stop - start).sum() * WORTH > (self.first[places + 1] - self.first[places]).sum():
+            return None, False
+        return np.where(np.repeat(reach, BLOCK)[:len(part)], self.summed(start, stop, weight[kept]) + part, 0), True
 
     def exact(self, asked: list[tuple[np.ndarray, np.ndarray]], found: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Ids and scores of the documents found for each query; sums run in the order of the terms, everywhere."""
         shown = np.zeros(len(self.ids), bool)
         for docs in found:
             shown[docs] = True
-        some = np.flatnonzero(shown[self.docs])
-        some = some[np.argsort(self.docs[some], kind="stable")]
-        owner, impact = self.owner[some], self.impact[some]
-        stop = np.cumsum(np.bincount(self.docs[some], minlength=len(self.ids)))
+        some = shown[self.docs]
+        of = self.docs[some]
+        order = np.argsort(of, kind="stable").astype(np.int32)
+        owner, impact = self.owner[some][order], self.impacts(of, self.counts[some], np.float64)[order]
+        stop = np.cumsum(np.bincount(of, minlength=len(self.ids)))
         start = np.append(0, stop[:-1])
         weight = np.zeros(len(self.common))
         out = []
@@ -242,22 +291,6 @@ def _numbers(blob: bytes) -> dict[bytes, int]:
     return {w: i for i, w in enumerate(blob.split(b"\n") if blob else [])}
 
 
-def _frequencies(blob):
-    """``blob``: a broadcast block of terms, joined."""
-    def run(batches):
-        wanted = _numbers(blob.value)
-        total = np.zeros(len(wanted), np.int64)
-        for row in _rows(batches):
-            for word, n in zip(names_of(row), np.frombuffer(row["df"], np.int32).tolist(), strict=True):
-                at = wanted.get(word)
-                if at is not None:
-                    total[at] += n
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["term", "df"])
-
-    return run
-
-
 @contextmanager
 def _one_by_one(spark: SparkSession):
     """Shards go to Python one at a time: a batch of all shards of a task would not be bounded."""
@@ -270,6 +303,50 @@ def _one_by_one(spark: SparkSession):
         spark.conf.set(setting, before)
 
 
+def _block_terms(batches):
+    """The terms of each block of queries, once a batch."""
+    for part in pieces(batches, "text"):
+        found = {(block, w) for block, text in zip(part.column("block").to_pylist(), part.column("text").to_pylist(), strict=True) for w in terms(text)}
+        yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in found], pa.int64()), pa.array([w for _, w in found], pa.binary())], names=["block", "term"])
+
+
+def _frequencies(blob):
+    """``blob``: broadcast bits by hash of the terms that are asked for; the terms of a task's shards that pass, with their documents there."""
+    def rows(total):
+        return pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.binary()), pa.array(total.values(), pa.int64())], names=["term", "df"])
+
+    def run(batches):
+        bits, total = np.frombuffer(blob.value, np.uint8), {}
+        for row in _rows(batches):
+            names = names_of(row)
+            at = np.fromiter(map(crc32, names), np.int64, len(names)) % (1 << HASH_BITS)
+            some = np.flatnonzero(bits[at >> 3] >> (at & 7) & 1)
+            for i, n in zip(some.tolist(), np.frombuffer(row["df"], np.int32)[some].tolist(), strict=True):
+                total[names[i]] = total.get(names[i], 0) + n
+            if len(total) > MERGED:
+                yield rows(total)
+                total = {}
+        yield rows(total)
+
+    return run
+
+
+def frequencies(shards: DataFrame, queries: DataFrame) -> DataFrame:
+    """(block, term, df): the terms of each block of (block, text) queries and the number of documents that have them, written.
+
+    One pass over the shards serves all blocks. Bits of a fixed number of hashes keep most other terms out of the shuffle.
+    """
+    spark = shards.sparkSession
+    asked = materialize(queries.select("block", "text").mapInArrow(_block_terms, "block long, term binary").distinct(), "query-terms")
+    hashes = asked.select((F.crc32("term") % (1 << HASH_BITS)).alias("h")).distinct().toArrow()          # at most 2^HASH_BITS numbers
+    bits = np.zeros(1 << HASH_BITS, bool)
+    bits[hashes.column("h").to_numpy()] = True
+    blob = spark.sparkContext.broadcast(np.packbits(bits, bitorder="little").tobytes())
+    with _one_by_one(spark):
+        found = shards.select("terms", "df").mapInArrow(_frequencies(blob), "term binary, df long")
+        return materialize(asked.join(found.groupBy("term").agg(F.sum("df").alias("df")), "term").select("block", "term", "df"), "frequencies")
+
+
 FOUND = "query long, doc_id long, score double"
 
 
@@ -278,9 +355,11 @@ def _search(blob, queries, average: float, k: int):
     def run(batches):
         ids, bounds, numbers, weights = queries.value
         best = [(np.zeros(0, np.int64), np.zeros(0))] * len(ids)
-        least = np.zeros(len(ids))
-        for row in _rows(batches):
-            found = Shard(row, average, _numbers(blob.value)).best(bounds, numbers, weights, k, least)
+        least, bounded = np.zeros(len(ids)), np.ones(len(ids), bool)
+        for shard, row in enumerate(_rows(batches)):
+            if shard % AGAIN == 1:
+                bounded[:] = True                   # what is best so far bars more than before
+            found = Shard(row, average, _numbers(blob.value)).best(bounds, numbers, weights, k, least, bounded)
             for q, (docs, scores) in enumerate(found):
                 if len(docs):
                     docs, scores = np.concatenate([best[q][0], docs]), np.concatenate([best[q][1], scores])
@@ -314,16 +393,15 @@ def top_k(docs: DataFrame, is_query: Column, k: int = TOP, id_col: str = "doc_id
     # tasks merge the results of their shards: rows grow with the queries, not with queries x shards
     shards = index.drop("n", "words").coalesce(2 * max(1, spark.sparkContext.defaultParallelism))
     best = spark.createDataFrame([], FOUND)
+    known = frequencies(shards, stored) if blocks else None
     for block in range(blocks):
         rows = [(r.query, Counter(terms(r.text))) for r in stored.where(F.col("block") == block).orderBy("query").collect()]     # about query_bytes of text
         if not any(q for _, q in rows):
             continue
-        names = sorted({w for _, q in rows for w in q})
+        counted = known.where(F.col("block") == block).select("term", "df").toArrow().sort_by("term")
+        names, df = counted.column("term").to_pylist(), counted.column("df").to_numpy()
         number = {w: i for i, w in enumerate(names)}
         blob = spark.sparkContext.broadcast(b"\n".join(names))
-        df = np.zeros(len(names))
-        for r in index.select("terms", "df").mapInArrow(_frequencies(blob), "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toLocalIterator():
-            df[r.term] = r.df
         idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
         terms_of = [np.array(sorted(number[w] for w in q), np.int32) for _, q in rows]
         times = [np.array([q[names[t]] for t in mine.tolist()], float) for mine, (_, q) in zip(terms_of, rows, strict=True)]

@@ -84,3 +84,67 @@ def test_rows_of_a_search_grow_with_queries_not_with_shards(spark, monkeypatch):
         mine = sorted((r.rank, r.doc_id, r.score) for r in got if r.query_id == q)
         assert [10**9 if i is None else i for _, i, _ in mine] == [i for i, _ in found]
         assert [s for *_, s in mine] == pytest.approx([s for _, s in found], abs=2e-6)
+
+
+def _posted(rng, n, words):
+    texts = [" ".join(f"w{int(x) % words}" for x in rng.zipf(1.3, rng.integers(5, 60))) for _ in range(n)]
+    return [(i, t) for i, t in enumerate(texts)]
+
+
+def test_one_pass_over_the_index_serves_all_blocks_of_queries(spark, monkeypatch):
+    passes, searches, count, search = [], [], bm25._frequencies, bm25._search
+    monkeypatch.setattr(bm25, "_frequencies", lambda blob: (passes.append(1), count(blob))[1])
+    monkeypatch.setattr(bm25, "_search", lambda *a: (searches.append(1), search(*a))[1])
+    monkeypatch.setattr(bm25, "MERGED", 20, raising=False)
+    rows = _posted(np.random.default_rng(3), 200, 90)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = bm25.top_k(df, F.col("doc_id") % 20 == 0, k=4, shard_bytes=2000, query_bytes=150).collect()
+    assert len(searches) > 3 and len(passes) == 1
+    want = brute(rows, lambda i: i % 20 == 0, 4)
+    for q, found in want.items():
+        assert [i for i, _ in found] == [r.doc_id for r in sorted(got, key=lambda r: r.rank) if r.query_id == q]
+
+
+def _shard(rows, query):
+    """A shard of the rows, and a block of that one query."""
+    numbers = {w: i for i, w in enumerate(sorted(query))}
+    batch = bm25.build_shard([i for i, _ in rows], [t.encode() for _, t in rows])
+    row = {n: batch.column(n)[0].as_buffer() if n not in ("n", "words") else None for n in batch.schema.names}
+    weights = np.array([6.0 if w == b"rare" else 1.0 for w in sorted(query)])
+    return bm25.Shard(row, 20.0, numbers), (np.array([0, len(numbers)]), np.arange(len(numbers)), weights)
+
+
+def test_bounds_are_asked_for_where_they_leave_postings_out(monkeypatch):
+    monkeypatch.setattr(bm25, "BLOCK", 8)
+    monkeypatch.setattr(bm25, "FIRST_BLOCKS", 2)
+    rows = _posted(np.random.default_rng(4), 800, 400)
+    rows += [(1000 + i, "rare " * 9 + f"v{i % 5}") for i in range(12)]
+    summed, sums = [], bm25.Shard.summed
+    monkeypatch.setattr(bm25.Shard, "summed", lambda self, start, stop, weights: (summed.append(int((stop - start).sum())), sums(self, start, stop, weights))[1])
+
+    def search(query, least, bounded):
+        shard, block = _shard(rows, query)
+        summed.clear()
+        left = np.array([bounded])
+        (docs, scores), = shard.best(*block, 5, np.array([least]), left)
+        order = np.lexsort((docs, -scores))[:5]
+        return docs[order].tolist(), scores[order].tolist(), bool(left[0]), sum(summed), int(shard.first[-1])
+
+    # few documents reach the bar: most postings stay unread, with or without one
+    query = [b"rare", b"v1", *(f"w{i}".encode() for i in range(100, 110))]
+    docs, scores, worth, read, all_of_them = search(query, 0.0, True)
+    assert worth and read < all_of_them / 2
+    assert search(query, 0.0, False)[:3] == (docs, scores, False)
+    assert search(query, scores[-1], True)[:3] == (docs, scores, True) and sum(summed) < all_of_them / 2
+    # a long query whose bounds bar nothing sums its lists, and does not ask for bounds in the next shard
+    query = sorted({f"w{i}".encode() for i in range(20, 400)})
+    docs, scores, worth, _, _ = search(query, 0.0, True)
+    assert not worth and search(query, 0.0, False)[:2] == (docs, scores)
+
+
+def test_wide_counts_and_many_documents_of_a_shard():
+    texts = [b"a " * 70_000 + b"b", b"a b", b""] + [b"b c"] * 66_000
+    batch = bm25.build_shard(list(range(len(texts))), texts)
+    shard = bm25.Shard({n: batch.column(n)[0].as_buffer() if n not in ("n", "words") else None for n in batch.schema.names}, 2.0, {b"a": 0, b"c": 1, b"z": 2})
+    assert shard.docs.tolist() == [0, 1, *range(3, 66_003)] and shard.counts[:3].tolist() == [70_000, 1, 1]
+    assert len(bm25.build_shard([1], [b""]).column("docs")[0].as_py()) == 0
