@@ -24,7 +24,6 @@ from __future__ import annotations
 import math
 import struct
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..storage import materialize
+from ..storage import materialize, shuffles_end
 from .batches import crc_mod, pieces, table, utf8
 
 #: Least share of the training tokens that an n-gram of the automaton has (0: all n-grams); taken off each count.
@@ -521,18 +520,6 @@ def _score(buckets: int, least: float, n: int, distinct: int):
     return run
 
 
-@contextmanager
-def _shuffles_end(spark: SparkSession):
-    """What a write has shuffled is removed when it ends, not when the driver next collects garbage; the session's setting comes back."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text", share: float = SHARE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Scores of all texts by a model of those that are not ``held_out`` (a boolean column).
 
@@ -542,7 +529,7 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out.alias("held_out"), utf8(text_col).alias("text"))
     size = rows.agg(F.sum(F.coalesce(F.length("text"), F.lit(0)) + 1)).first()[0] or 1
     buckets = max(1, -(-size // (BUCKET_BLOCKS * block_bytes)))
-    with _shuffles_end(docs.sparkSession):
+    with shuffles_end(docs.sparkSession):
         written = materialize(rows.mapInArrow(_blocks(buckets, block_bytes), BLOCKS), "blocks")
         n = written.agg(F.sum("learned")).first()[0] or 0
         least = max(1.0, share * n)
