@@ -33,7 +33,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..storage import materialize, shuffles_end
+from ..storage import materialize
+from ..storage import shuffles_end as _shuffles_end
 from .batches import crc_mod, pieces, table, utf8
 
 #: Least share of the training tokens that an n-gram of the automaton has (0: all n-grams); taken off each count.
@@ -529,7 +530,7 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out.alias("held_out"), utf8(text_col).alias("text"))
     size = rows.agg(F.sum(F.coalesce(F.length("text"), F.lit(0)) + 1)).first()[0] or 1
     buckets = max(1, -(-size // (BUCKET_BLOCKS * block_bytes)))
-    with shuffles_end(docs.sparkSession):
+    with _shuffles_end(docs.sparkSession):
         written = materialize(rows.mapInArrow(_blocks(buckets, block_bytes), BLOCKS), "blocks")
         n = written.agg(F.sum("learned")).first()[0] or 0
         least = max(1.0, share * n)
