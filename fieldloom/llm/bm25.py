@@ -293,14 +293,16 @@ def _numbers(blob: bytes) -> dict[bytes, int]:
 
 @contextmanager
 def _one_by_one(spark: SparkSession):
-    """Shards go to Python one at a time: a batch of all shards of a task would not be bounded."""
-    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, 1)
+    """Shards are read and go to Python one at a time: a batch of all shards of a file or a task would not be bounded."""
+    settings = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    before = {name: spark.conf.get(name) for name in settings}
+    for name in settings:
+        spark.conf.set(name, 1)
     try:
         yield
     finally:
-        spark.conf.set(setting, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def _block_terms(batches):

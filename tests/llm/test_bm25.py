@@ -148,3 +148,12 @@ def test_wide_counts_and_many_documents_of_a_shard():
     shard = bm25.Shard({n: batch.column(n)[0].as_buffer() if n not in ("n", "words") else None for n in batch.schema.names}, 2.0, {b"a": 0, b"c": 1, b"z": 2})
     assert shard.docs.tolist() == [0, 1, *range(3, 66_003)] and shard.counts[:3].tolist() == [70_000, 1, 1]
     assert len(bm25.build_shard([1], [b""]).column("docs")[0].as_py()) == 0
+
+
+def test_shards_are_read_one_at_a_time_and_the_settings_come_back(spark):
+    names = ["spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize"]
+    before = [spark.conf.get(n) for n in names]
+    with pytest.raises(ValueError), bm25._one_by_one(spark):
+        assert [spark.conf.get(n) for n in names] == ["1", "1"]
+        raise ValueError
+    assert [spark.conf.get(n) for n in names] == before
